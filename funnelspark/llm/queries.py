@@ -5,18 +5,105 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from funnelspark.llm import near_dedup
+from funnelspark.llm import cross_entropy, decontaminate, html_text, language, mixing, near_dedup, pii, quality, topk, url_rules
 from funnelspark.llm._spark import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0")
+    return cross_entropy.score(table(spark, sf_dir, "documents"), good)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_near_dedup": op2_near_dedup}
+    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text)
+    return {f.__name__: f for f in own}
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP1_SQL = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS t
+       FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS t
+       FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks)),
+h AS (SELECT dw.doc_id, dw.i, dw.k, bw.item_id FROM dw JOIN bw USING (k, t)),
+p AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS x FROM (SELECT DISTINCT doc_id, i, k FROM h)) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(m.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(m.items, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+#: mixed(...) of a table of documents; the pipeline's SQL has its own input.
+MIX_SQL = r"""
+z AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS o FROM {}),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank, CAST(sum(source_size) OVER () AS BIGINT) AS everything, source_size * 3 AS cap FROM s),
+v AS (SELECT *, [5, 2, 1][rank % 3 + 1] AS weight FROM r),
+f AS (SELECT *, row_number() OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank) AS place,
+        CAST(everything - coalesce(sum(cap) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+        / sum(weight) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM v),
+g AS (SELECT *, arg_min(level, place) FILTER (level * weight <= cap) OVER () AS fill FROM f),
+goal AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), fill * weight) AS target FROM g),
+laid AS (SELECT z.*, CAST(sum(size) OVER (PARTITION BY source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS start FROM z)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size > 0 THEN least(floor(target / source_size * (start + size)) - floor(target / source_size * start), size * 3) ELSE 0 END AS BIGINT) AS taken
+FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source
+"""
+
+OP6_SQL = "WITH " + MIX_SQL.format("documents").strip()
+
+OP7_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": OP1_SQL, "op6_mixing": OP6_SQL, "op7_topk": OP7_SQL}
