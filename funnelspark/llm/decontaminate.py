@@ -39,6 +39,11 @@ def _zipped(a: str, b: str, shift: int, length: Column, how) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), m), F.slice(b, F.lit(1 + shift), m), how)
 
 
+def _once(body, value: Column) -> Column:
+    """body(value) with value evaluated once a row: a column named in a lambda may be inlined there and run for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def with_runs(df: DataFrame, lengths: set[int]) -> DataFrame:
     """Adds r{k}, hashes of all runs of k words, for each k, from ``h``, hashes of the ``n`` words; each from two shorter ones."""
     parts: dict[int, tuple[int, int]] = {}
@@ -70,9 +75,15 @@ def kept(df: DataFrame, window: int, gram: int, short: list[int]) -> DataFrame:
         k, least = k + step, f"m{k + step}"
     size = F.greatest(F.col("n") - (window - 1), F.lit(0))
     places = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("at", F.filter(places, lambda i: (i == 0) | (F.get(least, i) != F.get(least, i - 1))))
-    mark = lambda s, j: F.struct(F.get(least, s).alias("hash"), s.alias("at"), F.slice(f"r{window}", s + 1, F.coalesce(F.get("at", j + 1), size) - s).alias("windows"), F.lit(window).alias("length"))
-    marks = [F.transform("at", mark)]
+
+    def marked(m: Column, r: Column) -> Column:
+        def of(at: Column) -> Column:
+            own = lambda s, j: F.transform(F.sequence(s, F.coalesce(F.get(at, j + 1), size) - 1), lambda i: F.get(r, i))
+            return F.transform(at, lambda s, j: F.struct(F.get(m, s).alias("hash"), s.alias("at"), own(s, j).alias("windows"), F.lit(window).alias("length")))
+
+        return _once(of, F.filter(places, lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1))))
+
+    marks = [_once(lambda z: marked(z["m"], z["r"]), F.struct(F.col(least).alias("m"), F.col(f"r{window}").alias("r")))]
     for k in short:
         marks.append(F.transform(f"r{k}", lambda x, i, k=k: F.struct(x.alias("hash"), i.alias("at"), F.array(x).alias("windows"), F.lit(k).alias("length"))))
     return df.withColumn("marks", F.concat(*marks))
