@@ -23,7 +23,7 @@ def _lower(points: pd.DataFrame) -> pd.DataFrame:
     """Vertices of the lower hull of points (x, e), by increasing x."""
     out: list[tuple[float, float]] = []
     for x, e in points.groupby("x")["e"].min().items():
-        while len(out) > 1 and (out[-1][1] - out[-2][1]) * (x - out[-2][0]) >= (e - out[-2][1]) * (out[-1][0] - out[-2][0]):
+        while len(out) > 1 and (out[-1][1] - out[-2][1]) * (x - out[-2][0]) >= (e - out[-2][1]) * (out[-1][0] - out[-2][0]) - 1e-12:  # on a line too
             out.pop()
         out.append((x, e))
     return pd.DataFrame(out, columns=["x", "e"])

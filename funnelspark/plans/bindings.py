@@ -636,3 +636,106 @@ def sites_min_distance(t):
 @query("SELECT conv_id, count(*) AS turns, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY 1")
 def conversation_history(t):
     return t.conversations.groupBy("conv_id").agg(F.count("*").alias("turns"), F.min_by("role", "turn").alias("first_role"), F.max_by("role", "turn").alias("last_role"), F.sum(F.length("text")).cast("long").alias("chars"))
+
+
+# --- streams and reports ---------------------------------------------------------------------------------------------
+
+
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, round(arg_max(value, event_id), 4) AS value FROM events GROUP BY 1")
+def events_cycle_stream(t):
+    """The feed folded cycle by cycle; the SQL is its batch twin."""
+    import uuid
+
+    from funnelspark.sources.folders import shared_dir
+    from funnelspark.streaming import cycle
+
+    base = f"{shared_dir(t.spark)}/cycle-{uuid.uuid4().hex}"
+    feed = cycle.feed_of(t.spark, f"{t.folder}/events.parquet")
+    cycle.run_cycles(feed, f"{base}/state", f"{base}/checkpoint", "user_id", "event_id", ["event_type", "value"]).awaitTermination()
+    return t.spark.read.parquet(f"{base}/state").select("user_id", "event_id", "event_type", r("value").alias("value"))
+
+
+LADDER_SQL = "SELECT CAST(user_id AS VARCHAR) AS key, event_id AS seq, CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'done' ELSE 'running' END AS state FROM events"
+
+
+@query(f"""WITH e AS ({LADDER_SQL}), u AS (SELECT *, sum(CASE WHEN state = 'done' THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY seq) AS run FROM e),
+a AS (SELECT *, CASE WHEN state = 'done' THEN 0 ELSE sum(CASE WHEN state = 'failed' THEN 1 ELSE 0 END) OVER (PARTITION BY key, run ORDER BY seq) END AS attempt FROM u)
+SELECT key, seq, state, CAST(attempt AS INTEGER) AS attempt, CASE WHEN state = 'failed' THEN CASE WHEN attempt < 3 THEN 'retry' ELSE 'give_up' END WHEN state = 'done' THEN 'finish' END AS action FROM a""")
+def retry_ladder(t):
+    from funnelspark.streaming import cycle
+
+    state = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "done").otherwise("running")
+    return cycle.retry_ladder_batch(t.events.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("seq"), state.alias("state")))
+
+
+@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS seen, CAST(sum(CASE WHEN value > 100 THEN 1 ELSE 0 END) AS BIGINT) AS passed FROM events GROUP BY 1, 2")
+def windowed_funnel(t):
+    from funnelspark.streaming import cycle
+
+    out = cycle.windowed_funnel(t.events.withColumn("ok", F.coalesce(F.col("value") > 100, F.lit(False))), "ts", "event_type", "ok")
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "seen", "passed")
+
+
+@query("SELECT 'structures:' || o_orderstatus AS name, count(*) AS n FROM orders GROUP BY 1 UNION ALL SELECT 'jobs:' || l_linestatus, count(*) FROM lineitem GROUP BY 1 UNION ALL SELECT 'structures', count(*) FROM orders UNION ALL SELECT 'jobs', count(*) FROM lineitem")
+def campaign_summary(t):
+    from funnelspark.plans import report
+
+    return report.summary(t.orders.withColumnRenamed("o_orderstatus", "state"), t.lineitem.withColumnRenamed("l_linestatus", "state"))
+
+
+@query("SELECT source, seq FROM (SELECT 'orders' AS source, o_orderkey AS seq FROM orders WHERE o_custkey = 1 UNION ALL SELECT 'customer', c_custkey FROM customer WHERE c_custkey = 1)")
+def life_history(t):
+    from funnelspark.plans import report
+
+    tables = {"orders": t.orders.withColumnsRenamed({"o_custkey": "id", "o_orderkey": "seq"}), "customer": t.customer.withColumn("id", F.col("c_custkey")).withColumnRenamed("c_custkey", "seq")}
+    return report.history(tables, "id", 1, "seq").select("source", "seq")
+
+
+# --- further scalar, conversion and guard rules ----------------------------------------------------------------------
+
+
+@query("SELECT p_partkey, round(a, 5) AS a, round(b, 5) AS b, round(c, 5) AS c, round(degrees(acos(1 / b)), 4) AS gamma FROM (SELECT p_partkey, CAST(1 + p_size AS DOUBLE) AS a, sqrt(1 + CAST(p_size * p_size AS DOUBLE)) AS b, 2.0 AS c FROM part)")
+def lattice_parameters(t):
+    z = F.lit(0.0)
+    size = F.col("p_size").cast("double")
+    cell = F.array(F.array(1 + size, z, z), F.array(F.lit(1.0), size, z), F.array(z, z, F.lit(2.0)))
+    out = t.part.select("p_partkey", fv.lattice_parameters(cell).alias("l"))
+    return out.select("p_partkey", *(r(f"l.{c}", 5).alias(c) for c in "abc"), r("l.gamma", 4).alias("gamma"))
+
+
+@query("SELECT p_partkey, CAST(ceil(p_size / 4.0) AS INTEGER) AS nx, CAST(list_min(list_transform(list_filter([1, 2, 4, 8, 16], lambda d: d <= 16), lambda d: ceil(p_size / CAST(d AS DOUBLE)) * 100 + d)) % 100 AS INTEGER) AS kpar FROM part")
+def k_points(t):
+    return t.part.select("p_partkey", F.element_at(fv.k_grid(F.array(F.col("p_size").cast("double")), 4.0), 1).alias("nx"), fv.k_parallel(F.col("p_size"), F.lit(16)).alias("kpar"))
+
+
+@query("SELECT p_partkey, left(sha1(p_brand || '|' || p_size), 12) AS fingerprint, CAST(greatest(1, round_even(p_size * 0.25, 0)) AS BIGINT) AS target FROM part")
+def fingerprints(t):
+    return t.part.select("p_partkey", fv.fingerprint(F.col("p_brand"), F.col("p_size")).alias("fingerprint"), fm.target_count(F.col("p_size"), per_atom=F.lit(0.25)).alias("target"))
+
+
+@query("SELECT p_brand, p_type AS tag, min(CAST(p_size AS VARCHAR)) AS value FROM part WHERE p_size % 25 = 0 GROUP BY 1, 2 HAVING count(DISTINCT p_size) = 1")
+def expected_tags(t):
+    rows = t.part.filter("p_size % 25 = 0").select("p_brand", F.col("p_type").alias("tag"), F.col("p_size").cast("string").alias("value"))
+    return guards.expected_tags(rows, "p_brand", "tag", "value")
+
+
+@query("SELECT l_orderkey AS k, count(DISTINCT l_suppkey) AS owners FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
+def id_collisions(t):
+    return guards.id_elsewhere(t.lineitem.withColumnRenamed("l_orderkey", "k"), "k", ["l_suppkey"])
+
+
+@query("SELECT p_brand, round(x0, 6) AS x0, round(e0, 6) AS e0 FROM (SELECT p_brand, x AS x0, e AS e0 FROM (WITH " + HULL_SQL.strip() + " SELECT a.sys AS p_brand, a.x, a.e FROM a LEFT JOIN h ON h.sys = a.sys AND h.x = a.x WHERE a.x IN (0, 1) OR (a.e - h.hull <= 1e-9 AND NOT EXISTS (SELECT 1 FROM a l JOIN a u ON u.sys = l.sys WHERE l.sys = a.sys AND l.x < a.x AND u.x > a.x AND l.e + (u.e - l.e) * (a.x - l.x) / (u.x - l.x) <= a.e + 1e-12))))")
+def hull_vertices(t):
+    return hull.binary_vertices(_part_entries(t).select("sys", "x", "e")).select(F.col("sys").alias("p_brand"), r("x", 6).alias("x0"), r("e", 6).alias("e0"))
+
+
+@query("SELECT DISTINCT p_brand AS sys FROM part WHERE p_partkey % 13 = 0 AND p_size > 40")
+def dirty_systems(t):
+    rows = t.part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("sys"), F.lit("h").alias("ref_hash"))
+    placed = t.part.filter("not (p_partkey % 13 = 0 and p_size > 40)").select(F.col("p_partkey").alias("id"), F.lit("h").alias("ref_hash"))
+    return hull.dirty_systems(rows, placed)
+
+
+@query("SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS names FROM nation GROUP BY 1")
+def grouped_names(t):
+    return t.nation.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_set("n_name")), ",").alias("names"))
