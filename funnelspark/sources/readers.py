@@ -55,7 +55,7 @@ def store_index(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("usable", F.coalesce(F.col("e_static_eV").isNotNull() & (F.lower("relax_converged") == "true") & (F.col("static_state") == "done"), F.lit(False)))
 
 
-CACHE = T.StructType.fromDDL("chemsys string, entries array<struct<mp_id:string,chemsys:string,counts:map<string,bigint>,n_atoms:bigint,e_raw_per_atom:double,e_corrected_per_atom:double,run_type:string,e_above_hull:double>>")
+CACHE = "chemsys string, entries array<struct<mp_id:string,chemsys:string,counts:map<string,bigint>,n_atoms:bigint,e_raw_per_atom:double,e_corrected_per_atom:double,run_type:string,e_above_hull:double>>"
 
 
 def entry_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -101,8 +101,7 @@ def _parse_structure(path: str, text: str) -> tuple:
 
 def structure_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """One row a file: parsed lattice, symbols and direct coordinates, or the reason why not."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
-    files = (reader.option("pathGlobFilter", glob) if glob else reader).text(path).select(F.col("_metadata.file_path").alias("path"), "value").dropDuplicates(["path"])
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=recursive).select(F.col("_metadata.file_path").alias("path"), "value").dropDuplicates(["path"])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -11,7 +11,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from funnelspark.operators.ranking import latest
@@ -55,7 +54,8 @@ def run_cycles(feed: DataFrame, table: str, checkpoint: str, key: str, seq: str,
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
 
 
-LADDER = T.StructType.fromDDL("key string, seq long, state string, attempt int, action string")
+LADDER = "key string, seq long, state string, attempt int, action string"
+LADDER_COLUMNS = ["key", "seq", "state", "attempt", "action"]
 
 
 def _climb(key: str, rows: pd.DataFrame, state: str, attempt: int, most: int) -> tuple[list[tuple], str, int]:
@@ -79,7 +79,7 @@ def retry_ladder(feed: DataFrame, most: int = 3) -> DataFrame:
         state, attempt = held.get if held.exists else ("new", 0)
         out, state, attempt = _climb(key[0], pd.concat(parts), state, attempt, most)
         held.update((state, attempt))
-        yield pd.DataFrame(out, columns=LADDER.names)
+        yield pd.DataFrame(out, columns=LADDER_COLUMNS)
 
     return feed.groupBy("key").applyInPandasWithState(step, LADDER, "state string, attempt int", "append", GroupStateTimeout.NoTimeout)
 
