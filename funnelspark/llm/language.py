@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
+from funnelspark.llm._spark import broadcast_if
 
 N, BITS = 3, 14
 PER_LANG, LANDMARKS, RIDGE = 300, 32, 1e-3
+#: Rows of counts by language that may be broadcast; more are joined by a shuffle.
+MOST_LANGS = 10_000
 UNKNOWN = "und"
 #: Bytes of text and texts whose presence matrix is built at once.
 CHUNK, DOCS = 1 << 20, 256
@@ -60,7 +63,7 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 def training_rows(docs: DataFrame, usable: Column) -> DataFrame:
     """(lang, doc_id, text) of about PER_LANG usable rows of each language, by a hash of doc_id."""
     rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = broadcast_if(rows.groupBy("lang").agg(F.count("*").alias("n")), MOST_LANGS)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     return rows.join(counts, "lang").filter(draw * F.col("n") < PER_LANG).select("lang", "doc_id", "text")
 

@@ -31,7 +31,8 @@ DIGITS = re.compile(r"[0-9]")
 ACCOUNT_CUES = ("password", "passwd", "token", "api_key", "api key", "secret", "account", "acct", "iban", "ssn", "passport")
 STREET_CUES = (" Street", " Avenue", " Road", " Lane", " Boulevard", " Drive", " Straße", " Strasse", " Platz", " St.", " Ave.", " Rd.")
 KEY_PREFIXES = ("AKIA",)
-AFTER_CUE = re.compile(r"(?:\x20?(?:no\.?|number|id|nr\.?|#))?\x20{0,2}[:=#]?\x20{0,2}[\"']?(?P<value>[A-Za-z0-9][A-Za-z0-9_-]{5,80})", re.I)
+AFTER_CUE = re.compile(r"(?:\x20?(?:no\.?|number|id|nr\.?|#))?\x20{0,2}[:=#]?\x20{0,2}[\"']?", re.I)
+VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,80}")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?")
 KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Z])")
 STREET = re.compile(r"[0-9]{1,5}[A-Za-z]?(?:\x20[A-Z][\w'-]{0,30}){1,4}\Z")
@@ -67,12 +68,11 @@ def iban_ok(value: str) -> bool:
 
 
 def _account(text: str, end: int) -> tuple[int, int] | None:
-    m = AFTER_CUE.match(text, end)
-    if not m:
-        return None
-    if (i := IBAN.match(text, m.start("value"))) and iban_ok(i[0]):
-        return i.span()
-    return m.span("value") if DIGITS.search(m["value"]) else None
+    at = AFTER_CUE.match(text, end).end()
+    if (m := IBAN.match(text, at)) and iban_ok(m[0]):
+        return m.span()
+    m = VALUE.match(text, at)
+    return m.span() if m and DIGITS.search(m[0]) else None
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
