@@ -72,7 +72,11 @@ def hull_binary_part(t):
     return placed_parts(t).select("p_partkey", (r("e_above_hull", 5) + 0.0).alias("e_above_hull"), "stable")
 
 
-CASCADE_GATES = [gates.at_most("hull_distance", "e_above_hull", 0.5), gates.at_least("size_floor", "p_size", 5)]
+# Columns need a session, so gates are made when a query is.
+def cascade_gates() -> list[gates.Gate]:
+    return [gates.at_most("hull_distance", "e_above_hull", 0.5), gates.at_least("size_floor", "p_size", 5)]
+
+
 CASCADE_SQL = f"""WITH {HULL_SQL},
 j AS (SELECT *, CASE WHEN NOT above <= 0.5 THEN 'hull_distance' WHEN NOT p_size >= 5 THEN 'size_floor' END AS reason FROM p),
 k AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY round(above, 9), p_partkey) AS rk FROM j WHERE reason IS NULL),
@@ -82,10 +86,10 @@ ev AS (SELECT 'hull_distance' AS gate, above <= 0.5 AS passed FROM p UNION ALL S
 
 def cascade(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(ranked survivors with kept, events) of the filter cascade: cuts first, the cap after them."""
-    judged = gates.judge(placed_parts(t), CASCADE_GATES)
+    judged = gates.judge(placed_parts(t), cascade_gates())
     capped = gates.cap_per_group(judged.filter("reason is null"), "p_type", [r("e_above_hull", 9), F.col("p_partkey")], 10)
     cap_events = capped.select(F.col("p_partkey").alias("id"), F.lit("cap").alias("gate"), F.col("kept").alias("passed"), F.col("rank").cast("double").alias("value"), F.lit(10.0).alias("threshold"))
-    return capped, gates.events(judged, CASCADE_GATES, "p_partkey").unionByName(cap_events)
+    return capped, gates.events(judged, cascade_gates(), "p_partkey").unionByName(cap_events)
 
 
 @query(CASCADE_SQL + "SELECT gate, count(*) AS seen, CAST(sum(CASE WHEN passed THEN 1 ELSE 0 END) AS BIGINT) AS passed, CAST(sum(CASE WHEN passed THEN 0 ELSE 1 END) AS BIGINT) AS rejected FROM ev GROUP BY gate")
@@ -147,7 +151,8 @@ def funnel_events(t):
     return gates.funnel(rows, ["view", "click", "signup"]).withColumn("place", long("place"))
 
 
-LINE_GATES = [gates.at_most("quantity", "l_quantity", 40), gates.at_most("discount", "l_discount", 0.08), gates.at_least("price", "l_extendedprice", 1000), gates.at_least("tax", "l_tax", 0)]
+def line_gates() -> list[gates.Gate]:
+    return [gates.at_most("quantity", "l_quantity", 40), gates.at_most("discount", "l_discount", 0.08), gates.at_least("price", "l_extendedprice", 1000), gates.at_least("tax", "l_tax", 0)]
 
 
 @query("""WITH j AS (SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN NOT coalesce(l_quantity <= 40, false) THEN 'quantity' WHEN NOT coalesce(l_discount <= 0.08, false) THEN 'discount' WHEN NOT coalesce(l_extendedprice >= 1000, false) THEN 'price' WHEN NOT coalesce(l_tax >= 0, false) THEN 'tax' END AS reason FROM lineitem),
@@ -156,7 +161,7 @@ k AS (SELECT unnest(['quantity', 'discount', 'price', 'tax']) AS reason)
 SELECT k.reason, count(e.id) AS n, coalesce(string_agg(CAST(e.id AS VARCHAR), ',' ORDER BY e.id) FILTER (rn <= 5), '') AS examples FROM k LEFT JOIN e USING (reason) GROUP BY k.reason""")
 def rejection_log(t):
     rows = t.lineitem.withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    out = gates.rejection_log(gates.judge(rows, LINE_GATES), "id", [g.name for g in LINE_GATES])
+    out = gates.rejection_log(gates.judge(rows, line_gates()), "id", [g.name for g in line_gates()])
     return out.select("reason", "n", F.coalesce(F.array_join("examples", ","), F.lit("")).alias("examples"))
 
 
