@@ -9,8 +9,11 @@ connected components of links; exact copies share a text key from the start and
 
 A text is first compared with the least key of all its buckets. In buckets that still hold several classes, texts of
 different classes are compared further: all of them in buckets of at most ``SMALL`` texts, which bounds the pairs by the
-rows; in larger ones with one leader in each turn, first the one with most links, until a turn finds no link. So the work
-grows with the rows however large a group is, and no member of a bucket is left out of it.
+rows; in larger ones first with one leader in each turn, at first the one whose buckets hold most texts (the centre of a
+star of copies), until a turn finds no link. Texts of large buckets that still hold several classes are then joined by
+their rarest runs: texts of similarity ``threshold`` share one of those that hold ``1 - threshold`` of their weight. Runs
+of at most ``SMALL`` texts give pairs; the texts of more common ones are compared with all of their bucket, in blocks of
+``PART`` texts. So no two texts of one bucket stay in different classes without a comparison, by themselves or by that bound.
 
 Nulls: a null text counts as empty; texts without words are duplicates only of equal texts. A row of null doc_id takes
 part; class_id is the least doc_id of the class, null if it has none. Repeated rows are copies. Other columns are ignored.
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,6 +43,8 @@ ALIKE = 27
 DF_BITS, IDF_SHARE = 18, 0.5
 #: Buckets of at most SMALL texts get all their open pairs at once; larger ones a leader a turn.
 SMALL, MOST_TURNS, SALTS, PLAIN_STEPS = 32, 8, 8, 4
+#: Texts on one side of a block of comparisons; tokens at once; cells that runs of open texts are counted in.
+PART, WIDTH, OPEN_BITS = 256, 8192, 20
 #: Ids that may be broadcast, 16 bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Rows of labels or of open buckets that may be broadcast, 40 bytes each.
@@ -196,6 +202,96 @@ def _verify(weights, threshold: float) -> callable:
     return verify
 
 
+def _tokens(run: np.ndarray) -> np.ndarray:
+    """Runs in order with the number of each among its equals, as one number: a multiset as a set."""
+    at = np.flatnonzero(np.append(True, run[1:] != run[:-1])) if len(run) else np.zeros(0, dtype=np.int64)
+    nth = np.arange(len(run)) - np.repeat(at, np.diff(np.append(at, len(run))))
+    return run | (nth.astype(U) << U(40))
+
+
+def _open_cell(token: np.ndarray) -> np.ndarray:
+    return (_text.mix(token) & U((1 << OPEN_BITS) - 1)).astype(np.int64)
+
+
+def _open_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(1 << OPEN_BITS, dtype=np.int64)
+    for batch in batches:
+        for blob in batch.column(1):
+            n += 0 if not (b := blob.as_py()) else np.bincount(_open_cell(_tokens(_unpacked(b))), minlength=len(n))
+    at = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["cell", "n"])
+
+
+def _prefixes(weights, often, threshold: float) -> callable:
+    """(token, key): the rarest tokens of a text that hold 1 - threshold of its weight, without those of one text only."""
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, n = weights.value, often.value
+        for batch in batches:
+            found, owner = [np.zeros(0, dtype=U)], []
+            for i, blob in enumerate(batch.column(1)):
+                token = _tokens(_unpacked(blob.as_py()))
+                often_ = n[_open_cell(token)]
+                order = np.lexsort((token, often_))
+                weight = w[_cell(token[order])].astype(np.float64)
+                before = np.cumsum(weight) - weight
+                found.append(token[order][(before <= (1 - threshold) * weight.sum() + 1e-9) & (often_[order] > 1)])
+                owner += [i] * len(found[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(pa.array(owner, pa.int64()))], ["token", "key"])
+
+    return prefixes
+
+
+def block_links(left: list[np.ndarray], right: list[np.ndarray], w: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each of the left sets of tokens has weighted Jaccard similarity threshold with each of the right ones."""
+    sets = left + right
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    weight = w[_cell(tokens)].astype(np.float64)
+    whole = np.bincount(owner, weights=weight[column], minlength=len(sets))
+    shared = np.flatnonzero(np.bincount(column) > 1)
+    place = np.full(len(tokens), -1)
+    place[shared] = np.arange(len(shared))
+    at = place[column]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    both = np.zeros((len(left), len(right)))
+    for first in range(0, len(shared), WIDTH):
+        a, b = np.searchsorted(at, [first, first + WIDTH])
+        x = np.zeros((len(sets), min(WIDTH, len(shared) - first)))
+        x[owner[a:b], at[a:b] - first] = 1
+        both += (x[: len(left)] * weight[shared[first : first + WIDTH]]) @ x[len(left) :].T
+    union = whole[: len(left), None] + whole[None, len(left) :] - both
+    return both >= threshold * union
+
+
+def _compare(weights, threshold: float) -> callable:
+    """Links between the two parts of a block, or within its only one, as far as they join classes."""
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = key[1:]
+        a, b = (rows[rows.part == k].reset_index(drop=True) for k in (i, j))
+        ta, tb = ([_tokens(_unpacked(v)) for v in x.vector] for x in (a, b))
+        if not ta or not tb:
+            return pd.DataFrame({"a": [], "b": []})
+        above: dict[bytes, bytes] = {}
+
+        def top(x: bytes) -> bytes:
+            while x in above:
+                x = above[x]
+            return x
+
+        out = []
+        for x, y in zip(*np.nonzero(block_links(ta, tb, weights.value, threshold)), strict=True):
+            p, q = top(a.label[x]), top(b.label[y])
+            if p != q:
+                above[max(p, q)] = min(p, q)
+                out.append((a.key[x], b.key[y]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return compare
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(key, label): the least key reachable over links (a, b), by least labels of neighbours; from PLAIN_STEPS on also of labels."""
     both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
@@ -237,7 +333,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("leader")).filter("n > 1")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salted = buckets.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-    members = cut(salted.join(shared.select("bucket", "leader", salts), ["bucket", "salt"]).select("bucket", "key", "leader"), "members")
+    members = cut(salted.join(shared.select("bucket", "leader", "n", salts), ["bucket", "salt"]).select("bucket", "key", "leader", "n"), "members")
     first = members.groupBy("key").agg(F.min("leader").alias("a"))
     first = cut(first.join(texts.select("key", "doc_id", "signs"), "key"), "involved")
     pairs = first.filter("key <> a").select("a", F.col("key").alias("b"))
@@ -253,13 +349,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     found = verified(pairs)
     labels = components(found)
-    links = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).groupBy("key").agg(F.count("*").alias("links"))
+    classed_by = lambda rows: rows.join(broadcast_if(labels, BROADCAST_LABELS), "key", "left").withColumn("label", F.coalesce("label", "key"))
     done = pairs
     for turn in range(MOST_TURNS):
-        classed = members.join(broadcast_if(labels, BROADCAST_LABELS), "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
-        ranked = classed.join(links, "key", "left") if turn == 0 else classed
-        most = -F.coalesce("links", F.lit(0)) if turn == 0 else F.lit(0)  # at first who has most links, then others by chance
-        leader = F.min(F.struct(most.cast("long").alias("links"), F.xxhash64("key", F.lit(turn)).alias("h"), "key", "label")).alias("l")
+        classed = classed_by(members).select("bucket", "key", "label", "n")
+        if turn == 0:
+            reach = classed.groupBy("key").agg(F.sum("n").alias("reach"))
+        ranked = classed.join(reach, "key") if turn == 0 else classed
+        most = -F.col("reach") if turn == 0 else F.lit(0)  # at first whose buckets hold most texts, then others by chance
+        leader = F.min(F.struct(most.cast("long").alias("reach"), F.xxhash64("key", F.lit(turn)).alias("h"), "key", "label")).alias("l")
         spread = ranked.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"), leader).filter("least <> most")
         spread = cut(spread.filter(F.col("n") > SMALL) if turn else spread, "spread")
         if not spread.limit(1).count():
@@ -280,6 +378,39 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         labels = joined_classes(labels, found)
         if turn == 0:  # later turns are of the large buckets that held several classes
             members = cut(members.join(wide.select("bucket").distinct(), "bucket", "left_semi"), "members")
+    # the exact rest: texts of large buckets that hold several classes
+    several = lambda rows, by: rows.groupBy(by).agg(F.count("*").alias("m"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    large = members.filter(F.col("n") > SMALL).select("bucket", "key")
+    mixed = broadcast_if(cut(several(classed_by(large), "bucket").select("bucket"), "mixed"), BROADCAST_LABELS)
+    large = cut(large.join(mixed, "bucket", "left_semi"), "large")
+    if large.limit(1).count():
+        open_vectors = cut(vectors.join(large.select("key").distinct(), "key", "left_semi"), "open")
+        counted = open_vectors.mapInArrow(_open_frequency, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        often = np.zeros(1 << OPEN_BITS, dtype=np.int32)
+        often[counted.cell.to_numpy()] = np.minimum(counted.n.to_numpy(), 2**31 - 1)
+        often = sc.broadcast(often)
+        posted = cut(open_vectors.mapInArrow(_prefixes(weights, often, threshold), "token long, key binary"), "prefixes")
+        classed = classed_by(posted)
+        few = several(classed, "token").filter(F.col("m") <= SMALL).select("token")
+        near = cut(classed.join(few, "token", "left_semi"), "near")
+        other = near.select("token", F.col("key").alias("b"), F.col("label").alias("lb"))
+        more = near.join(other, "token").filter("key < b and label <> lb").select(F.col("key").alias("a"), "b").distinct()
+        found = verified(cut(more.join(done, ["a", "b"], "left_anti"), "pairs"))
+        if found.limit(1).count():
+            labels = joined_classes(labels, found)
+        classed = classed_by(posted)
+        salted = classed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+        many = broadcast_if(cut(several(classed, "token").filter(F.col("m") > SMALL).select("token", salts), "many"), BROADCAST_LABELS)
+        dense = cut(salted.join(many, ["token", "salt"], "left_semi").select("key").distinct(), "dense")
+        if dense.limit(1).count():
+            large = classed_by(large.join(dense, "key", "left_semi"))
+            mixed = broadcast_if(several(large, "bucket").select("bucket", F.ceil(F.col("m") / PART).alias("parts")), BROADCAST_LABELS)
+            large = large.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))).join(open_vectors, "key")
+            blocks = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            blocks = blocks.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "key", "label", "vector")
+            found = cut(blocks.groupBy("bucket", "i", "j").applyInPandas(_compare(weights, threshold), "a binary, b binary").distinct(), "verified")
+            if found.limit(1).count():
+                labels = joined_classes(labels, found)
     classes = texts.join(labels, "key", "left").select("key", "doc_id", "n_copies", F.coalesce("label", "key").alias("label"))
     least = classes.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     named = classes.join(least, "label").select("key", "class_id", "n_copies")
