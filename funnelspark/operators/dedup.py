@@ -58,5 +58,36 @@ def greedy_groups(pairs: DataFrame, members: DataFrame, block: str) -> DataFrame
     return linked.groupBy(block).applyInPandas(lambda rows: fold(rows), f"id {kind}, kept boolean, duplicate_of {kind}")
 
 
+def collapsed(rows: DataFrame, block: list[str], id_column: str, tokens: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with the least id of each set of tokens in a block, and (first, id, n) of all rows; rows without tokens stay by themselves."""
+    sets = rows.withColumn("_s", F.array_sort(F.array_distinct(tokens))).withColumn("_h", F.sha2(F.array_join("_s", " "), 256))
+    alone = F.when(F.size("_s") > 0, F.lit(None)).otherwise(F.col(id_column))
+    keys = sets.select(*(F.col(b).alias(b) for b in block), F.col(id_column).alias("id"), "_h", alone.alias("_a"), F.greatest(F.size("_s"), F.lit(0)).alias("n"))
+    by = [*block, "_h", "_a"]
+    least = keys.groupBy(*by).agg(F.min("id").alias("first")).select(*(F.col(c).alias(f"_{c}") for c in by), "first")
+    same = F.lit(True)
+    for c in by:
+        same = same & keys[c].eqNullSafe(least[f"_{c}"])
+    copies = keys.join(least, same).select("first", "id", "n")
+    return rows.join(copies.filter("first = id").select(F.col("id").alias(id_column)).distinct(), id_column, "left_semi"), copies
+
+
+def spread_pairs(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Pairs of first rows as pairs of all their copies, with those among the copies of one row."""
+    a, b = (copies.select(F.col("first").alias(f"first_{x}"), F.col("id").alias(x)) for x in "ab")
+    met = pairs.withColumnsRenamed({"id_a": "first_a", "id_b": "first_b"}).join(a, "first_a").join(b, "first_b")
+    met = met.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"), "n_common", "jaccard")
+    other = copies.select("first", F.col("id").alias("id_b"))
+    own = copies.filter("n > 0").join(other, "first").filter("id < id_b")
+    return met.unionByName(own.select(F.col("id").alias("id_a"), "id_b", F.col("n").cast("long").alias("n_common"), F.lit(1.0).alias("jaccard")))
+
+
+def spread_groups(groups: DataFrame, copies: DataFrame) -> DataFrame:
+    """Greedy groups of first rows for all their copies: a copy is dropped for its first row, or for what that was dropped for."""
+    out = copies.join(groups.withColumnRenamed("id", "first"), "first")
+    of = F.when(F.col("kept"), F.when(F.col("id") != F.col("first"), F.col("first"))).otherwise(F.col("duplicate_of"))
+    return out.select("id", (F.col("kept") & (F.col("id") == F.col("first"))).alias("kept"), of.alias("duplicate_of"))
+
+
 def new_arrivals(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return rows.join(known.select(key).distinct(), key, "left_anti")

@@ -442,9 +442,11 @@ def survivor_per_group(t):
     return dedup.survivors(rows, ["h"], [F.col("doc_id")]).select("doc_id", "survivor", "group_size")
 
 
-def _doc_pairs(t: Tables) -> DataFrame:
-    tokens = F.array_remove(F.split(F.lower("text"), r"[^a-z]+"), "")
-    rows = t.documents.filter("n_chars < 1500").select("doc_id", "lang", tokens.alias("t"))
+def _doc_tokens(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", "lang", "n_chars", F.array_remove(F.split(F.lower("text"), r"[^a-z]+"), "").alias("t"))
+
+
+def _doc_pairs(rows: DataFrame) -> DataFrame:
     return dedup.overlap_pairs(rows, ["lang"], "doc_id", "t", 0.8)
 
 
@@ -452,13 +454,21 @@ def _doc_pairs(t: Tables) -> DataFrame:
 j AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, len(list_intersect(a.t, b.t)) AS c, len(a.t) AS m, len(b.t) AS n FROM s a JOIN s b ON a.lang = b.lang AND a.doc_id < b.doc_id AND least(len(a.t), len(b.t)) >= 0.8 * greatest(len(a.t), len(b.t)) AND len(a.t) > 0)
 SELECT id_a, id_b, CAST(c AS BIGINT) AS n_common, round(c / CAST(m + n - c AS DOUBLE), 6) AS jaccard FROM j WHERE c >= 0.8 * (m + n - c)""")
 def near_dup_pairs(t):
-    return _doc_pairs(t).select("id_a", "id_b", "n_common", r("jaccard", 6).alias("jaccard"))
+    return _doc_pairs(_doc_tokens(t).filter("n_chars < 1500")).select("id_a", "id_b", "n_common", r("jaccard", 6).alias("jaccard"))
+
+
+@query()
+def near_dup_pairs_whole(t):
+    """Of all documents; rows of equal tokens are paired through the least of them."""
+    firsts, copies = dedup.collapsed(_doc_tokens(t), ["lang"], "doc_id", "t")
+    return dedup.spread_pairs(_doc_pairs(firsts), copies).select("id_a", "id_b", "n_common", r("jaccard", 6).alias("jaccard"))
 
 
 @query()
 def greedy_dedup(t):
-    members = t.documents.filter("n_chars < 1500").select("lang", F.col("doc_id").alias("id"))
-    return dedup.greedy_groups(_doc_pairs(t), members, "lang")
+    firsts, copies = dedup.collapsed(_doc_tokens(t), ["lang"], "doc_id", "t")
+    groups = dedup.greedy_groups(_doc_pairs(firsts), firsts.select("lang", F.col("doc_id").alias("id")), "lang")
+    return dedup.spread_groups(groups, copies)
 
 
 @query("SELECT p_partkey, p_brand FROM part p WHERE NOT EXISTS (SELECT 1 FROM part q WHERE q.p_brand = p.p_brand AND q.p_retailprice <= p.p_retailprice AND q.p_size >= p.p_size AND (q.p_retailprice < p.p_retailprice OR q.p_size > p.p_size))")
