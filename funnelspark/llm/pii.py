@@ -32,7 +32,9 @@ ACCOUNT_CUES = ("password", "passwd", "token", "api_key", "api key", "secret", "
 STREET_CUES = (" Street", " Avenue", " Road", " Lane", " Boulevard", " Drive", " Straße", " Strasse", " Platz", " St.", " Ave.", " Rd.")
 KEY_PREFIXES = ("AKIA",)
 AFTER_CUE = re.compile(r"(?:\x20?(?:no\.?|number|id|nr\.?|#))?\x20{0,2}[:=#]?\x20{0,2}[\"']?", re.I)
-VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5,80}")
+#: A whole run of key characters, with single dots in it; it begins with FIRST at least or has LONG characters.
+VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_/+=-]*+(?:\.[A-Za-z0-9_/+=-]++)*+")
+FIRST, LONG = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]{5}"), 16
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?")
 KEY = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Z])")
 STREET = re.compile(r"[0-9]{1,5}[A-Za-z]?(?:\x20[A-Z][\w'-]{0,30}){1,4}\Z")
@@ -72,7 +74,7 @@ def _account(text: str, end: int) -> tuple[int, int] | None:
     if (m := IBAN.match(text, at)) and iban_ok(m[0]):
         return m.span()
     m = VALUE.match(text, at)
-    return m.span() if m and DIGITS.search(m[0]) else None
+    return m.span() if m and DIGITS.search(m[0]) and (FIRST.match(m[0]) or len(m[0]) >= LONG) else None
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
