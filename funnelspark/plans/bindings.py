@@ -316,6 +316,12 @@ def subsystem_containment(t):
     return coverage.contained(systems, targets).groupBy("target").agg(F.count("*").alias("n"))
 
 
+@query()
+def subsystem_containment_whole(t):
+    systems = _order_systems(t)
+    return coverage.contained(systems, systems.select("chemsys").distinct()).groupBy("target").agg(F.count("*").alias("n"))
+
+
 @query(f"WITH s AS (SELECT DISTINCT sys FROM ({ORDER_SYSTEMS})), e AS (SELECT list_sort(list(b)) AS el FROM (SELECT DISTINCT p_brand AS b FROM part ORDER BY b LIMIT 5)), m AS (SELECT array_to_string(list_filter(el, lambda x, i: (k >> (i - 1)) & 1 = 1), '-') AS sys FROM e, range(1, 32) g(k)) SELECT sys AS chemsys FROM m WHERE sys NOT IN (SELECT sys FROM s)")
 def missing_subsystems(t):
     brands = t.part.select("p_brand").distinct().orderBy("p_brand").limit(5)  # five elements are the target
@@ -734,6 +740,11 @@ def expected_tags(t):
     return guards.expected_tags(rows, "p_brand", "tag", "value")
 
 
+@query("SELECT p_brand, p_type AS tag, min(CAST(p_size AS VARCHAR)) AS value FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_size) = 1")
+def expected_tags_whole(t):
+    return guards.expected_tags(t.part.select("p_brand", F.col("p_type").alias("tag"), F.col("p_size").cast("string").alias("value")), "p_brand", "tag", "value")
+
+
 @query("SELECT l_orderkey AS k, count(DISTINCT l_suppkey) AS owners FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
 def id_collisions(t):
     return guards.id_elsewhere(t.lineitem.withColumnRenamed("l_orderkey", "k"), "k", ["l_suppkey"])
