@@ -12,7 +12,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 21
+SLICE = 1 << 18
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _COMB = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=U)

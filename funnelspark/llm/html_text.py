@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from funnelspark.llm._spark import small_batches
+
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "a about an and are as at be been but by for from had has have he her his i if in is it its not of on or she that the their them there they this to was we were which who will with you "
@@ -172,6 +174,7 @@ def main_text(page: str) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each row of pages(page_id, url, html)."""
+    small_batches(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,13 @@
 
 Two texts' kernel is the share of n-grams of 1 to ``N`` bytes (of the lower-cased UTF-8, hashed to ``2 ** BITS`` cells)
 present in both: ``|A and B| / sqrt(|A| |B|)``. The model is fitted on a bounded sample of labelled rows, about
-``PER_LANG`` of each language by a hash of doc_id, with ``LANDMARKS`` texts of each as landmarks; one ridge regression a
-language against the rest. A batch of whole texts is scored by two matrix products.
+``PER_LANG`` of each of the ``MOST_LANGS`` most frequent languages by a hash of doc_id, of texts of at most
+``SAMPLE_BYTES``, with ``LANDMARKS`` texts of each as landmarks; one ridge regression a language against the rest. A batch
+of whole texts is scored by two matrix products.
 
 A text that is null or has no letter gets ``und`` and score 0, as all do where nothing is labelled. The score is the
-regression's value, within 0 and 1. Rows repeat as they are; other columns are ignored.
+regression's value, within 0 and 1. Rows repeat as they are; rows of null id aren't learnt from, of an id that repeats one
+text is (the least). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,15 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
-from funnelspark.llm._spark import broadcast_if
+from funnelspark.llm._spark import small_batches
 
 N, BITS = 3, 14
 PER_LANG, LANDMARKS, RIDGE = 300, 32, 1e-3
-#: Rows of counts by language that may be broadcast; more are joined by a shuffle.
-MOST_LANGS = 10_000
+#: Languages that are learnt, and bytes of a text of the sample; they bound what the driver fits and sends.
+MOST_LANGS, SAMPLE_BYTES = 200, 1 << 16
 UNKNOWN = "und"
 #: Bytes of text and texts whose presence matrix is built at once.
-CHUNK, DOCS = 1 << 20, 256
+CHUNK, DOCS = 1 << 18, 128
 
 
 def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -49,9 +51,9 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def batches_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """(first row, end row, presence) of runs of lower-cased texts."""
-    lower = pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))
-    for first in range(0, len(lower), DOCS):
-        for a, b, data, offsets in _text.slices(lower.slice(first, DOCS), CHUNK):
+    for first in range(0, len(column), DOCS):
+        lower = pc.utf8_lower(column.slice(first, DOCS).cast(pa.large_string()).fill_null(""))
+        for a, b, data, offsets in _text.slices(lower, CHUNK):
             yield first + a, first + b, presence(data, offsets)
 
 
@@ -61,11 +63,11 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, usable: Column) -> DataFrame:
-    """(lang, doc_id, text) of about PER_LANG usable rows of each language, by a hash of doc_id."""
-    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = broadcast_if(rows.groupBy("lang").agg(F.count("*").alias("n")), MOST_LANGS)
+    """(lang, doc_id, text) of about PER_LANG usable ids of each language, by a hash of doc_id."""
+    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    return rows.join(counts, "lang").filter(draw * F.col("n") < PER_LANG).select("lang", "doc_id", "text")
+    return rows.join(F.broadcast(counts), "lang").filter(draw * F.col("n") < PER_LANG).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
 
 
 def fit(sample: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -104,7 +106,7 @@ def _predict(model) -> callable:
 
 def train(docs: DataFrame, usable: Column) -> tuple:
     rows = training_rows(docs, usable).collect()  # bounded: about PER_LANG a language
-    sample = sorted((r.lang, r.doc_id, r.text) for r in rows if r.doc_id is not None)
+    sample = sorted((r.lang, r.doc_id, r.text) for r in rows)
     return fit([(lang, text) for lang, _, text in sample])
 
 
@@ -112,6 +114,7 @@ def predict(rows: DataFrame, model: tuple) -> DataFrame:
     """Adds lang_pred and score to a frame of which ``text`` is the second column."""
     if rows.columns[1] != "text":
         raise ValueError("text must be the second column")
+    small_batches(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(model)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(_predict(sent), f"{fields}, lang_pred string, score double")

@@ -1,19 +1,18 @@
 """Near duplicates: consistent weighted samples of TF-IDF word shingles, banded, verified by weighted Jaccard similarity.
 
 Texts are sets of weighted runs of five words (lower-cased; a shorter text is one run). A run weighs
-``tf * (1 + IDF_SHARE * ln(N / df) / ln(N))`` with df counted over all documents in ``2 ** DF_BITS`` hashed cells: the
-damping keeps the weighted similarity of two edited copies close to the plain one however large their group is.
-``BANDS * ROWS`` improved consistent weighted samples (Ioffe 2010) are drawn of each text; texts that agree in a whole
-band and in ``ALIKE`` of all samples are compared exactly, and those of weighted Jaccard similarity ``threshold`` or more are linked. Classes are
+``tf * (1 + IDF_SHARE * ln(N / df) / ln(N))`` with df counted over all documents in ``2 ** DF_BITS`` hashed cells, less the
+mean of a cell, so that a crowded table still tells common runs from rare ones; the damping keeps the weighted similarity
+of two edited copies close to the plain one however large their group is.
+``BANDS * ROWS`` improved consistent weighted samples (Ioffe 2010) are drawn of each text; texts that agree in a whole band
+share a bucket, and those of one bucket whose weighted Jaccard similarity is ``threshold`` or more are linked. Classes are
 connected components of links; exact copies share a text key from the start and are never paired.
 
-A text is first compared with the least key of all its buckets. In buckets that still hold several classes, texts of
-different classes are compared further: all of them in buckets of at most ``SMALL`` texts, which bounds the pairs by the
-rows; in larger ones first with one leader in each turn, at first the one whose buckets hold most texts (the centre of a
-star of copies), until a turn finds no link. Texts of large buckets that still hold several classes are then joined by
-their rarest runs: texts of similarity ``threshold`` share one of those that hold ``1 - threshold`` of their weight. Runs
-of at most ``SMALL`` texts give pairs; the texts of more common ones are compared with all of their bucket, in blocks of
-``PART`` texts. So no two texts of one bucket stay in different classes without a comparison, by themselves or by that bound.
+Links are found in two rounds. First each text is compared with one leader, the text of its buckets whose own buckets hold
+most texts: the centre of a star of copies gathers all of them. Then every bucket that still holds several classes is
+compared exactly, as matrix products of blocks of at most about ``PART`` by ``PART`` texts: those outside the bucket's
+largest class with all others, so the work grows with the texts that the first round left open. No two texts of one bucket
+stay in different classes without a comparison.
 
 Nulls: a null text counts as empty; texts without words are duplicates only of equal texts. A row of null doc_id takes
 part; class_id is the least doc_id of the class, null if it has none. Repeated rows are copies. Other columns are ignored.
@@ -27,26 +26,25 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
-from funnelspark.llm._spark import broadcast_if, cut
+from funnelspark.llm._spark import broadcast_if, cut, small_batches
 
 K, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
-#: Of the BANDS * ROWS samples, how many two texts must share to be compared exactly: 4 deviations below the mean at 0.8.
-ALIKE = 27
 DF_BITS, IDF_SHARE = 18, 0.5
-#: Buckets of at most SMALL texts get all their open pairs at once; larger ones a leader a turn.
-SMALL, MOST_TURNS, SALTS, PLAIN_STEPS = 32, 8, 8, 4
-#: Texts on one side of a block of comparisons; tokens at once; cells that runs of open texts are counted in.
-PART, WIDTH, OPEN_BITS = 256, 8192, 20
+#: Tasks that the members of one bucket are dealt to; texts that meet one copy of a leader; steps before chains are shortened.
+SALTS, LED, PLAIN_STEPS = 8, 2048, 4
+#: Texts on one side of a block of comparisons, and tokens at once.
+PART, WIDTH = 512, 4096
 #: Ids that may be broadcast, 16 bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Copies from which a text's name is sent to its rows instead of both meeting in one task.
+HEAVY = 10_000
 #: Rows of labels or of open buckets that may be broadcast, 40 bytes each.
 BROADCAST_LABELS = 200_000
 _STEP, _CELLS, _LEVELS = 0.05, 1 << 16, 10
@@ -88,7 +86,7 @@ def idf_weights(docs: DataFrame) -> np.ndarray:
     cells = got[got.cell >= 0]
     n = max(2, int(got[got.cell < 0].n.sum()))
     df = np.ones(1 << DF_BITS)
-    df[cells.cell.to_numpy()] = np.clip(cells.n.to_numpy(), 1, n)
+    df[cells.cell.to_numpy()] = np.clip(cells.n.to_numpy() - cells.n.sum() / len(df), 1, n)
     return (1 + IDF_SHARE * np.log(n / df) / math.log(n)).astype(np.float32)
 
 
@@ -140,9 +138,7 @@ def _sketch(weights) -> callable:
                 lengths = np.zeros(end - first, dtype=np.int64)
                 lengths[full] = BANDS
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), pa.array(bands.ravel().view(np.int64)))
-                short = _text.mix(sketches.astype(U)).astype(np.uint16).view(np.int16).ravel()
-                signs = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths // BANDS * (BANDS * ROWS))), pa.int32()), pa.array(short))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(keys, pa.binary()), lists, signs], ["doc_id", "key", "bands", "signs"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(keys, pa.binary()), lists], ["doc_id", "key", "bands"])
 
     return sketch
 
@@ -209,39 +205,6 @@ def _tokens(run: np.ndarray) -> np.ndarray:
     return run | (nth.astype(U) << U(40))
 
 
-def _open_cell(token: np.ndarray) -> np.ndarray:
-    return (_text.mix(token) & U((1 << OPEN_BITS) - 1)).astype(np.int64)
-
-
-def _open_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n = np.zeros(1 << OPEN_BITS, dtype=np.int64)
-    for batch in batches:
-        for blob in batch.column(1):
-            n += 0 if not (b := blob.as_py()) else np.bincount(_open_cell(_tokens(_unpacked(b))), minlength=len(n))
-    at = np.flatnonzero(n)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["cell", "n"])
-
-
-def _prefixes(weights, often, threshold: float) -> callable:
-    """(token, key): the rarest tokens of a text that hold 1 - threshold of its weight, without those of one text only."""
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, n = weights.value, often.value
-        for batch in batches:
-            found, owner = [np.zeros(0, dtype=U)], []
-            for i, blob in enumerate(batch.column(1)):
-                token = _tokens(_unpacked(blob.as_py()))
-                often_ = n[_open_cell(token)]
-                order = np.lexsort((token, often_))
-                weight = w[_cell(token[order])].astype(np.float64)
-                before = np.cumsum(weight) - weight
-                found.append(token[order][(before <= (1 - threshold) * weight.sum() + 1e-9) & (often_[order] > 1)])
-                owner += [i] * len(found[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column(0).take(pa.array(owner, pa.int64()))], ["token", "key"])
-
-    return prefixes
-
-
 def block_links(left: list[np.ndarray], right: list[np.ndarray], w: np.ndarray, threshold: float) -> np.ndarray:
     """Whether each of the left sets of tokens has weighted Jaccard similarity threshold with each of the right ones."""
     sets = left + right
@@ -255,7 +218,7 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], w: np.ndarray,
     at = place[column]
     order = np.argsort(at, kind="stable")
     at, owner = at[order], owner[order]
-    both = np.zeros((len(left), len(right)))
+    both = np.zeros((len(left), len(right)), dtype=np.float64)
     for first in range(0, len(shared), WIDTH):
         a, b = np.searchsorted(at, [first, first + WIDTH])
         x = np.zeros((len(sets), min(WIDTH, len(shared) - first)))
@@ -266,14 +229,12 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], w: np.ndarray,
 
 
 def _compare(weights, threshold: float) -> callable:
-    """Links between the two parts of a block, or within its only one, as far as they join classes."""
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[1:]
-        a, b = (rows[rows.part == k].reset_index(drop=True) for k in (i, j))
-        ta, tb = ([_tokens(_unpacked(v)) for v in x.vector] for x in (a, b))
-        if not ta or not tb:
-            return pd.DataFrame({"a": [], "b": []})
+    """Links of a block of texts of one bucket, as far as they join classes: the left ones with the right, or all with all."""
+
+    def compare(key: tuple, rows: pa.Table) -> pa.Table:
+        keys, label, left = (rows[c].to_pylist() for c in ("key", "label", "left"))
+        a = [i for i, x in enumerate(left) if x is not False]  # null: on both sides
+        b = [i for i, x in enumerate(left) if x is not True]
         above: dict[bytes, bytes] = {}
 
         def top(x: bytes) -> bytes:
@@ -282,12 +243,14 @@ def _compare(weights, threshold: float) -> callable:
             return x
 
         out = []
-        for x, y in zip(*np.nonzero(block_links(ta, tb, weights.value, threshold)), strict=True):
-            p, q = top(a.label[x]), top(b.label[y])
-            if p != q:
-                above[max(p, q)] = min(p, q)
-                out.append((a.key[x], b.key[y]))
-        return pd.DataFrame(out, columns=["a", "b"])
+        if a and b and len(set(label)) > 1:
+            tokens = [_tokens(_unpacked(v)) for v in rows["vector"].to_pylist()]
+            for x, y in zip(*np.nonzero(block_links([tokens[i] for i in a], [tokens[i] for i in b], weights.value, threshold)), strict=True):
+                p, q = top(label[a[x]]), top(label[b[y]])
+                if p != q:
+                    above[max(p, q)] = min(p, q)
+                    out.append((keys[a[x]], keys[b[y]]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
     return compare
 
@@ -321,97 +284,74 @@ def joined_classes(labels: DataFrame, found: DataFrame) -> DataFrame:
     return cut(old.unionByName(alone), "labels")
 
 
+def led(members: DataFrame) -> DataFrame:
+    """(a, b, salt): each text b of members(bucket, key, n) with the leader a of its buckets, dealt to salts by the leader's reach."""
+    reach = members.groupBy("key").agg(F.sum("n").alias("reach"))
+    ranked = members.select("bucket", "key").join(reach, "key")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("reach", "key")).alias("l"))
+    best = ranked.join(leaders, "bucket").groupBy("key").agg(F.max("l").alias("l")).filter("key <> l.key")
+    return best.select(F.col("l.key").alias("a"), F.col("key").alias("b"), F.pmod(F.xxhash64("key"), 1 + F.floor(F.col("l.reach") / LED)).cast("int").alias("salt"))
+
+
+def verified(pairs: DataFrame, vectors: DataFrame, weights, threshold: float) -> DataFrame:
+    """The pairs (a, b) of pairs(a, b, salt) that are alike; a leader's vector is sent once to each of its salts."""
+    side = lambda c: vectors.select(F.col("key").alias(c), F.col("vector").alias(f"vector_{c}"))
+    sent = pairs.select("a", "salt").distinct().join(side("a"), "a")
+    joined = pairs.join(side("b"), "b").join(sent, ["a", "salt"]).select("a", "b", "vector_a", "vector_b")
+    return joined.mapInArrow(_verify(weights, threshold), "a binary, b binary")
+
+
+def blocks(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(bucket, kind, i, j, key, label, left, vector): the comparisons that buckets of several classes still need."""
+    known = broadcast_if(labels, BROADCAST_LABELS)
+    classed = cut(members.select("bucket", "key").join(known, "key", "left").withColumn("label", F.coalesce("label", "key")), "classed")
+    sizes = classed.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket")
+    sizes = sizes.agg(F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("k")).filter("k > 1")
+    several = sizes.select("bucket", "m", "k", F.col("most.label").alias("main"), (F.col("m") - F.col("most.c")).alias("rest"), F.col("most.c").alias("held"))
+    rows = classed.join(broadcast_if(cut(several, "open"), BROADCAST_LABELS), "bucket").join(vectors, "key")
+    parts = lambda n: F.ceil(F.col(n) / PART)
+    each = lambda n: F.sequence(F.lit(0).cast("long"), parts(n) - 1)
+    main = F.col("label") == F.col("main")
+    own = F.pmod(F.xxhash64("key"), F.when(main, parts("held")).otherwise(parts("rest")))
+    block = lambda kind, i, j, left: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), left.alias("left"))
+    zero, both = F.lit(0).cast("long"), F.lit(None).cast("boolean")
+    whole = F.array(block(0, zero, zero, both))
+    of_main = F.transform(each("rest"), lambda i: block(1, i, F.col("own"), F.lit(False)))
+    of_rest = F.transform(each("held"), lambda j: block(1, F.col("own"), j, F.lit(True)))
+    among = F.transform(each("rest"), lambda j: block(2, F.least("own", j), F.greatest("own", j), F.when(F.col("own") != j, F.col("own") < j)))
+    rows = rows.withColumn("own", own).withColumn("of_rest", F.when(F.col("k") > 2, F.concat(of_rest, among)).otherwise(of_rest))
+    rows = rows.withColumn("block", F.explode(F.when(F.col("m") <= PART, whole).when(main, of_main).otherwise(F.col("of_rest"))))
+    return rows.select("bucket", "block.*", "key", "label", "vector")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, n_copies): a row for each row of docs(doc_id, text); n_copies counts the rows of the same text."""
     sc = docs.sparkSession.sparkContext
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     weights = sc.broadcast(idf_weights(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = cut(docs.mapInArrow(_sketch(weights), f"doc_id {kind}, key binary, bands array<long>, signs array<short>"), "sketches")
-    texts = cut(rows.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "bands", "signs")).alias("s"), F.count("*").alias("n_copies")).select("key", "s.doc_id", "s.bands", "s.signs", "n_copies"), "texts")
+    rows = cut(docs.mapInArrow(_sketch(weights), f"doc_id {kind}, key binary, bands array<long>"), "sketches")
+    texts = cut(rows.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "bands")).alias("s"), F.count("*").alias("n_copies")).select("key", "s.doc_id", "s.bands", "n_copies"), "texts")
     buckets = texts.select("key", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("leader")).filter("n > 1")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     salted = buckets.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-    members = cut(salted.join(shared.select("bucket", "leader", "n", salts), ["bucket", "salt"]).select("bucket", "key", "leader", "n"), "members")
-    first = members.groupBy("key").agg(F.min("leader").alias("a"))
-    first = cut(first.join(texts.select("key", "doc_id", "signs"), "key"), "involved")
-    pairs = first.filter("key <> a").select("a", F.col("key").alias("b"))
-    involved = broadcast_if(first.select(F.col("doc_id").alias("id")), BROADCAST_IDS)
+    members = cut(salted.join(shared.select("bucket", "n", salts), ["bucket", "salt"]).select("bucket", "key", "n"), "members")
+    involved = members.select("key").distinct().join(texts.select("key", "doc_id"), "key")
+    involved = broadcast_if(cut(involved.select(F.col("doc_id").alias("id")), "involved"), BROADCAST_IDS)
     vectors = cut(docs.join(involved, docs.doc_id.eqNullSafe(involved.id), "left_semi").mapInArrow(_vectors, "key binary, vector binary").dropDuplicates(["key"]), "vectors")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda df, c, what: df.select(F.col("key").alias(c), F.col(what).alias(f"{what}_{c}"))
-        alike = F.size(F.filter(F.zip_with("signs_a", "signs_b", lambda x, y: x == y), lambda same: same))
-        near = pairs.join(side(first, "a", "signs"), "a").join(side(first, "b", "signs"), "b").filter(alike >= ALIKE).select("a", "b")
-        joined = near.join(side(vectors, "b", "vector"), "b").join(side(vectors, "a", "vector"), "a").select("a", "b", "vector_a", "vector_b")
-        return cut(joined.mapInArrow(_verify(weights, threshold), "a binary, b binary"), "verified")
-
-    found = verified(pairs)
-    labels = components(found)
-    classed_by = lambda rows: rows.join(broadcast_if(labels, BROADCAST_LABELS), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    done = pairs
-    for turn in range(MOST_TURNS):
-        classed = classed_by(members).select("bucket", "key", "label", "n")
-        if turn == 0:
-            reach = classed.groupBy("key").agg(F.sum("n").alias("reach"))
-        ranked = classed.join(reach, "key") if turn == 0 else classed
-        most = -F.col("reach") if turn == 0 else F.lit(0)  # at first whose buckets hold most texts, then others by chance
-        leader = F.min(F.struct(most.cast("long").alias("reach"), F.xxhash64("key", F.lit(turn)).alias("h"), "key", "label")).alias("l")
-        spread = ranked.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"), leader).filter("least <> most")
-        spread = cut(spread.filter(F.col("n") > SMALL) if turn else spread, "spread")
-        if not spread.limit(1).count():
-            break
-        wide = broadcast_if(spread.filter(F.col("n") > SMALL).select("bucket", "l", salts), BROADCAST_LABELS)
-        more = classed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(wide, ["bucket", "salt"]).filter("label <> l.label")
-        more = more.select(F.least("l.key", "key").alias("a"), F.greatest("l.key", "key").alias("b"))
-        if turn == 0:
-            narrow = broadcast_if(spread.filter(F.col("n") <= SMALL).select("bucket"), BROADCAST_LABELS)
-            open_ = classed.join(narrow, "bucket", "left_semi")
-            other = open_.select("bucket", F.col("key").alias("b"), F.col("label").alias("lb"))
-            more = more.unionByName(open_.join(other, "bucket").filter("key < b and label <> lb").select(F.col("key").alias("a"), "b"))
-        more = cut(more.distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(more)
-        found = verified(more)
-        if not found.limit(1).count():
-            break
+    labels = components(cut(verified(led(members), vectors, weights, threshold), "verified"))
+    compared = blocks(members, labels, vectors).groupBy("bucket", "kind", "i", "j").applyInArrow(_compare(weights, threshold), "a binary, b binary")
+    found = cut(compared.distinct(), "verified")
+    if found.limit(1).count():
         labels = joined_classes(labels, found)
-        if turn == 0:  # later turns are of the large buckets that held several classes
-            members = cut(members.join(wide.select("bucket").distinct(), "bucket", "left_semi"), "members")
-    # the exact rest: texts of large buckets that hold several classes
-    several = lambda rows, by: rows.groupBy(by).agg(F.count("*").alias("m"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
-    large = members.filter(F.col("n") > SMALL).select("bucket", "key")
-    mixed = broadcast_if(cut(several(classed_by(large), "bucket").select("bucket"), "mixed"), BROADCAST_LABELS)
-    large = cut(large.join(mixed, "bucket", "left_semi"), "large")
-    if large.limit(1).count():
-        open_vectors = cut(vectors.join(large.select("key").distinct(), "key", "left_semi"), "open")
-        counted = open_vectors.mapInArrow(_open_frequency, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        often = np.zeros(1 << OPEN_BITS, dtype=np.int32)
-        often[counted.cell.to_numpy()] = np.minimum(counted.n.to_numpy(), 2**31 - 1)
-        often = sc.broadcast(often)
-        posted = cut(open_vectors.mapInArrow(_prefixes(weights, often, threshold), "token long, key binary"), "prefixes")
-        classed = classed_by(posted)
-        few = several(classed, "token").filter(F.col("m") <= SMALL).select("token")
-        near = cut(classed.join(few, "token", "left_semi"), "near")
-        other = near.select("token", F.col("key").alias("b"), F.col("label").alias("lb"))
-        more = near.join(other, "token").filter("key < b and label <> lb").select(F.col("key").alias("a"), "b").distinct()
-        found = verified(cut(more.join(done, ["a", "b"], "left_anti"), "pairs"))
-        if found.limit(1).count():
-            labels = joined_classes(labels, found)
-        classed = classed_by(posted)
-        salted = classed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-        many = broadcast_if(cut(several(classed, "token").filter(F.col("m") > SMALL).select("token", salts), "many"), BROADCAST_LABELS)
-        dense = cut(salted.join(many, ["token", "salt"], "left_semi").select("key").distinct(), "dense")
-        if dense.limit(1).count():
-            large = classed_by(large.join(dense, "key", "left_semi"))
-            mixed = broadcast_if(several(large, "bucket").select("bucket", F.ceil(F.col("m") / PART).alias("parts")), BROADCAST_LABELS)
-            large = large.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts"))).join(open_vectors, "key")
-            blocks = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-            blocks = blocks.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "key", "label", "vector")
-            found = cut(blocks.groupBy("bucket", "i", "j").applyInPandas(_compare(weights, threshold), "a binary, b binary").distinct(), "verified")
-            if found.limit(1).count():
-                labels = joined_classes(labels, found)
     classes = texts.join(labels, "key", "left").select("key", "doc_id", "n_copies", F.coalesce("label", "key").alias("label"))
     least = classes.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = classes.join(least, "label").select("key", "class_id", "n_copies")
-    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "n_copies")
+    named = cut(classes.join(least, "label").select("key", "class_id", "n_copies"), "named")
+    weights.unpersist()
+    heavy = broadcast_if(named.filter(F.col("n_copies") > HEAVY), BROADCAST_LABELS)
+    rows = rows.select("doc_id", "key")
+    out = rows.join(heavy, "key").unionByName(rows.join(heavy.select("key"), "key", "left_anti").join(named, "key"))
+    return out.select("doc_id", "class_id", "n_copies")

@@ -19,6 +19,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from funnelspark.llm._spark import small_batches
+
 KINDS = ("email", "ip", "card", "phone", "account", "address", "login")
 BASE = 4
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -157,6 +159,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of each row of docs(doc_id, text)."""
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS[:BASE])
     return docs.select("doc_id", "text").mapInArrow(_found, f"doc_id {kind}, {counts}, base_sha256 string, spans string")
@@ -164,6 +167,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 def mask_pii(docs: DataFrame) -> DataFrame:
     """The frame with every span of its ``text`` replaced by its kind's mask; a null text stays null."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
