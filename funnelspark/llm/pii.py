@@ -5,7 +5,11 @@ Base kinds, each leftmost and non-overlapping by itself: email, ip (parts at mos
 phone (9 to 15 digits). Added kinds: account (IBAN by mod 97, keys, tokens and passwords after a cue), address (a house
 number and capitalised words before a street cue), login (a URL that carries a user).
 
-Spans count code points, end exclusive. A null text counts as empty; rows repeat as they are; other columns are ignored.
+A parser that fails marks what it read as read where a later anchor in it must fail too, so the time grows with the length
+of the text whatever it holds.
+
+Spans count code points, end exclusive. A null text counts as empty; rows repeat as they are; an empty table gives an empty
+one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-DIGITS = re.compile(r"[0-9]")
+DIGITS, RUN = re.compile(r"[0-9]"), re.compile(r"[0-9]+")
 #: Cues, also capitalised and in capitals; and what may follow one.
 ACCOUNT_CUES = ("password", "passwd", "token", "api_key", "api key", "secret", "account", "acct", "iban", "ssn", "passport")
 STREET_CUES = (" Street", " Avenue", " Road", " Lane", " Boulevard", " Drive", " Straße", " Strasse", " Platz", " St.", " Ave.", " Rd.")
@@ -71,12 +75,13 @@ def iban_ok(value: str) -> bool:
     return 15 <= len(value) <= 34 and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
-def _account(text: str, end: int) -> tuple[int, int] | None:
+def _account(text: str, end: int) -> tuple[int, int, bool] | None:
+    """Start and end of the value after a cue, and whether it is one: a run without digits holds no value at a later cue either."""
     at = AFTER_CUE.match(text, end).end()
     if (m := IBAN.match(text, at)) and iban_ok(m[0]):
-        return m.span()
+        return *m.span(), True
     m = VALUE.match(text, at)
-    return m.span() if m and DIGITS.search(m[0]) and (FIRST.match(m[0]) or len(m[0]) >= LONG) else None
+    return m and (*m.span(), bool(DIGITS.search(m[0]) and (FIRST.match(m[0]) or len(m[0]) >= LONG)))
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
@@ -95,8 +100,11 @@ def find(text: str) -> list[tuple[int, int, int]]:
             if at >= past[2] and (m := CARD.match(text, at)):
                 digits = re.sub(r"[\x20-]", "", m[0])
                 took(2, at, m.end(), 13 <= len(digits) <= 19 and luhn(digits))
-            if at >= past[1] and (m := IP.match(text, at)):
-                took(1, at, m.end(), all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")))
+            if at >= past[1]:
+                if m := IP.match(text, at):
+                    took(1, at, m.end(), all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split("."))))
+                else:  # nor at any other digit of this run
+                    past[1] = RUN.match(text, at).end()
         elif what == 0:
             start = at
             while start > past[0] and text[start - 1] in LOCAL:
@@ -107,8 +115,8 @@ def find(text: str) -> list[tuple[int, int, int]]:
             if at >= past[3] and (m := PHONE.match(text, at)):
                 took(3, at, m.end(), 9 <= len(DIGITS.findall(m[0])) <= 15)
         elif what == 4:
-            if end >= past[4] and (span := _account(text, end)):
-                took(4, *span, True)
+            if end >= past[4] and (span := _account(text, end)) and (span[2] or span[1] - span[0] > LONG):
+                took(4, *span)
         elif what == 5:
             if (m := STREET.search(text[max(past[5], at - 160) : at])) and not text[end : end + 1].isalpha():
                 took(5, at - len(m[0]), end, True)
@@ -146,23 +154,24 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: list[list[int]] = [[] for _ in range(BASE)]
-        sha, spans = [], []
+        sha, spans, n = [], [], []
         for value in batch.column(1):
             found = find(text) if (text := value.as_py()) else []
             for k in range(BASE):
                 counts[k].append(sum(x[0] == k for x in found))
             sha.append(hashlib.sha256(joined([x for x in found if x[0] < BASE]).encode()).hexdigest())
             spans.append(joined(found))
-        columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(sha, pa.string()), pa.array(spans, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", *(f"n_{k}" for k in KINDS[:BASE]), "base_sha256", "spans"])
+            n.append(len(found))
+        columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(sha, pa.string()), pa.array(spans, pa.string()), pa.array(n, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", *(f"n_{k}" for k in KINDS[:BASE]), "base_sha256", "spans", "n_spans"])
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of each row of docs(doc_id, text)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans of each row of docs(doc_id, text)."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS[:BASE])
-    return docs.select("doc_id", "text").mapInArrow(_found, f"doc_id {kind}, {counts}, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(_found, f"doc_id {kind}, {counts}, base_sha256 string, spans string, n_spans long")
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
