@@ -1,19 +1,28 @@
 """Main text of web pages by two-pass block rules: stop-word density, length and link density.
 
-A page is cut into blocks at block-level tags; scripts, styles, markup and forms never make text. Blocks inside menus,
-page headers, footers, sidebars, notices, adverts and reader comments, by element, role or class word, are left out. In pass
-one the others are good, bad or undecided by the share of stop words (four languages), length and share of linked
-characters; inside an article or main element only a block of links is bad. In pass two an undecided block takes the
-label of the nearest decided blocks before and after it; where these differ the nearer wins, then the good one.
+A page is cut into blocks at block-level tags; scripts, styles, markup and forms never make text. Blocks inside menus, page
+headers, footers, sidebars, notices, adverts and reader comments, by element, role or class, are left out. A class speaks of
+furniture by its first or last part (``main-menu``, ``comment-list``), but not as a mark of the layout (``with-sidebar``);
+inside an article a paragraph or heading is left out for the plainest words only.
 
-A null html gives an empty text, as does a page without good blocks; rows repeat as they are; other columns are ignored.
+In pass one the other blocks are good, bad or undecided by the share of stop words (four languages), length and share of
+linked characters; where the page's text fits none of these languages, by length and links alone; inside an article or main
+element only items of lists that are all link are bad. In pass two an undecided block takes the label of the nearest decided
+blocks before and after it; where these differ the nearer wins, then the good one; where none is decided all are good.
+
+The page is read once from start to end, whatever it holds: tags and quotes that never close are looked for once.
+
+A null html gives an empty text, as does a page without good blocks; an empty table gives an empty one; rows repeat as they
+are; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,123 +41,185 @@ SKIPPED = frozenset("nav footer aside form head script style noscript template i
 RAW = frozenset("script style textarea title noscript iframe template svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice sidebar comment comments disqus respond menu nav navbar navigation breadcrumb breadcrumbs share sharing social related popup modal newsletter subscribe footer widget toolbar pagination pager login signup masthead".split())
+#: Of these, the ones that also drop a paragraph or heading of an article; first parts that speak of the layout, not of the element.
+PLAIN_WORDS = frozenset("ad ads advert adverts advertisement sponsored cookie cookies comment comments breadcrumb breadcrumbs newsletter".split())
+LAYOUT = frozenset("with has have no without is not layout".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-OWN_WORDS = frozenset("article post entry story content main body text".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre span b i em strong a td th dd dt li figcaption".split())
+#: Elements that their next sibling of the same name ends.
+ENDED = frozenset("li dt dd td th tr".split())
 SHORT, LONG = 70, 200
 LOW, HIGH, LINKS = 0.2, 0.3, 0.5
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"<(/?)([A-Za-z][^\s/><]*)")
+EDGE = re.compile(r">|=\s*[\"']")
 NAMED = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[^\W\d_]+")
-PARTS = re.compile(r"[a-z]+")
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 GOOD, BAD, OPEN = 1, 0, None
 
 
+def _furniture(value: str, name: str, in_article: bool) -> bool:
+    """Whether a class or id speaks of page furniture."""
+    words = PLAIN_WORDS if in_article and name in PARAGRAPHS else SKIP_WORDS
+    for token in value.split():
+        parts = [p.lower() for p in PARTS.findall(token)]
+        if not parts or parts[0] in LAYOUT:
+            continue
+        if parts[0] in words or parts[-1] in words:
+            return True
+        if parts[-1] == "header" and not in_article and parts[0] not in ("article", "entry", "post", "story", "content"):
+            return True
+    return False
+
+
 def _skips(name: str, attrs: str, in_article: bool) -> bool:
     if name in SKIPPED or name == "header" and not in_article:
         return True
     if not attrs or name in ("html", "body", "article", "main"):
         return False
     for key, *values in NAMED.findall(attrs):
-        key, value = key.lower(), "".join(values).lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in SKIP_ROLES:
+        key, value = key.lower(), "".join(values)
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in SKIP_ROLES:
+            return True
+        if key in ("class", "id") and _furniture(value, name, in_article):
             return True
-        if key in ("class", "id"):
-            words = set(PARTS.findall(value))
-            if words & SKIP_WORDS and not words & OWN_WORDS or "header" in words and not in_article and not words & OWN_WORDS:
-                return True
     return False
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, linked characters, skipped, in an article) of every block in page order."""
-    out: list[tuple[str, int, bool, bool]] = []
+@cache
+def _shut(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I)
+
+
+def tags(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """(text before, mark, attributes, end) of every tag in order; mark is name, /name, or empty for what makes no text.
+
+    The consumer may send a place further on, from which reading goes on. Text after the last tag comes with mark "end".
+    """
+    at, n, quoted = 0, len(page), True
+    last = {q: page.rfind(q) for q in "\"'"}
+
+    def shut(i: int) -> int:
+        """Where the tag ends whose attributes begin at i; quotes that have no end are plain."""
+        nonlocal quoted
+        begin = i
+        while quoted and (m := EDGE.search(page, i)):
+            if m[0] == ">":
+                return m.start()
+            q = m[0][-1]
+            i = page.find(q, m.end()) + 1 if m.end() <= last[q] else m.end()
+        quoted = False
+        return page.find(">", begin)
+
+    start = 0
+    while (i := page.find("<", at)) >= 0:
+        m, mark, attrs, end, text = NAME.match(page, i), "", "", i + 1, page[start:i]
+        if m:
+            if (g := shut(m.end())) < 0:
+                break
+            mark, attrs, end = m[1] + m[2].lower(), page[m.end() : g], g + 1
+        elif page.startswith("<![CDATA[", i):
+            g = page.find("]]>", i)
+            text, end = text + html.escape(page[i + 9 : g if g >= 0 else n], quote=False), g + 3 if g >= 0 else n
+        elif page.startswith("<!--", i):
+            end = i + 5 if page.startswith("<!-->", i) else page.find("-->", i + 4) + 3
+            end = end if end > 2 else n
+        elif page[i + 1 : i + 2] in ("!", "?", "/"):
+            end = page.find(">", i) + 1 or n
+        else:  # a sign by itself is text
+            at = i + 1
+            continue
+        sent = yield text, mark, attrs, end
+        at = start = max(end, sent or 0)
+        if sent:
+            yield "", "", "", at
+    yield page[start:], "end", "", n
+
+
+def blocks(page: str) -> list[tuple[str, int, bool, bool, str]]:
+    """(text, linked characters, skipped, in an article, element) of every block in page order."""
+    out: list[tuple[str, int, bool, bool, str]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, skipped, in an article
-    linked = in_link = 0
+    n_open: Counter[str] = Counter()
+    linked, in_link, begun = 0, False, set()
 
     def flush() -> None:
         nonlocal linked
         if parts:
-            if text := " ".join(html.unescape("".join(parts)).split()):
-                skip, article = stack[-1][1:] if stack else (False, False)
-                out.append((text, linked, skip, article))
+            if text := " ".join("".join(parts).split()):
+                name, skip, article = stack[-1] if stack else ("", False, False)
+                out.append((text, linked, skip, article, name))
             parts.clear()
         linked = 0
 
-    def add(piece: str) -> None:
-        nonlocal linked
-        parts.append(piece)
-        if in_link:
-            linked += len(piece.strip())
-
-    at, end = 0, len(page)
-    while at < end:
-        m = TOKEN.search(page, at)
-        if not m:
-            add(page[at:])
-            break
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
-        if m["cdata"]:
-            add(m["cdata"])
-        if not name:
-            continue
+    def pop() -> None:
+        n_open[stack.pop()[0]] -= 1
+
+    reader = tags(page)
+    for text, mark, attrs, end in reader:
+        if text:
+            piece = html.unescape(text)
+            parts.append(piece)
+            linked += len(piece.strip()) if in_link else 0
+        name = mark.lstrip("/")
         if name in BLOCKS:
             flush()
         elif name == "br":
             parts.append(" ")
-        if m["close"]:
-            if name == "a":
-                in_link = 0
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    if stack[i][1]:
-                        flush()
-                    del stack[i:]
+        if mark.startswith("/"):
+            in_link = in_link and name != "a" and name not in BLOCKS
+            while n_open[name]:
+                found = stack[-1][0] == name
+                if stack[-1][1]:
+                    flush()
+                pop()
+                if found:
                     break
             continue
         if name == "a":
-            in_link = 1
-            continue
-        if name in VOID or m["attrs"].endswith("/") and name not in BLOCKS:
+            in_link = True
+        if not name or name in ("a", "end") or name in VOID or attrs.endswith("/") and name not in BLOCKS:
             continue
         if name in RAW:
-            shut = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = shut.end() if shut else end
+            shut = _shut(name).search(page, end)
+            reader.send(shut.end() if shut else len(page))
             continue
+        if name in BLOCKS and stack and (stack[-1][0] == "p" or name in ENDED and stack[-1][0] == name):
+            pop()
+        if name in ("article", "main", "body") and name not in begun:  # furniture left open before the text began
+            begun.add(name)
+            stack = [x for x in stack if not (x[1] and x[0] in ("head", "nav", "header", "footer"))]
+            n_open = Counter(x[0] for x in stack)
         skip, article = stack[-1][1:] if stack else (False, False)
-        if name in BLOCKS and stack and stack[-1][0] == "p":
-            stack.pop()
-            skip, article = stack[-1][1:] if stack else (False, False)
-        if name in ("article", "main", "body"):
-            own = [x for x in stack if x[1] and x[0] in ("head", "nav", "header", "footer")]  # left open before the text began
-            if own or name == "body":
-                stack = [x for x in stack if x not in own]
-                skip = any(x[1] for x in stack)
-        inner = article or name in ("article", "main")
-        own_skip = _skips(name, m["attrs"], article)
+        own_skip = _skips(name, attrs, article)
         if own_skip and not skip:
-            if name not in BLOCKS:
-                flush()
-            in_link = 0
+            flush()
+            in_link = False
         if name in BLOCKS or own_skip:
-            stack.append((name, skip or own_skip, inner))
+            stack.append((name, skip or own_skip, article or name in ("article", "main")))
+            n_open[name] += 1
     flush()
     return out
 
 
-def _first_pass(text: str, linked: int, article: bool) -> int | None:
+def _density(text: str) -> tuple[int, int]:
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _first_pass(text: str, linked: int, article: bool, element: str, listed: bool) -> int | None:
     links = linked / len(text)
-    if links > LINKS and (not article or links > 0.9 and len(text) < SHORT):
-        return BAD
     if article:
-        return GOOD
+        return BAD if element == "li" and links > 0.9 else GOOD
+    if links > LINKS:
+        return BAD
     if len(text) < SHORT:
         return OPEN if not linked else BAD
-    words = WORD.findall(text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if not listed:  # none of the languages: length and links alone
+        return GOOD if len(text) > LONG else OPEN
+    stops, words = _density(text)
+    density = stops / max(1, words)
     if density >= HIGH:
         return GOOD if len(text) > LONG else OPEN
     return OPEN if density >= LOW else BAD
@@ -156,7 +227,9 @@ def _first_pass(text: str, linked: int, article: bool) -> int | None:
 
 def main_text(page: str) -> str:
     found = [b for b in blocks(page) if not b[2]]
-    labels = [_first_pass(b[0], b[1], b[3]) for b in found]
+    counted = [_density(b[0]) for b in found if not b[3] and 2 * b[1] < len(b[0])]
+    listed = sum(s for s, _ in counted) >= LOW / 2 * sum(w for _, w in counted)
+    labels = [_first_pass(text, linked, article, name, listed) for text, linked, _, article, name in found]
     n = len(labels)
     before: list[tuple[int, int | None]] = []
     near, dist = None, 0
