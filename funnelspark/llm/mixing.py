@@ -7,7 +7,8 @@ stretched to its target: a document takes the whole words of its stretch, at mos
 
 While training runs from 0 to 1, a source's rate is ``target * (1 + a * (2t - 1))`` with slopes a from -1/2 for the first
 source to 1/2 for the last. Integrated, the demand up to t is ``target * (t + a * (t^2 - t))``; inverting that at the
-start of each stretch gives the document's position, by which the result is range-sorted.
+start of each stretch gives the document's position, by which the result is range-sorted. A document taken several times
+has a position for each time: the starts of its words laid end to end in its stretch.
 
 The running sum within a source is split in ``16 ** HEX`` buckets of the md5 order, so a source of a third of all rows is
 no single task; results do not depend on the number of buckets.
@@ -51,7 +52,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: i
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, position of each row of docs(doc_id, source, text), by position."""
+    """doc_id, source, size, source_size, target, taken, position, positions of each row of docs(doc_id, source, text), by position.
+
+    positions has one for each time that a document is read, none if it isn't; position is that of its stretch.
+    """
     order = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit(""))
     rows = cut(docs.select("doc_id", "source", size(F.col("text")).alias("size"), order.alias("order"), F.substring(order, 1, HEX).alias("bucket")), "sizes")
     goal = targets(rows, weights, max_repeats)
@@ -63,8 +67,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     laid = laid.join(offsets, laid.source.eqNullSafe(offsets.s) & (laid.bucket == offsets.b)).withColumn("start", F.col("offset") + F.col("before"))
     stretch = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     taken = F.least(F.floor(stretch * (F.col("start") + F.col("size"))) - F.floor(stretch * F.col("start")), F.col("size") * max_repeats)
+    inverse = lambda u: 2 * u / ((1 - F.col("slope")) + F.sqrt((1 - F.col("slope")) * (1 - F.col("slope")) + 4 * F.col("slope") * u))
     u = F.when(F.col("source_size") > 0, F.col("start") / F.col("source_size")).otherwise(0.0)
-    straight = 1 - F.col("slope")
-    position = 2 * u / (straight + F.sqrt(straight * straight + 4 * F.col("slope") * u))
-    out = laid.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), position.alias("position"))
+    laid = laid.select("doc_id", "source", "size", "source_size", "target", "slope", taken.cast("long").alias("taken"), u.alias("u"))
+    times = F.when(F.col("taken") > 0, F.sequence(F.lit(0), (F.ceil(F.col("taken") / F.col("size")) - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
+    each = F.transform(times, lambda i: inverse(F.col("u") + i * F.col("size") / F.col("target")))
+    out = laid.select("doc_id", "source", "size", "source_size", "target", "taken", inverse(F.col("u")).alias("position"), each.alias("positions"))
     return out.orderBy("position", "doc_id")
+
+
+def training_order(mixed: DataFrame) -> DataFrame:
+    """A row for each time that a document of mix() is read, range-sorted by its position (``at``); unread ones have none."""
+    return mixed.select("*", F.explode("positions").alias("at")).orderBy("at", "doc_id")

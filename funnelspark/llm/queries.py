@@ -33,7 +33,9 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    last = F.try_element_at("positions", F.lit(-1)).alias("last_position")
+    return found.select("doc_id", "size", "source_size", "target", "taken", "position", last, F.size("positions").cast("long").alias("n_reads"))
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,11 +89,16 @@ f AS (SELECT *, row_number() OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank)
         CAST(everything - coalesce(sum(cap) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
         / sum(weight) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM v),
 g AS (SELECT *, arg_min(level, place) FILTER (level * weight <= cap) OVER () AS fill FROM f),
-goal AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), fill * weight) AS target FROM g),
+goal AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), fill * weight) AS target,
+           CASE WHEN count(*) OVER () > 1 THEN CAST(rank AS DOUBLE) / (count(*) OVER () - 1) - 0.5 ELSE 0 END AS slope FROM g),
 laid AS (SELECT z.*, CAST(sum(size) OVER (PARTITION BY source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS start FROM z)
-SELECT doc_id, size, source_size, target,
+SELECT doc_id, size, source_size, target, taken, 2 * u / ((1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * u)) AS position,
+       2 * w / ((1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * w)) AS last_position, n_reads
+FROM (SELECT *, CASE WHEN n_reads > 0 THEN u + CAST((n_reads - 1) * size AS DOUBLE) / target END AS w
+      FROM (SELECT *, CASE WHEN taken > 0 THEN CAST((taken + size - 1) // size AS BIGINT) ELSE 0 END AS n_reads, CASE WHEN source_size > 0 THEN CAST(start AS DOUBLE) / source_size ELSE 0 END AS u
+            FROM (SELECT doc_id, size, source_size, target, slope, start,
        CAST(CASE WHEN source_size > 0 THEN least(floor(target / source_size * (start + size)) - floor(target / source_size * start), size * 3) ELSE 0 END AS BIGINT) AS taken
-FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source
+FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source)))
 """
 
 OP6_SQL = "WITH " + MIX_SQL.format("documents").strip()
