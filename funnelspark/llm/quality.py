@@ -2,14 +2,14 @@
 
 Both are generative models of the bytes of a text, each given the ``ORDER - 1`` before it, with n-grams and contexts
 hashed to ``2 ** BITS`` cells: the raw model counts all documents, the target model those of the target set, smoothed
-towards the raw one. A document's log importance is its log ratio a token, times ``SCALE``: being conditional and a token,
-it follows neither the languages' shares nor the length. A Gumbel variable drawn by a hash of doc_id is added, and the
-``k`` greatest keys are a sample without replacement by importance. k is the target's share of the labelled rows, times
-the number of documents.
-
-The k-th key is found exactly by four counts over 16 bits of the keys each, so nothing is sorted or gathered; rows whose
-key ties with it are all selected. Nulls: a null text counts as empty and weighs 0. Rows that repeat share their key.
-Where nothing is labelled all are selected. Other columns are ignored.
+towards the raw one. A document's log importance is the sum of its log ratios, the logarithm of target over raw likelihood.
+A Gumbel variable drawn by a hash of doc_id, text and seed is added, and the ``k`` greatest keys are a sample without
+replacement by importance. k is the target's share of the labelled rows, times the number of documents.
+
+The k-th key is found exactly by four counts over 16 bits of the keys each, so nothing is sorted or gathered. Keys tie only
+for rows alike in doc_id and text; those that tie with the k-th are all selected. Nulls: a null text counts as empty and
+weighs 0; a null doc_id is drawn for by its text. Where nothing is labelled all are selected; an empty table gives an empty
+one. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,17 +22,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
-from funnelspark.llm._spark import broadcast_if, cut
-from funnelspark.llm.cross_entropy import grams
+from funnelspark.llm._spark import broadcast_if, cut, small_batches
 
-BITS, SEED = 17, 17
-#: Weight of a mean log ratio of 1 against the Gumbel variable; pseudo-counts of a context.
-SCALE, SMOOTHING = 1000.0, 8.0
+ORDER, BITS, SEED = 5, 17, 17
+#: Pseudo-counts of a context.
+SMOOTHING = 8.0
 BROADCAST_IDS = 1_000_000
-SLICE = 1 << 20
+SLICE = 1 << 18
 U = np.uint64
 
 
+def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The n-gram, 8 bits a token, that ends at each byte of the texts; null bytes stand before the first."""
+    n, lengths = len(data), np.diff(offsets)
+    place = np.arange(n) - np.repeat(offsets[:-1], lengths)
+    out = data.astype(np.int64)
+    for back in range(1, ORDER):
+        earlier = np.zeros(n, dtype=np.int64)
+        earlier[back:] = data[:-back] if back < n else 0
+        out |= np.where(place >= back, earlier, 0) << (8 * back)
+    return out
+
+
 def cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each byte, the cells of its n-gram and of its context."""
     gram = grams(data, offsets)
@@ -73,8 +84,7 @@ def _weigh(sent) -> callable:
                 gram, context = cells(data, offsets)
                 p = np.minimum(1, (raw[gram] + 1 / 256) / (raw_all[context] + 1))
                 q = np.minimum(1, (target[gram] + SMOOTHING * p) / (target_all[context] + SMOOTHING))
-                lengths = np.diff(offsets)
-                weight = SCALE * np.bincount(np.repeat(np.arange(end - first), lengths), weights=np.log(q / p), minlength=end - first) / np.maximum(lengths, 1)
+                weight = np.bincount(np.repeat(np.arange(end - first), np.diff(offsets)), weights=np.log(q / p), minlength=end - first)
                 bits = (weight + noise[first:end]).view(np.int64)
                 key = np.where(bits >= 0, bits, bits ^ np.int64(0x7FFFFFFFFFFFFFFF))  # in the order of the numbers
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(weight), pa.array(key)], ["doc_id", "log_importance", "key"])
@@ -96,8 +106,9 @@ def kth_greatest(rows: DataFrame, k: int) -> int:
     return prefix
 
 
-def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
     """doc_id, log_importance, selected of each row of docs(doc_id, text); labels(doc_id, quality, toxic): target is quality 1, toxic 0."""
+    small_batches(docs.sparkSession)
     good = (F.coalesce(F.col("quality"), F.lit(0)) == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     by_id = labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(good).alias("wanted"))
     share = by_id.agg(F.avg(F.col("wanted").cast("int")).alias("share")).first().share
@@ -105,9 +116,10 @@ def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = counts(docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted")))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 1)
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 1)
     rows = docs.select("doc_id", "text", draw.alias("draw")).mapInArrow(_weigh(sent), f"doc_id {kind}, log_importance double, key long")
     rows = cut(rows, "weights")
+    sent.unpersist()
     k = round((1.0 if share is None else share) * rows.count())
     chosen = F.col("key") >= kth_greatest(rows, k) if k else F.lit(False)
     return rows.select("doc_id", "log_importance", chosen.alias("selected"))
