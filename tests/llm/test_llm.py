@@ -4,9 +4,12 @@ import hashlib
 import itertools
 import random
 import re
+import time
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,22 +212,50 @@ def test_url_rules(spark):
     assert got[6][2:] == ("org/es/", "block") and got[8] == ("h", "", None, "allow")
 
 
-def test_mined_rules_against_brute_force(spark):
-    rng = random.Random(6)
-    urls = [f"http://{rng.choice(['a', 'b', 'spam'])}.site{rng.randint(0, 2)}.io/{rng.choice(['buy', 'news'])}/{rng.choice(['x', 'y'])}" for _ in range(400)]
-    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
-    bad = [int("spam" in u and "buy" in u or rng.random() < 0.05) for u in urls]
-    labels = spark.createDataFrame([(i, 1, b) for i, b in enumerate(bad[:300])], "doc_id long, quality int, toxic int")
-    got = {r.page_id: r.verdict for r in url_rules.judge(pages, labels).collect()}
-    tok = {r.page_id: frozenset(r.t) for r in pages.select("page_id", url_rules.tokens(url_rules.host(F.col("url")), url_rules.path(F.col("url"))).alias("t")).collect()}
-    sets = {frozenset(s) for i in range(300) for n in range(1, 9) for s in itertools.combinations(sorted(tok[i]), n)}
-    rules = set()
+def mined_by_hand(tok, marked):
+    """All rules by counting every item set: {tokens: (confidence, n)}; marked: (page, bad) of each label."""
+    base = sum(b for _, b in marked) / len(marked)
+    sets = {s for i, b in marked if b for n in range(1, len(tok[i]) + 1) for s in itertools.combinations(sorted(tok[i]), n)}
+    # of tokens that the same pages hold the least stands for all
+    held = {t: tuple(k for k, (i, _) in enumerate(marked) if t in tok[i]) for s in sets for t in s}
+    stands = {min(t for t in held if held[t] == h) for h in held.values()}
+    rules = {}
     for s in sets:
-        hits = [i for i in range(300) if s <= tok[i]]
-        n = sum(bad[i] for i in hits)
-        if n >= url_rules.LEAST and n / len(hits) >= url_rules.CONFIDENCE:
-            rules.add(s)
-    assert got == {i: "block" if any(s <= t for s in rules) else "allow" for i, t in tok.items()} and "block" in got.values()
+        hits = [b for i, b in marked if set(s) <= tok[i]]
+        if set(s) <= stands and sum(hits) >= url_rules.LEAST and sum(hits) / len(hits) >= base + url_rules.Z * (base * (1 - base) / len(hits)) ** 0.5:
+            rules[s] = sum(hits) / len(hits)
+    return {s: c for s, c in rules.items() if not any(rules.get(s[:i] + s[i + 1 :], -1) >= c for i in range(len(s)))}
+
+
+@pytest.mark.parametrize("made_up", [True, False])
+def test_mined_rules_against_brute_force(spark, made_up):
+    if made_up:
+        rng = random.Random(6)
+        urls = [f"http://{rng.choice(['a', 'b', 'spam'])}.site{rng.randint(0, 2)}.io/{rng.choice(['buy', 'news'])}/{rng.choice(['x', 'y'])}?s={rng.randint(1, 9)}" for _ in range(400)]
+        pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(400, None), (401, "")], "page_id long, url string")
+        bad = [int("spam" in u and "buy" in u or rng.random() < 0.05) for u in urls]
+        labels = spark.createDataFrame([(i, 1, b) for i, b in enumerate(bad[:300])] + [(5, 0, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    else:
+        pages, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("pages", "labels"))
+    h, p, q = (f(F.col("url")) for f in (url_rules.host, url_rules.path, url_rules.query))
+    tok = {r.page_id: frozenset(r.t) for r in pages.select("page_id", url_rules.tokens(h, p, q).alias("t")).collect()}
+    marked = [(r.doc_id, r.toxic == 1 or r.quality == 0) for r in labels.collect() if tok.get(r.doc_id)]
+    rules = mined_by_hand(tok, marked)
+    got = {r.page_id: r for r in url_rules.judge(pages, labels).collect()}
+    best = {i: max((rules[s], " & ".join(s)) for s in [*rules] if set(s) <= t)[1] if any(set(s) <= t for s in rules) else None for i, t in tok.items()}
+    assert {i: r.mined for i, r in got.items()} == best
+    assert any(r.rule is None and r.verdict == "block" for r in got.values()) and all(r.verdict == ("block" if best[i] else "allow") for i, r in got.items() if r.rule is None)
+
+
+def test_url_rules_of_long_and_repeated_urls(spark):
+    """Sixty tokens that always meet are one item; a bound on item sets raises the support instead of cutting the URL."""
+    deep = "http://long.site.io/" + "/".join(f"part{c}{d}" for c in "abcdef" for d in "ghijklmnop")
+    pages = spark.createDataFrame([(i, deep if i < 30 else f"http://fine.site.io/{'xyz'[i % 3]}") for i in range(200)] * 2, "page_id long, url string").withColumn("tokens", F.lit("clash"))
+    labels = spark.createDataFrame([(i, 1, int(i < 30)) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages, labels).collect()}
+    assert got == {i: "block" if i < 30 else "allow" for i in range(200)}
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert url_rules.judge(empty, labels).count() == 0
 
 
 # --- 6 ---------------------------------------------------------------------------------------------------------------
@@ -260,6 +291,9 @@ def test_mixing(spark):
         assert own[0].target == pytest.approx(goal[n]) and abs(sum(r.taken for r in own) - goal[n]) <= 1
     assert all(0 <= r.taken <= 3 * r.size and 0 <= r.position <= 1 for r in out) and len(out) == 300
     assert [r.position for r in out] == sorted(r.position for r in out)
+    assert all(len(r.positions) == (-(-r.taken // r.size) if r.taken else 0) and r.positions == sorted(r.positions) and (not r.taken or r.positions[0] == r.position) for r in out)
+    read = mixing.training_order(mixing.mix(docs)).collect()
+    assert [r.at for r in read] == sorted(x for r in out for x in r.positions) and len(read) > 100
     assert out == mixing.mix(docs.repartition(7)).collect()
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix(documents(spark, [None])).first().taken == 0
 
@@ -276,12 +310,37 @@ def test_topk_is_exact(spark, block):
     got = {}
     for r in topk.top_k(df, df.filter("vec_id % 50 = 0 or vec_id > 300"), block=block, group=3).collect():
         got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
-    vec = {i: [int(np.floor(np.float64(np.float32(x)) * 256)) for x in v] for i, v in data if v and all(x is not None and np.isfinite(x) for x in v)}
+    vec = {i: [int(np.floor(np.float64(np.float32(x)) * 256)) for x in v] for i, v in data if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     for q in [i for i in vec if i % 50 == 0 or i > 300]:
         s = sorted(((i, sum(a * b for a, b in zip(vec[q], v, strict=False))) for i, v in vec.items() if i != q), key=lambda x: (-x[1], x[0]))[:5]
         assert [got[q][k] for k in range(1, 6)] == s
 
 
+@pytest.mark.parametrize("block", [20_000, 10])
+def test_topk_of_great_components_is_exact(spark, block):
+    rng = random.Random(3)
+    data = [(i, [rng.choice([1e300, -1e300, 2.0**50 + 1, 3.0, 0.5, -(2.0**45) - 7]) for _ in range(3)]) for i in range(60)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, df.filter("vec_id % 10 = 0"), block=block, group=4).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    whole = {i: [int(x) * 256 if abs(x) > 2**53 else int(np.floor(x * 256)) for x in v] for i, v in data}
+    for q in range(0, 60, 10):
+        s = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:5]
+        assert sorted(got[q]) == [(k + 1, i, min(max(-v, -(2**63)), 2**63 - 1)) for k, (v, i) in enumerate(s)]
+    none = df.limit(0)
+    assert topk.top_k(none, none).count() == 0 and topk.top_k(df, none).count() == 0
+
+
+def test_topk_bound_of_another_block_prunes():
+    rng = np.random.default_rng(1)
+    x = np.floor(rng.pareto(2, size=(5000, 4)) * 100)
+    order, q = np.argsort(-x, axis=0, kind="stable"), np.array([3.0, 0, 1, 0])
+    best = float(np.sort(x @ q)[-3])
+    ids, scores, met = topk.threshold_search(q, x, np.arange(5000), order, -1, 5, best)
+    assert scores.tolist() == sorted(x @ q, reverse=True)[:3] and met < topk.threshold_search(q, x, np.arange(5000), order, -1, 5)[2]
+
+
 def test_threshold_algorithm_stops_early():
     rng = np.random.default_rng(1)
     x = np.floor(rng.pareto(2, size=(5000, 4)) * 100)
@@ -294,25 +353,109 @@ def test_threshold_algorithm_stops_early():
 # --- 8, 9 ------------------------------------------------------------------------------------------------------------
 
 
-def test_cross_entropy(spark):
+def losses_by_hand(texts, chosen, share):
+    """Losses and score of each text with itself left out, by counting words again and again."""
+    toks = [words(t) for t in texts]
+    n1, n2 = {}, {}
+    for i, w in enumerate(toks):
+        for x in w:
+            n1.setdefault(x, []).append(i)
+        for x in itertools.pairwise(w):
+            n2.setdefault(x, []).append(i)
+    total, v = sum(map(len, toks)), len(n1) + 1
+    n2 = {g: at for g, at in n2.items() if len(at) >= max(2, share * total)}
+    sizes = [sum(len(w) for i, w in enumerate(toks) if (i in chosen) == side) for side in (False, True)]
+    ratio = min(1, sizes[1] / sizes[0])
+    out = []
+    for me, w in enumerate(toks):
+        loss = []
+        for side in (False, True):
+            scale = 1 if side else ratio
+            count = lambda at: scale * sum((i in chosen) == side and i != me for i in at)  # noqa: B023, E731
+            rest = scale * (sizes[side] - len(w) * ((me in chosen) == side))
+            bits = 0.0
+            for before, x in zip([None, *w], w, strict=False):
+                p1 = (count(n1[x]) + cross_entropy.PRIOR / v) / (rest + cross_entropy.PRIOR)
+                left = sum(count(at) for g, at in n2.items() if g[0] == before)
+                bits -= np.log2((count(n2.get((before, x), [])) + cross_entropy.BACK_OFF * p1) / (left + cross_entropy.BACK_OFF))
+            loss.append(bits / len(w) if w else 0.0)
+        out.append((len(w), *loss, loss[1] - loss[0]))
+    return out
+
+
+@pytest.mark.parametrize("share", [cross_entropy.SHARE, 0.01])  # all words in the tables, or most of them joined
+def test_cross_entropy_against_brute_force(spark, share):
     rng = random.Random(10)
-    texts = [text(rng, 80) for _ in range(60)] + ["%$ ##@! " * 40 for _ in range(20)] + [None, "", "k"]
-    docs = documents(spark, texts)
-    good = spark.createDataFrame([(i,) for i in range(60)] + [(0,), (None,)], "doc_id long")
-    a = {r.doc_id: r for r in cross_entropy.score(docs, good).collect()}
-    assert max(a[i].score for i in range(60)) < min(a[i].score for i in range(60, 80)) and a[80].score == a[81].score == 0 and a[80].n_tokens == 0
-    b = {r.doc_id: r for r in cross_entropy.score(docs, good, broadcast_grams=10).collect()}  # the joined way
-    assert a.keys() == b.keys() and all(a[i].score == pytest.approx(b[i].score, abs=1e-6) and a[i].n_tokens == b[i].n_tokens for i in a)
-    # one document's loss by hand
-    pad, n, ctx = b"\0" * 4, {}, {}
+    texts = [text(rng, rng.randint(1, 30)) for _ in range(40)] + [f"w{rng.randint(0, 30)} zz{i} " * 8 for i in range(15)] + [None, "", "k", "%%", "Da DA da"]
+    docs = documents(spark, texts).withColumn("b", F.lit(1)).withColumn("wanted", F.lit("clash"))
+    good = spark.createDataFrame([(i,) for i in range(0, 40, 3)] + [(0,), (None,), (999,)], "doc_id long")
+    got = {r.doc_id: (r.n_tokens, r.background_loss, r.target_loss, r.score) for r in cross_entropy.score(docs, good, share).collect()}
+    want = losses_by_hand(texts, set(range(0, 40, 3)), share)
+    assert len(got) == len(texts) and all(got[i] == pytest.approx(w, abs=1e-9) for i, w in enumerate(want))
+
+
+def test_cross_entropy_tells_target_from_background(spark):
+    rng = random.Random(10)
+    own = ["".join(rng.choices("qxzj", k=4)) for _ in range(30)]
+    texts = [text(rng, 80) for _ in range(60)] + [" ".join(rng.choices(own, k=60)) for _ in range(20)]
+    docs, good = documents(spark, texts), spark.createDataFrame([(i,) for i in range(40)], "doc_id long")
+    a = {r.doc_id: r.score for r in cross_entropy.score(docs, good).collect()}
+    assert max(a[i] for i in range(40, 60)) < min(a[i] for i in range(60, 80))
+    twice = cross_entropy.score(docs.unionByName(docs), good).collect()
+    assert len(twice) == 160
+    assert cross_entropy.score(docs.limit(0), good).count() == 0 and cross_entropy.score(docs, good.limit(0)).count() == 80
+
+
+def importances_by_hand(texts, chosen):
+    """Log ratio of target and raw likelihood of each text, by dictionaries of cells."""
+    cells = []
     for t in texts:
-        raw = pad + (t or "").encode()
-        for i in range(4, len(raw)):
-            n[raw[i - 4 : i + 1]] = n.get(raw[i - 4 : i + 1], 0) + 1
-            ctx[raw[i - 4 : i]] = ctx.get(raw[i - 4 : i], 0) + 1
-    raw = pad + texts[3].encode()
-    loss = -sum(np.log2((n[raw[i - 4 : i + 1]] + 1 / 256) / (ctx[raw[i - 4 : i]] + 1)) for i in range(4, len(raw))) / (len(raw) - 4)
-    assert a[3].background_loss == pytest.approx(loss, rel=1e-5)
+        data = np.frombuffer((t or "").encode(), dtype=np.uint8)
+        cells.append(list(zip(*(x.tolist() for x in quality.cells(data, np.array([0, len(data)]))), strict=True)))
+    n = [{}, {}, {}, {}]
+    for i, c in enumerate(cells):
+        for pair in c:
+            for k, cell in enumerate(pair):
+                n[k][cell] = n[k].get(cell, 0) + 1
+                if i in chosen:
+                    n[2 + k][cell] = n[2 + k].get(cell, 0) + 1
+    out = []
+    for c in cells:
+        total = 0.0
+        for g, ctx in c:
+            p = min(1, (n[0][g] + 1 / 256) / (n[1][ctx] + 1))
+            total += np.log(min(1, (n[2].get(g, 0) + quality.SMOOTHING * p) / (n[3].get(ctx, 0) + quality.SMOOTHING)) / p)
+        out.append(total)
+    return out
+
+
+def test_quality_importances_against_brute_force(spark):
+    rng = random.Random(12)
+    texts = [text(rng, rng.randint(0, 20)) for _ in range(50)] + [None, "", "é%%%"]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 5 == 0)) for i in range(0, 50, 2)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.log_importance for r in quality.select(documents(spark, texts), labels).collect()}
+    want = importances_by_hand(texts, {i for i in range(0, 50, 2) if i % 3 and i % 5})
+    assert got == pytest.approx(dict(enumerate(want)), abs=1e-9)
+
+
+def test_quality_draws_follow_the_importances(spark):
+    """Of two kinds of texts, the share of each among the first drawn over many seeds is that of its importance."""
+    texts = ["aaab"] * 3 + ["aabb"] * 3
+    docs, labels = documents(spark, texts), spark.createDataFrame([(i, int(i != 4), 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    sent = spark.sparkContext.broadcast(quality.counts(docs.select("text", F.col("doc_id").isin(0, 1, 2, 3, 5).alias("wanted"))))
+    n = 20_000
+    w, keys = [], []
+    for i, t in enumerate(texts):
+        draws = np.random.default_rng(i).integers(0, 2**62, n)
+        batch = pa.RecordBatch.from_arrays([pa.array(np.full(n, i)), pa.array([t] * n), pa.array(draws)], ["doc_id", "text", "draw"])
+        rows = pa.Table.from_batches(list(quality._weigh(sent)(iter([batch]))))
+        keys.append(rows["key"].to_numpy())
+        w.append(rows["log_importance"][0].as_py())
+    first = np.bincount(np.argmax(np.stack(keys), axis=0), minlength=6) / n
+    want = np.exp(w) / np.exp(w).sum()
+    assert np.abs(first - want).max() < 0.015 and want.max() / want.min() > 1.05
+    chosen = [frozenset(r.doc_id for r in quality.select(docs, labels, seed).collect() if r.selected) for seed in range(4)]
+    assert len(set(chosen)) > 1 and all(len(c) == 5 for c in chosen)
 
 
 def test_quality_selection(spark):
@@ -323,6 +466,9 @@ def test_quality_selection(spark):
     assert sum(r.selected for r in got.values()) == round(0.75 * 201)
     assert sum(got[i].selected for i in range(150)) >= 145
     assert all(r.selected for r in quality.select(documents(spark, texts), labels.limit(0)).collect())
+    twice = documents(spark, ["same"] * 4).withColumn("doc_id", F.lit(7).cast("long"))  # ties: rows alike in id and text
+    assert len({r.selected for r in quality.select(twice, labels).collect()}) == 1
+    assert quality.select(documents(spark, texts).limit(0), labels).count() == 0
 
 
 def test_kth_greatest(spark):
@@ -347,7 +493,12 @@ def test_kth_greatest(spark):
         ("", ""),
         (None, ""),
         ("no tags at all", "no tags at all"),
-        ("<p>unclosed <a href='>", "unclosed <a href='>"),
+        ("<p>unclosed <a href='>", "unclosed"),
+        ("<p>a < b and <c", "a < b and <c"),
+        ('<div class="main-menu">Menu</div><article><p>One</p><div class="post-comments">first!</div><div class="entry-footer">by me</div><div class="content-sidebar">more</div><p class="social">Social.</p></article>', "One\nSocial."),
+        ('<body class="has-sidebar"><div class="layout with-sidebar"><article><p><a href=x>Only a link</a></p><ul><li><a href=x>Share</a></li><li>Kept item</li></ul></article></div></body>', "Only a link\nKept item"),
+        ("<article><p><a href=x>Left open</p><p>Not linked</p></article>", "Left open\nNot linked"),
+        ("<p>&amp;lt; &#233;</p>", "&lt; é"),
     ],
 )
 def test_html(spark, page, want):
@@ -362,6 +513,63 @@ def test_html_density_rules():
     assert html_text.main_text(page) == "\n".join(["Short start.", long.strip(), "Short end.", long.strip()])
 
 
+def test_html_of_other_languages():
+    """None of the four lists fits: length and links decide."""
+    long = "Questa mattina siamo andati presto verso il mercato della piazza perché volevamo comprare frutta fresca e verdura per preparare una cena molto semplice. " * 2
+    links = "".join(f"<a href=x>Collegamento {i}</a> " for i in range(30))
+    assert html_text.main_text(f"<div>{links}</div><div>{long}</div><div>Fine breve.</div><div>{long}</div>") == "\n".join([long.strip(), "Fine breve.", long.strip()])
+
+
+class Plain(HTMLParser):
+    """Text of the article, block by block: an extractor of its own for pages that mark their article."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.out, self.now, self.inside = [], [], False
+        self.feed(page)
+        self.close()
+
+    def end(self):
+        self.out += [t] if (t := " ".join("".join(self.now).split())) else []
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        if tag in ("p", "h1", "article"):
+            self.end()
+        elif tag == "br":
+            self.now.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in ("p", "h1", "article"):
+            self.end()
+        self.inside = self.inside and tag != "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.now.append(data)
+
+
+def test_html_pages_against_another_extractor(spark):
+    got = queries.queries()["op10_html_text"](spark, "/root/testdata/sf0.01").collect()
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    assert {r.page_id: r.text for r in got} == {i: "\n".join(Plain(h or "").out) for i, h in pages.items()}
+
+
+@pytest.mark.parametrize("page", ["<a " * 30000, "<a '" * 30000, "<div>" * 50000 + "</x>" * 50000, "<nav><main>" * 30000, '<a b=">" ' * 30000, "<p><a>" * 50000, "<![CDATA[x]]>" * 30000])
+def test_html_time_grows_with_the_page(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("t", ["1" * 1_000_000, "token" * 200_000, "1.2." * 250_000, "a@" * 500_000, "+1(" * 300_000, "0" * 500_000 + ".0.0.1"])
+def test_pii_time_grows_with_the_text(t):
+    began = time.process_time()
+    pii.find(t)
+    assert time.process_time() - began < 8
+
+
 def test_html_query(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>"), (2, None, None), (2, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     assert sorted((r.page_id, r.text, r.n_chars) for r in html_text.extract(df).collect()) == [(1, "é", 1), (2, "", 0), (2, "", 0)]
