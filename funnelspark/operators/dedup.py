@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from funnelspark.sources.folders import cut
+
 
 def survivors(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """Adds ``survivor`` (first of its group in a total order) and group_size; partial aggregation before the shuffle is left to the window limit."""
@@ -38,24 +39,25 @@ def overlap_pairs(rows: DataFrame, block: list[str], id_column: str, tokens: str
     return both.filter(F.col("jaccard") >= threshold).select("id_a", "id_b", F.col("n_common").cast("long"), "jaccard")
 
 
-def greedy_groups(pairs: DataFrame, members: DataFrame, block: str) -> DataFrame:
-    """id, kept, duplicate_of: in id order within a block, a row is dropped if it matches a kept one; dropped rows match nothing.
-
-    Sequential inside a block by definition, so a block's pairs meet in one task; blocks must be kept small."""
-    kind = members.schema["id"].dataType.simpleString()
-    linked = members.select(block, "id").join(pairs.select(F.col("id_b").alias("id"), F.col("id_a").alias("other")), "id", "left")
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        kept, out = set(), []
-        others = rows.groupby("id", sort=True)["other"].apply(lambda x: sorted(v for v in x if pd.notna(v)))
-        for i, matches in others.items():
-            of = next((int(m) for m in matches if m in kept), None)
-            if of is None:
-                kept.add(i)
-            out.append((i, of is None, of))
-        return pd.DataFrame(out, columns=["id", "kept", "duplicate_of"]).astype({"duplicate_of": "Int64"})
-
-    return linked.groupBy(block).applyInPandas(lambda rows: fold(rows), f"id {kind}, kept boolean, duplicate_of {kind}")
+def greedy_groups(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """id, kept, duplicate_of: in id order a row is dropped if it matches a kept one (the least such); dropped rows match nothing.
+
+    In rounds over the linked rows: one is dropped once a smaller match is kept, and kept once all its smaller ones are
+    dropped. The least open row of every connected part is settled each round, most rows in the first ones; each round is
+    an aggregate over the links, so no block meets in one task."""
+    links = cut(pairs.select("id_a", "id_b"), "links")
+    smaller = links.groupBy(F.col("id_b").alias("id")).agg(F.count("*").alias("_n"))
+    ends = links.select(F.col("id_a").alias("id")).unionByName(links.select(F.col("id_b").alias("id"))).distinct()
+    state = cut(ends.join(smaller, "id", "left").select("id", F.when(F.col("_n").isNull(), True).alias("kept")), "greedy")
+    while state.filter("kept is null").limit(1).count():
+        open_ = links.join(state.filter("kept is null").select(F.col("id").alias("id_b")), "id_b", "left_semi")
+        met = open_.join(state.select(F.col("id").alias("id_a"), F.col("kept").alias("_k")), "id_a").groupBy(F.col("id_b").alias("id"))
+        settled = met.agg(F.max(F.coalesce("_k", F.lit(False))).alias("_dropped"), F.min(F.col("_k").isNotNull()).alias("_all"))
+        new = F.when(F.col("_dropped"), False).when(F.col("_all"), True)
+        state = cut(state.join(settled, "id", "left").select("id", F.coalesce("kept", new).alias("kept")), "greedy")
+    of = links.join(state.filter("kept").select(F.col("id").alias("id_a")), "id_a", "left_semi").groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("_of"))
+    out = members.select("id").join(state, "id", "left").join(of, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
+    return out.select("id", "kept", F.when(~F.col("kept"), F.col("_of")).alias("duplicate_of"))
 
 
 def collapsed(rows: DataFrame, block: list[str], id_column: str, tokens: str) -> tuple[DataFrame, DataFrame]:

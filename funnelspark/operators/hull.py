@@ -15,8 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from funnelspark.sources.folders import broadcast_if, cut
+
 STABLE = 1e-9
 SALTS = 16
+#: Compositions of one system whose hull is found in one task; tie lines that may be broadcast.
+ONE_TASK, BROADCAST_LINES = 100_000, 200_000
 
 
 def _lower(points: pd.DataFrame) -> pd.DataFrame:
@@ -40,8 +44,10 @@ def binary_vertices(entries: DataFrame) -> DataFrame:
 
     least = entries.filter("x is not null and e is not null").groupBy("sys", "x").agg(F.min("e").alias("e"))
     salted = least.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)))
-    partial = salted.groupBy("sys", "salt").applyInPandas(lambda key, points: part(key, points), schema)
-    return partial.groupBy("sys").applyInPandas(lambda key, points: part(key, points), schema)
+    most = least.groupBy("sys").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > ONE_TASK:  # a system too large for one task: hulls of its parts first
+        least = salted.groupBy("sys", "salt").applyInPandas(lambda key, points: part(key, points), schema)
+    return least.groupBy("sys").applyInPandas(lambda key, points: part(key, points), schema)
 
 
 def tie_lines(vertices: DataFrame) -> DataFrame:
@@ -54,7 +60,8 @@ def tie_lines(vertices: DataFrame) -> DataFrame:
 
 def place_binary(entries: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """Adds hull, e_above_hull and stable to entries(sys, x, e); null where x is outside the system's end members."""
-    lines = tie_lines(binary_vertices(entries) if vertices is None else vertices).withColumnRenamed("sys", "of")
+    vertices = cut(binary_vertices(entries) if vertices is None else vertices, "vertices")
+    lines = broadcast_if(tie_lines(vertices).withColumnRenamed("sys", "of"), BROADCAST_LINES)
     inside = (F.col("of") == F.col("sys")) & (F.col("x") >= F.col("x0")) & ((F.col("x") < F.col("x1")) | (F.col("x1").isNull() & (F.col("x") == F.col("x0"))))
     joined = entries.join(lines, inside, "left")
     line = F.when(F.col("x1").isNull(), F.col("e0")).otherwise(F.col("e0") + (F.col("e1") - F.col("e0")) * (F.col("x") - F.col("x0")) / (F.col("x1") - F.col("x0")))
@@ -81,7 +88,9 @@ def mixture_energy(target: np.ndarray, x: np.ndarray, e: np.ndarray) -> float:
 
 
 def place(entries: DataFrame, k: int) -> DataFrame:
-    """id, sys, e_above_hull, formation, stable of entries(id, sys, fractions: array of k doubles, e); every system needs its k end members."""
+    """id, sys, e_above_hull, formation, stable of entries(id, sys, fractions: array of k doubles, e).
+
+    A system that lacks one of its k end members has no hull: its entries are there with nulls."""
     sys = entries.schema["sys"].dataType.simpleString()
     ident = entries.schema["id"].dataType.simpleString()
     least = entries.groupBy("sys", "fractions").agg(F.min("e").alias("e"))
@@ -106,6 +115,8 @@ def place(entries: DataFrame, k: int) -> DataFrame:
                 if at not in known:
                     known[at] = mixture_energy(np.array(at), x, e)
                 out.append((row.id, row.sys, row.e - known[at], row.e - float(np.dot(at, e[:k])), row.e - known[at] <= STABLE))
+        elif len(rows):
+            out = [(row.id, row.sys, None, None, None) for row in rows.itertuples()]
         return pd.DataFrame(out, columns=["id", "sys", "e_above_hull", "formation", "stable"])
 
     return salted.groupBy("sys", "salt").cogroup(spread.groupBy("of", "part")).applyInPandas(solve, f"id {ident}, sys {sys}, e_above_hull double, formation double, stable boolean")

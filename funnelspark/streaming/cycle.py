@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from funnelspark.operators.ranking import latest
-from funnelspark.sources.sinks import replace_table
 
 #: Life of an entity: where each state may lead.
 TRANSITIONS = {
@@ -38,22 +37,54 @@ def fold(events: DataFrame, key: str, seq: str, columns: list[str]) -> DataFrame
     return latest(events, [key], seq, [seq, *columns])
 
 
-def run_cycles(feed: DataFrame, table: str, checkpoint: str, key: str, seq: str, columns: list[str], once: bool = True):
-    """Folds a streaming feed into a Parquet table of latest states; with ``once`` it ends when the feed is used up."""
+BUCKETS = 64
+
+
+def state_of(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
+    """The rows of a table of states: of every bucket those of its newest batch (before a batch, if given); None where there are none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    rows = spark.read.parquet(table)
+    rows = rows if before is None else rows.filter(F.col("batch") < before)
+    newest = rows.groupBy("bucket").agg(F.max("batch").alias("batch"))  # at most BUCKETS rows
+    return rows.join(F.broadcast(newest), ["bucket", "batch"]).drop("bucket", "batch")
+
+
+def run_cycles(feed: DataFrame, table: str, checkpoint: str, key: str, seq: str, columns: list[str], once: bool = True, buckets: int = BUCKETS):
+    """Folds a streaming feed into a Parquet table of latest states, read by state_of; with ``once`` it ends when the feed is used up.
+
+    A batch writes a new version of the buckets that its keys fall in, named by its number, from the versions before it; a
+    batch that is run again writes the same folders again, and what was there before it stays until it is through."""
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = latest(batch, [key], seq, [seq, *columns])
-        path = spark._jvm.org.apache.hadoop.fs.Path(table)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            old = spark.read.schema(new.schema).parquet(table)
-            new = latest(old.unionByName(new), [key], seq, [seq, *columns])
-        replace_table(new, table)
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        new = latest(batch, [key], seq, [seq, *columns]).withColumn("bucket", bucket).persist()
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        if touched:
+            old = state_of(spark, table, batch_id)
+            both = new if old is None else old.withColumn("bucket", bucket).filter(F.col("bucket").isin(touched)).select(*new.columns).unionByName(new)
+            merged = latest(both, ["bucket", key], seq, [seq, *columns]).withColumn("batch", F.lit(batch_id))
+            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(table)
+            _forget(spark, table, touched, batch_id)
+        new.unpersist()
 
     writer = feed.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
 
 
+def _forget(spark: SparkSession, table: str, touched: list[int], batch_id: int) -> None:
+    """Deletes all but the two newest versions of the buckets that a batch has written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for b in touched:
+        path = jvm.org.apache.hadoop.fs.Path(f"{table}/bucket={b}")
+        fs = path.getFileSystem(conf)
+        versions = sorted(((int(x.getPath().getName().split("=")[1]), x.getPath()) for x in fs.listStatus(path)), key=lambda v: v[0])
+        for _, old in versions[:-2]:
+            fs.delete(old, True)
+
+
 LADDER = "key string, seq long, state string, attempt int, action string"
 LADDER_COLUMNS = ["key", "seq", "state", "attempt", "action"]
 

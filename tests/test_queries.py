@@ -3,9 +3,10 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
-from funnelspark.plans import bindings
+from funnelspark.plans import bindings, record_bindings  # noqa: F401
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -22,7 +23,7 @@ def duck():
 
 def plain(df):
     columns = sorted(df.columns)
-    return columns, sorted(tuple("-" if v is None or v != v else f"{v:.6g}" if isinstance(v, float) else str(v) for v in row) for row in df[columns].astype(object).itertuples(index=False))
+    return columns, sorted(tuple("-" if v is None or pd.isna(v) else f"{v:.6g}" if isinstance(v, float) else str(v) for v in row) for row in df[columns].astype(object).itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(bindings.QUERIES))

@@ -12,7 +12,9 @@ def test_stream_equals_batch(spark, tmp_path):
     feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     cycle.run_cycles(feed, str(tmp_path / "state"), str(tmp_path / "c1"), "key", "seq", ["state"]).awaitTermination()
     batch = spark.createDataFrame(data, schema)
-    got = spark.read.parquet(str(tmp_path / "state"))
+    got = cycle.state_of(spark, str(tmp_path / "state")).select("key", "seq", "state")
+    assert cycle.state_of(spark, str(tmp_path / "none")) is None
+    assert cycle.state_of(spark, str(tmp_path / "state"), 2).count() == len({k for k, _, _ in data[:40]})  # what a batch that is run again starts from
     assert got.exceptAll(cycle.fold(batch, "key", "seq", ["state"])).isEmpty() and got.count() == len({k for k, _, _ in data})
 
     ladder = cycle.retry_ladder(feed).writeStream.format("memory").queryName("ladder").option("checkpointLocation", str(tmp_path / "c2")).outputMode("append").trigger(availableNow=True).start()

@@ -26,7 +26,7 @@ def documents(spark, tmp_path_factory):
 
 def test_pairs_of_long_documents(spark, documents):
     folder, sets, pairs = documents
-    got = entry.queries()["near_dup_pairs_whole"](spark, folder).collect()
+    got = entry.queries()["near_dup_pairs"](spark, folder).collect()
     assert len(got) == len(pairs) and {(r.id_a, r.id_b) for r in got} == pairs
     assert all(r.n_common == len(sets[r.id_a][1] & sets[r.id_b][1]) for r in got)
 
