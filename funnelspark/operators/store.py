@@ -179,3 +179,97 @@ def source_resolved(picks: DataFrame, files: DataFrame, name: str, path: str, st
     keyed = files.withColumn("_n", F.regexp_extract(path, r"([^/]+)/[^/]+/[^/]+$", 1))
     best = keyed.groupBy("_n").agg(F.max_by(energy, F.struct(static, path, energy)).alias(energy))
     return picks.join(best, picks[name] == F.col("_n"), "left").drop("_n")
+
+
+def adopted(phases: DataFrame, checks: list[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
+    """(adopted, refused with ``reason``) by an ordered ladder of checks that must hold."""
+    judged = round_floors(phases, checks).withColumnRenamed("removed_by", "reason")
+    return judged.filter("reason is null").drop("reason"), judged.filter("reason is not null")
+
+
+def prescreened(rows: DataFrame, verdicts: DataFrame, key: str, verdict: str, stored: str) -> DataFrame:
+    """Adds ``passed``: the verdict on file if there is one, else the stored column."""
+    known = verdicts.select(F.col(key).alias("_k"), F.col(verdict).alias("_v"))
+    return rows.join(known, rows[key] == F.col("_k"), "left").withColumn("passed", F.coalesce("_v", stored)).drop("_k", "_v")
+
+
+def exported(phases: DataFrame, converged: str, present: str) -> DataFrame:
+    """phases with ``status`` done, failed or skipped (nothing was run)."""
+    return phases.withColumn("status", F.when(~F.coalesce(F.col(present), F.lit(False)), "skipped").when(F.col(converged), "done").otherwise("failed"))
+
+
+def parity_points(rows: DataFrame, a: str, b: str, n: str) -> DataFrame:
+    """Rows with both energies, per atom, as points of a comparison."""
+    return rows.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(n) > 0)).withColumns({"a_per_atom": F.col(a) / F.col(n), "b_per_atom": F.col(b) / F.col(n)})
+
+
+def missing_phases(wanted: DataFrame, have: DataFrame, key: str, distance: str, near: float) -> DataFrame:
+    """Wanted phases that a hull lacks, ``blocking`` where they lie near it or nobody knows how near, else ``waivable``.
+
+    Of an id that several lists name the least distance counts."""
+    least = wanted.groupBy(key).agg(F.min(distance).alias(distance))
+    lacking = least.join(have.select(key).distinct(), key, "left_anti")
+    return lacking.withColumn("kind", F.when(F.coalesce(F.col(distance) <= near, F.lit(True)), "blocking").otherwise("waivable"))
+
+
+def detail(rows: DataFrame, key: str, sources: list[tuple[str, DataFrame]], column: str) -> DataFrame:
+    """Adds a column from the first of several sources that has it, and ``source``, that one's name."""
+    out = rows
+    for i, (_, df) in enumerate(sources):
+        out = out.join(df.select(F.col(key).alias(f"_k{i}"), F.col(column).alias(f"_v{i}")), out[key] == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    named = F.coalesce(*(F.when(F.col(f"_v{i}").isNotNull(), name) for i, (name, _) in enumerate(sources)))
+    out = out.withColumns({column: F.coalesce(*(f"_v{i}" for i in range(len(sources)))), "source": named})
+    return out.drop(*(f"_v{i}" for i in range(len(sources))))
+
+
+def in_flight(jobs: DataFrame, stage: str, state: str, cores: str) -> DataFrame:
+    """A line a stage of what runs and waits, with its text."""
+    live = jobs.groupBy(stage).agg(F.count_if(F.col(state) == "running").alias("running"), F.count_if(F.col(state) == "pending").alias("pending"), F.sum(F.when(F.col(state) == "running", F.col(cores)).otherwise(0)).alias("cores"))
+    text = F.concat(F.col(stage), F.lit(": "), F.col("running").cast("string"), F.lit(" running on "), F.col("cores").cast("string"), F.lit(" cores, "), F.col("pending").cast("string"), F.lit(" waiting"))
+    return live.filter("running + pending > 0").withColumn("text", text)
+
+
+def progress(results: DataFrame, total: int, started: str, finished: str, converged: str) -> DataFrame:
+    """One row: done of total, how many an hour since the first start, converged and failed."""
+    hours = (F.max(F.unix_timestamp(finished)) - F.min(F.unix_timestamp(started))) / 3600.0
+    ok = F.count_if(F.coalesce(F.col(converged), F.lit(False)))
+    return results.agg(F.count("*").alias("done"), F.lit(total).cast("long").alias("total"), F.try_divide(F.count("*"), F.nullif(hours, F.lit(0.0))).alias("rate"), ok.alias("converged"), (F.count("*") - ok).alias("failed"))
+
+
+def last_block_force(lines: DataFrame, key: str, seq: str, block: str, forces: list[str]) -> DataFrame:
+    """key, fmax: the largest force component of the last block of each log."""
+    last = lines.groupBy(key).agg(F.max(block).alias("_b"))
+    inside = lines.join(last, key).filter(F.col(block) == F.col("_b"))
+    return inside.groupBy(key).agg(F.max(F.greatest(*(F.abs(c) for c in forces))).alias("fmax"))
+
+
+def space_warnings(groups: DataFrame, name: str, elements: str) -> DataFrame:
+    """name, warning of groups that leave nothing to choose: empty ones, and such as share an element with another."""
+    each = groups.select(name, F.explode(elements).alias("el"))
+    shared = each.groupBy("el").agg(F.collect_set(name).alias("of")).filter(F.size("of") > 1).select(F.explode("of").alias(name), F.lit("shares an element").alias("warning"))
+    empty = groups.filter(F.size(elements) == 0).select(name, F.lit("is empty").alias("warning"))
+    return empty.unionByName(shared.distinct())
+
+
+def neighbours(vectors: DataFrame, label: str, key: str, values: str, cell: float, within: float) -> DataFrame:
+    """key, n, others: points within a distance of each (in its first three components) and how many of them are of another label.
+
+    Points meet only in the cells of a grid of that distance: each is sent to its own cell and the 26 around it."""
+    at = F.transform(F.slice(values, 1, 3), lambda x: F.floor(x.cast("double") / cell))
+    own = vectors.select(F.col(key).alias("k"), F.col(label).alias("l"), F.slice(values, 1, 3).cast("array<double>").alias("v"), at.alias("c"))
+    steps = F.array(*(F.lit(i) for i in (-1, 0, 1)))
+    around = own.select("k", "l", "v", F.explode(F.transform(F.flatten(F.transform(steps, lambda x: F.flatten(F.transform(steps, lambda y: F.transform(steps, lambda z: F.array(x, y, z)))))), lambda d: F.zip_with("c", d, lambda a, b: a + b))).alias("c"))
+    other = around.select(F.col("k").alias("ok"), F.col("l").alias("ol"), F.col("v").alias("ov"), "c")
+    squared = F.aggregate(F.zip_with("v", "ov", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, x: a + x)
+    met = own.join(other, "c").filter((F.col("k") != F.col("ok")) & (squared <= within * within))
+    counts = met.groupBy("k").agg(F.count("*").alias("n"), F.count_if(F.col("l") != F.col("ol")).alias("others"))
+    return own.select("k").join(counts, "k", "left").select(F.col("k").alias(key), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("others", F.lit(0)).alias("others"))
+
+
+def tag_differences(tags: DataFrame, recipe: dict[str, str], tag: str, value: str) -> DataFrame:
+    """Rows of tags(tag, value, ..) whose value, in one spelling, isn't the recipe's; tags the recipe doesn't name are ``unknown``."""
+    from funnelspark.operators.guards import normal_tag
+
+    known = F.create_map(*(F.lit(x) for pair in recipe.items() for x in pair))
+    want = F.try_element_at(known, F.col(tag))
+    return tags.withColumn("kind", F.when(want.isNull(), "unknown").when(~normal_tag(F.col(value)).eqNullSafe(normal_tag(want)), "differs")).filter("kind is not null")
