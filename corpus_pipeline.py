@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a frame that is written and read again as the next one's docs. All but
 the last return the columns of documents; rows are told apart by doc_id and text, so an id that repeats is no trouble.
-A null text has no letters and goes in the first stage; empty tables pass through all stages.
+A null text has no letters and goes in the first stage; empty tables pass through all stages; columns of any name, also of
+those that the operators make, come through unchanged.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def _joined(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out texts of no language: null or without letters."""
+    """Leaves out texts of no language: null, empty or without letters. Rows that repeat all stay; a null lang or doc_id isn't learnt from."""
     names = ["doc_id", "text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
     model = language.train(docs, F.lit(True))
     plain = docs.select(*(F.col(f"`{c}`").alias(f"c{i}" if c != "text" else "text") for i, c in enumerate(names)))
@@ -38,7 +39,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least doc_id of every class."""
+    """Keeps the document of the least doc_id of every class.
+
+    Null and empty texts are copies of each other; rows that repeat are one document. A class of null ids only keeps all its
+    rows, as none of them is the least."""
     found = cut(near_dedup.near_duplicates(docs.select(_identity().alias("doc_id"), "text")), "classes")
     kept = _joined(docs, found.select(F.col("class_id").alias("id")).distinct(), "left_semi")
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
@@ -46,19 +50,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents that hold a whole window of a benchmark item."""
+    """Leaves out documents that hold a whole window of a benchmark item. A null or empty text holds none; null and empty items have none;
+    rows that repeat go or stay together."""
     found = decontaminate.decontaminate(docs.select(_identity().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     return _joined(docs, cut(found.filter("contaminated").select(F.col("doc_id").alias("id")).distinct(), "contaminated"), "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every span by its kind; n_chars follows."""
+    """Replaces every span by its kind; n_chars follows (null for a null text, which stays null). Rows that repeat stay alike."""
     masked = pii.mask_pii(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: what is taken of each document, and where in training."""
+    """The mix: what is taken of each document, and where in training. A null or empty text has no words and is taken 0 times; null is a
+    source of its own; rows that repeat are documents of their own."""
     return mixing.mix(docs)
 
 
