@@ -131,6 +131,36 @@ def test_similarity_is_weighted_jaccard():
     assert near_dedup.similarity(a, b, w) == pytest.approx(3 / 7)
 
 
+def test_near_duplicates_of_null_ids_and_long_texts(spark):
+    rng = random.Random(15)
+    long = text(rng, 60_000)
+    rows = [(None, long), (7, edited(rng, long, 40)), (None, "a b c"), (None, None), (3, ""), (3, ""), (9, "!!!"), (5, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"key": F.lit(1), "label": F.lit("x"), "bucket": F.lit(2)})
+    got = sorted(((r.doc_id, r.class_id, r.n_copies) for r in near_dedup.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(None, 5, 2), (7, 5, 1), (None, None, 1), (None, 3, 3), (3, 3, 3), (3, 3, 3), (9, 9, 1), (5, 5, 2)], key=str)
+
+
+def test_heavy_texts_are_named_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HEAVY", 3)
+    docs = documents(spark, ["same words in every text"] * 8 + ["other words " * 5] * 2)
+    assert {(r.doc_id, r.class_id, r.n_copies) for r in near_dedup.near_duplicates(docs).collect()} == {(i, 0, 8) for i in range(8)} | {(i, 8, 2) for i in (8, 9)}
+
+
+def test_blocks_of_many_parts_equal_all_pairs(spark, monkeypatch):
+    """A bucket of many more texts than a block holds, with several classes beside its largest."""
+    monkeypatch.setattr(near_dedup, "PART", 8)
+    rng = random.Random(16)
+    base = text(rng, 150)
+    texts = [base, *(edited(rng, base, 2) for _ in range(40))]
+    texts += [x for k in range(12) for x in (far := edited(rng, base, 9), edited(rng, far, 1))]
+    docs = documents(spark, texts)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    sets = [set(runs(t)) for t in texts]
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.86 * len(sets[i] | sets[j]):
+            assert got[i] == got[j]
+
+
 def test_near_duplicates_empty(spark):
     assert near_dedup.near_duplicates(documents(spark, ["a"]).limit(0)).count() == 0
 
@@ -147,6 +177,14 @@ def plain_pii(t):
     return ",".join(spans)
 
 
+def test_pii_of_empty_tables_repeats_and_long_texts(spark):
+    long = ("no data here, " * 20_000) + "a@b.co" + (" and none there" * 20_000)
+    docs = documents(spark, [None, "", long, long, "1.2.3.4"]).withColumns({"spans": F.lit("clash"), "n_ip": F.lit(9)})
+    got = sorted((r.doc_id, r.n_email, r.n_ip, r.n_spans) for r in pii.find_pii(docs).collect())
+    assert got == [(0, 0, 0, 0), (1, 0, 0, 0), (2, 1, 0, 1), (3, 1, 0, 1), (4, 0, 1, 1)]
+    assert pii.find_pii(docs.limit(0)).count() == 0
+
+
 def test_pii_base_spans_equal_plain_patterns(spark):
     rng = random.Random(7)
     pieces = ["a@b.co", "@", ".", "-", " ", "1.2.3.4", "1.2.3", "256.1.1.1", "4337166598464399", "4337 1665 9846 4399", "+1 (988) 555-2485", "+", "(", "é", "x.y_z%+", "@c.d@e.f", "0", "00", "999", "https://u:p@h.org/", "b@", "\n", "..", "１"]
@@ -198,6 +236,36 @@ def test_language_without_labels(spark):
     assert {r.lang_pred for r in language.identify(documents(spark, ["abc", "def"], lang=[None, None])).collect()} == {"und"}
 
 
+def test_language_of_null_and_repeated_ids_and_long_texts(spark, monkeypatch):
+    rng = random.Random(17)
+    own = {"aa": "abcdefg", "bb": "nopqrst"}
+    word = lambda lang: "".join(rng.choices(own[lang], k=5))
+    make = lambda lang, n: " ".join(word(lang) for _ in range(n))
+    rows = [(i, make(lang, 20), lang) for i, lang in enumerate(["aa", "bb"] * 60)]
+    rows += [(1000, make("aa", 20), "bb")] * 500 + [(None, make("aa", 20), "bb")] * 500  # wrong labels under one id, and under none
+    rows += [(2000, make("bb", 40_000), "aa"), (2001, "", "aa"), (2002, None, "aa"), (2003, "123", "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({"score": F.lit("clash"), "lang_pred": F.lit(1)})
+    sample = language.training_rows(docs, F.lit(True)).collect()
+    assert len(sample) <= 120 + 3 and all(r.doc_id is not None for r in sample) and sum(r.doc_id == 1000 for r in sample) <= 1
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect()}
+    assert [got[i][0] for i in range(120)] == ["aa", "bb"] * 60 and got[2000][0] == "bb" and got[None][0] == "aa"
+    assert got[2001] == got[2002] == got[2003] == ("und", 0.0)
+    assert language.identify(docs.limit(0)).count() == 0
+    monkeypatch.setattr(language, "MOST_LANGS", 1)  # the most frequent language only
+    assert {r.lang for r in language.training_rows(docs.filter("doc_id < 119"), F.lit(True)).collect()} == {"aa"}
+
+
+def test_language_model_is_kernel_ridge_regression():
+    """Where every text is a landmark the fit is that of exact kernel ridge regression in the span of the kernel."""
+    rng = random.Random(18)
+    sample = [(lang, "".join(rng.choices(letters, k=30))) for lang, letters in (("x", "abc"), ("y", "cde")) for _ in range(12)]
+    langs, landmarks, a = language.fit(sample)
+    k = language.kernel(landmarks, landmarks).astype(float)
+    y = np.array([[lang == own for own in langs] for lang, _ in sample], dtype=float)
+    exact = k @ np.linalg.solve(k + language.RIDGE * len(sample) * np.eye(len(k)), y)
+    assert langs == ["x", "y"] and np.abs(k @ a - exact).max() < 1e-3
+
+
 # --- 5 ---------------------------------------------------------------------------------------------------------------
 
 
