@@ -16,11 +16,29 @@ def parity(points: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     return both.groupBy(*group).agg(F.count("*").alias("n"), F.avg(F.abs("_e")).alias("mae"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse"), F.avg("_e").alias("bias"), F.max(F.abs("_e")).alias("worst"))
 
 
+#: Ranges of values that a running count is cut into.
+RANGES = 1024
+
+
+def running_counts(counts: DataFrame, group: list[str], column: str, n: str) -> DataFrame:
+    """Adds ``_below``, how many rows of the group have a smaller value, to counts by distinct value.
+
+    A group's values are cut into equal ranges between its ends; totals of ranges are summed up first, then the values inside
+    each range, so that no window holds a group. Nulls are smallest, as in an ascending order."""
+    ends = counts.groupBy(*group).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    at = (F.col(column) - F.col("_lo")).cast("double") / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
+    joined = counts.join(ends, group) if group else counts.crossJoin(F.broadcast(ends))  # one row
+    ranged = joined.withColumn("_range", F.when(F.col(column).isNull(), -1).otherwise(F.coalesce(F.floor(at * (RANGES - 1)), F.lit(0))).cast("int")).drop("_lo", "_hi")
+    totals = ranged.groupBy(*group, "_range").agg(F.sum(n).alias("_t"))
+    before = totals.select(*group, "_range", (F.sum("_t").over(W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, 0)) - F.col("_t")).alias("_before"))
+    inside = F.sum(n).over(W.partitionBy(*group, "_range").orderBy(column).rowsBetween(W.unboundedPreceding, 0)) - F.col(n)
+    return ranged.withColumn("_inside", inside).join(before, [*group, "_range"]).withColumn("_below", F.col("_before") + F.col("_inside")).drop("_range", "_before", "_inside")
+
+
 def average_ranks(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
-    """Adds the rank of a value in its group, ties sharing their mean rank: from counts by distinct value, so no window holds a group's rows."""
+    """Adds the rank of a number in its group, ties sharing their mean rank: from counts by distinct value."""
     counts = rows.groupBy(*group, column).agg(F.count("*").alias("_n"))
-    below = F.sum("_n").over(W.partitionBy(*group).orderBy(column).rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")
-    ranks = counts.withColumn(name, below + (F.col("_n") + 1) / 2.0).drop("_n")
+    ranks = running_counts(counts, group, column, "_n").withColumn(name, F.col("_below") + (F.col("_n") + 1) / 2.0).drop("_n", "_below")
     return rows.join(ranks, [*group, column])
 
 
@@ -29,8 +47,8 @@ def spearman(points: DataFrame, group: list[str], a: str, b: str, least: int = 2
     both = points.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*group, a, b).agg(F.count("*").alias("_m"))
     for column, name in ((a, "_ra"), (b, "_rb")):
         counts = both.groupBy(*group, column).agg(F.sum("_m").alias("_n"))
-        below = F.sum("_n").over(W.partitionBy(*group).orderBy(column).rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")
-        both = both.join(counts.withColumn(name, below + (F.col("_n") + 1) / 2.0).drop("_n"), [*group, column])
+        ranks = running_counts(counts, group, column, "_n").withColumn(name, F.col("_below") + (F.col("_n") + 1) / 2.0).drop("_n", "_below")
+        both = both.join(ranks, [*group, column])
     m, x, y = F.col("_m"), F.col("_ra"), F.col("_rb")
     sums = both.groupBy(*group).agg(F.sum(m).alias("n"), F.sum(m * x).alias("sx"), F.sum(m * x * x).alias("sxx"), F.sum(m * y * y).alias("syy"), F.sum(m * x * y).alias("sxy"))
     mean = F.col("sx") / F.col("n")  # of either side's ranks
@@ -87,7 +105,7 @@ def stratified_sample(rows: DataFrame, value: str, key: str, n: int, fill: bool
 
     Places are found without ordering the rows in one task: counts by distinct value give each value's first place."""
     counts = rows.groupBy(value).agg(F.count("*").alias("_n"))
-    starts = counts.withColumn("_s", F.sum("_n").over(W.orderBy(value).rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).drop("_n")
+    starts = running_counts(counts, [], value, "_n").withColumnRenamed("_below", "_s").drop("_n")
     placed = rows.join(starts, rows[value].eqNullSafe(starts[value])).drop(starts[value])
     placed = placed.withColumn("_at", F.col("_s") + F.row_number().over(W.partitionBy(value).orderBy(key)) - 1)
     total = rows.agg(F.count("*").alias("_total"))

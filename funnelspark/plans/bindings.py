@@ -585,7 +585,7 @@ def formula_nested(t):
 
 
 #: Core-hours at sizes, a made-up curve of 14 points.
-COST = [(2, 1.0), (5, 1.5), (8, 2.1), (10, 2.55), (14, 3.3), (18, 4.2), (22, 5.0), (26, 6.1), (30, 7.0), (34, 8.2), (38, 9.1), (42, 10.4), (46, 11.9), (48, 12.6)]
+COST = [(2, 1.0), (5, 1.5), (8, 2.1), (11, 2.7), (14, 3.3), (18, 4.2), (22, 5.0), (26, 6.1), (30, 7.0), (34, 8.2), (38, 9.1), (42, 10.4), (46, 11.9), (48, 12.6)]
 
 
 @query(f"WITH c(n, v) AS (VALUES {', '.join(f'({n}, {v}::DOUBLE)' for n, v in COST)}), s AS (SELECT n, v, lead(n) OVER (ORDER BY n) AS n1, lead(v) OVER (ORDER BY n) AS v1 FROM c) SELECT p_partkey, round(CASE WHEN p_size < 2 THEN 1.0 * p_size / 2 WHEN p_size >= 48 THEN 12.6 * p_size / 48 ELSE (SELECT v + (v1 - v) * (p_size - n) / (n1 - n) FROM s WHERE p_size >= n AND p_size < n1) END, 6) AS cost FROM part")
