@@ -5,10 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from funnelspark.functions import formula as fm
+from funnelspark.operators.ranking import numbered
 
 
 def stoichiometries(spark: SparkSession, k: int, most: int, reduced: bool = True) -> DataFrame:
@@ -63,8 +63,9 @@ def split_total(rows: DataFrame, group: list[str], total: str, weight: str, key:
     """Adds ``share``: the total of a group split by weight, at least 1 each, what the floors leave by largest remainder (ties by key).
 
     Where the floors of 1 exceed the total, the sum does too."""
-    w = W.partitionBy(*group)
-    exact = F.col(total) * F.col(weight) / F.sum(weight).over(w)
-    out = rows.withColumn("_x", exact).withColumn("_f", F.greatest(F.floor("_x"), F.lit(1).cast("long")))
-    out = out.withColumn("_left", F.col(total) - F.sum("_f").over(w)).withColumn("_r", F.row_number().over(w.orderBy(F.desc(F.col("_x") - F.floor("_x")), key)))
+    exact = F.col(total) * F.col(weight) / F.col("_w")
+    sums = lambda df, c, name: df.groupBy(*group).agg(F.sum(c).alias(name))
+    out = rows.join(sums(rows, weight, "_w"), group).withColumn("_x", exact).withColumn("_f", F.greatest(F.floor("_x"), F.lit(1).cast("long")))
+    out = out.join(sums(out, "_f", "_all"), group).withColumn("_left", F.col(total) - F.col("_all")).withColumn("_d", F.floor("_x") - F.col("_x"))
+    out = numbered(out, group, [F.col("_d"), F.col(key)], "_r").drop("_w", "_all", "_d")
     return out.withColumn("share", F.col("_f") + F.when(F.col("_r") <= F.col("_left"), 1).otherwise(0)).drop("_x", "_f", "_left", "_r")
