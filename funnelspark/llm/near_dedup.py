@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
-from funnelspark.llm._spark import broadcast_if, cut, small_batches
+from funnelspark.llm._spark import broadcast_if, cut, discard, small_batches
 
 K, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
@@ -351,6 +351,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     least = classes.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     named = cut(classes.join(least, "label").select("key", "class_id", "n_copies"), "named")
     weights.unpersist()
+    discard(texts, members, vectors, found)
     heavy = broadcast_if(named.filter(F.col("n_copies") > HEAVY), BROADCAST_LABELS)
     rows = rows.select("doc_id", "key")
     out = rows.join(heavy, "key").unionByName(rows.join(heavy.select("key"), "key", "left_anti").join(named, "key"))
