@@ -152,7 +152,7 @@ def test_blocks_of_many_parts_equal_all_pairs(spark, monkeypatch):
     rng = random.Random(16)
     base = text(rng, 150)
     texts = [base, *(edited(rng, base, 2) for _ in range(40))]
-    texts += [x for k in range(12) for x in (far := edited(rng, base, 9), edited(rng, far, 1))]
+    texts += [x for far in [edited(rng, base, 9) for _ in range(12)] for x in (far, edited(rng, far, 1))]
     docs = documents(spark, texts)
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
     sets = [set(runs(t)) for t in texts]
