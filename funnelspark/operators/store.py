@@ -273,3 +273,26 @@ def tag_differences(tags: DataFrame, recipe: dict[str, str], tag: str, value: st
     known = F.create_map(*(F.lit(x) for pair in recipe.items() for x in pair))
     want = F.try_element_at(known, F.col(tag))
     return tags.withColumn("kind", F.when(want.isNull(), "unknown").when(~normal_tag(F.col(value)).eqNullSafe(normal_tag(want)), "differs")).filter("kind is not null")
+
+
+def linked_scores(candidates: DataFrame, scores: DataFrame, key: str, file: str, pattern: str, score: str) -> DataFrame:
+    """candidates with the score of the file that names them, and their ``rank`` by it within what they share (null without a score).
+
+    Scores know candidates only by a file's name, from which the key is taken; of several files the best score counts."""
+    named = scores.withColumn("_k", F.regexp_extract(file, pattern, 1)).filter("_k <> ''").groupBy("_k").agg(F.max(score).alias(score))
+    joined = candidates.join(named, candidates[key].cast("string") == F.col("_k"), "left").drop("_k")
+    placed = ranking.numbered(joined.filter(F.col(score).isNotNull()), [], [F.desc(score), F.col(key)], "rank").select(F.col(key).alias("_r"), "rank")
+    return joined.join(placed, joined[key] == F.col("_r"), "left").drop("_r")
+
+
+def energies_on_file(entries: DataFrame, preferred: str, other: str, system: str) -> DataFrame:
+    """Adds ``e`` and ``note``: the preferred energy where all entries of a system have it, else the other for all of the system, as one hull is on one scale."""
+    whole = entries.groupBy(system).agg(F.min(F.col(preferred).isNotNull()).alias("_all"))
+    out = entries.join(whole, system)
+    return out.withColumn("e", F.when(F.col("_all"), F.col(preferred)).otherwise(F.col(other))).withColumn("note", F.when(~F.col("_all"), F.lit("other energies, as some are missing"))).drop("_all")
+
+
+def rebuilt(artifacts: DataFrame, key: str, written: str) -> DataFrame:
+    """The newest artifact of every structure, as rows of a store anew."""
+    columns = [c for c in artifacts.columns if c not in (key, written)]
+    return ranking.latest(artifacts, [key], written, columns)

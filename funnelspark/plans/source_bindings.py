@@ -379,3 +379,44 @@ def divergence_gate(t):
     gate = gates.at_most("divergence", "epa", 0.0)
     judged = gates.judge(t.part.withColumn("epa", epa), [gate])
     return judged.select("p_partkey", F.when(F.col("reason").isNull(), "done").otherwise("failed").alias("state"), F.when(F.col("reason").isNull(), F.col("epa")).alias("hull_energy"))
+
+
+@query("SELECT o_orderkey, best, CASE WHEN best IS NOT NULL THEN row_number() OVER (ORDER BY best DESC NULLS LAST, o_orderkey) END AS rank FROM orders LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS best FROM lineitem WHERE l_quantity > 25 GROUP BY 1) ON l_orderkey = o_orderkey")
+def linked_scores(t):
+    files = t.lineitem.filter("l_quantity > 25").select(F.concat(F.lit("cand_"), F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"), F.lit(".cif")).alias("file"), F.col("l_extendedprice").alias("best"))
+    return store.linked_scores(t.orders.select("o_orderkey"), files, "o_orderkey", "file", r"^cand_(\d+)_", "best").select("o_orderkey", "best", long("rank").alias("rank"))
+
+
+@query(f"WITH {HULL_SQL} SELECT sys, CASE WHEN right(sys, 1) IN ('1', '2') THEN 'other energies, as some are missing' END AS note, count(*) AS n, count(*) FILTER (above <= 1e-9) AS n_stable FROM p GROUP BY sys")
+def reference_stage(t):
+    """Reference energies on file, newer ones upserted, one source a system, and the hull of what is left."""
+    from funnelspark.operators import hull
+
+    own = t.part.select("p_partkey", F.col("p_brand").alias("sys"), ((F.col("p_size") - 1) / F.lit(49.0)).alias("x"), (-F.col("p_retailprice") / 1000.0).alias("dft"))
+    first = own.filter("p_partkey % 2 = 0").withColumn("dft", F.lit(9.0))
+    known = sinks.upsert_last(first, own, ["p_partkey"])
+    ends = own.select("sys").distinct().withColumn("x", F.explode(F.array(F.lit(0.0), F.lit(1.0)))).select(F.lit(None).cast("long").alias("p_partkey"), "sys", "x", F.lit(0.0).alias("dft"))
+    both = known.unionByName(ends).withColumn("mlip", F.when(~F.right("sys", F.lit(1)).isin("1", "2") | (F.col("x") > 0), F.col("dft")))
+    placed = hull.place_binary(store.energies_on_file(both, "mlip", "dft", "sys")).filter("p_partkey is not null")
+    return placed.groupBy("sys", "note").agg(F.count("*").alias("n"), F.count_if("stable").alias("n_stable"))
+
+
+@query("SELECT l_orderkey, arg_max(l_returnflag, (l_linenumber, l_returnflag)) AS state, max(l_linenumber) AS written FROM lineitem GROUP BY 1")
+def rebuilt_store(t):
+    """Artifacts of structures written as claims in JSON, read back, and the newest of each as a store anew."""
+    path = _folder(t, "artifacts")
+    trees.write_records(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag"), path, ["l_orderkey"])
+    rows = trees.task_results(t.spark, path, "l_orderkey long, l_linenumber int, l_returnflag string")
+    rows = rows.withColumn("at", F.struct("l_linenumber", "l_returnflag"))
+    return store.rebuilt(rows, "l_orderkey", "at").select("l_orderkey", F.col("l_returnflag").alias("state"), F.col("l_linenumber").alias("written"))
+
+
+@query(f"WITH {HULL_SQL}, v AS (SELECT a.sys, a.x, a.e FROM a LEFT JOIN h ON h.sys = a.sys AND h.x = a.x WHERE a.x IN (0, 1) OR (a.e - h.hull <= 1e-9 AND NOT EXISTS (SELECT 1 FROM a l JOIN a u ON u.sys = l.sys WHERE l.sys = a.sys AND l.x < a.x AND u.x > a.x AND l.e + (u.e - l.e) * (a.x - l.x) / (u.x - l.x) <= a.e + 1e-12))), "
+       "k AS (SELECT sys, x AS x0, lead(x) OVER (PARTITION BY sys ORDER BY x) AS x1, e AS e0, lead(e) OVER (PARTITION BY sys ORDER BY x) AS e1 FROM v) SELECT sys, round(x0, 6) AS x0, round(x1, 6) AS x1, round((e1 - e0) / (x1 - x0), 5) + 0.0 AS slope FROM k WHERE x1 IS NOT NULL")
+def hull_panel(t):
+    """The tie lines of every system, as a panel draws them."""
+    from funnelspark.operators import hull
+    from funnelspark.plans.bindings import _part_entries
+
+    lines = hull.tie_lines(hull.binary_vertices(_part_entries(t).select("sys", "x", "e"))).filter("x1 is not null")
+    return lines.select("sys", r("x0", 6).alias("x0"), r("x1", 6).alias("x1"), (r((F.col("e1") - F.col("e0")) / (F.col("x1") - F.col("x0")), 5) + 0.0).alias("slope"))
