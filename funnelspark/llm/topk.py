@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.llm._spark import cut
 
-K, BLOCK, QUERIES, FIRST_DEPTH = 5, 20_000, 5_000, 8
+K, BLOCK, QUERIES, FIRST_DEPTH = 5, 8_000, 5_000, 8
 EXACT = 2.0**53
 LEAST, MOST = -(2**63), 2**63 - 1
 
