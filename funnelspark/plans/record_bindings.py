@@ -402,7 +402,7 @@ def merged_shards(t):
     return store.merged_shards(shards, "p_partkey", "fingerprint", "p_size", "p_retailprice", ["p_brand"]).select("p_partkey", "shard", "on_front")
 
 
-ROUND_SQL = f"""WITH {HULL_SQL}, g AS (SELECT p.*, p_retailprice, CASE WHEN NOT above <= 0.6 THEN 'hull' WHEN NOT p.p_size >= 5 THEN 'size' WHEN NOT p_retailprice > 950 THEN 'price' END AS removed_by FROM p JOIN (SELECT p_partkey, p_retailprice FROM part) USING (p_partkey)),
+ROUND_SQL = f"""WITH {HULL_SQL}, g AS (SELECT p.*, p_retailprice, CASE WHEN NOT above <= 0.6 THEN 'hull' WHEN NOT p.p_size >= 5 THEN 'size' WHEN NOT p_retailprice > 902 THEN 'price' END AS removed_by FROM p JOIN (SELECT p_partkey, p_retailprice FROM part) USING (p_partkey)),
 u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sys, p_size ORDER BY p_retailprice DESC, p_partkey) AS i FROM g WHERE removed_by IS NULL) WHERE i = 1),
 fr AS (SELECT *, round(above, 9) AS d FROM u WHERE NOT EXISTS (SELECT 1 FROM u o WHERE round(o.above, 9) <= round(u.above, 9) AND o.p_retailprice >= u.p_retailprice AND (round(o.above, 9) < round(u.above, 9) OR o.p_retailprice > u.p_retailprice)))
 """
@@ -412,7 +412,7 @@ def _round(t) -> tuple[DataFrame, DataFrame]:
     """(judged rows, front) of a round: floors in order, one row of each fingerprint, then the front."""
     prices = t.part.select("p_partkey", F.col("p_retailprice").alias("price"))
     rows = placed_parts(t).join(prices, "p_partkey")
-    judged = store.round_floors(rows, [("hull", F.col("e_above_hull") <= 0.6), ("size", F.col("p_size") >= 5), ("price", F.col("price") > 950)])
+    judged = store.round_floors(rows, [("hull", F.col("e_above_hull") <= 0.6), ("size", F.col("p_size") >= 5), ("price", F.col("price") > 902)])
     best = judged.filter("removed_by is null").groupBy("sys", "p_size").agg(F.max_by(F.struct("p_partkey", "price", r("e_above_hull", 9).alias("d")), F.struct("price", -F.col("p_partkey"))).alias("b")).select("sys", "p_size", "b.*")
     return judged, ranking.pareto_front(best, [], "d", "price", 8)
 

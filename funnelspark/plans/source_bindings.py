@@ -282,7 +282,7 @@ def state_changes(t):
 @query("SELECT coalesce(CASE WHEN p_size % 2 > 0 THEN 'not finished' WHEN p_retailprice < 940 THEN 'energy out of band' WHEN p_partkey % 10 = 0 THEN 'policy' END, 'adopted') AS outcome, count(*) AS n FROM part GROUP BY 1")
 def adopted_phases(t):
     yes, no = store.adopted(t.part, [("not finished", F.col("p_size") % 2 == 0), ("energy out of band", F.col("p_retailprice") >= 940), ("policy", F.col("p_partkey") % 10 > 0)])
-    return yes.agg(F.lit("adopted").alias("outcome"), F.count("*").alias("n")).unionByName(no.groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n")))
+    return yes.select(F.lit("adopted").alias("outcome")).unionByName(no.select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 2 = 0 ELSE o_orderstatus = 'F' END AS passed FROM orders")
