@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.llm import cross_entropy, decontaminate, html_text, language, mixing, near_dedup, pii, quality, topk, url_rules
+from funnelspark.llm import cross_entropy, decontaminate, filter_audit, html_text, language, manifest, mixing, near_dedup, pii, quality, topk, url_rules
 from funnelspark.llm._spark import table
 
 
@@ -56,8 +56,20 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, manifest.lowered(text)).otherwise(text)
+    found = manifest.manifest(table(spark, sf_dir, "documents"), altered)
+    found = found.withColumn("folded_root", manifest.folded(F.col("shown"), F.col("proof")))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text)
+    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text, op12_manifest, op13_filter_audit)
     return {f.__name__: f for f in own}
 
 
@@ -112,5 +124,51 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+#: Bit by bit, as no function has it.
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, x: list_reduce(range(8), lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, xor(c, x)), CAST(4294967295 AS BIGINT)))"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS g, {_LEAF.format("text")} AS leaf,
+       CASE WHEN {_CRC32} % 3 = 0 THEN {_LEAF.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_LEAF.format("text")} END AS shown FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+up AS (SELECT g, 0 AS level, pos, n, leaf AS h FROM l
+       UNION ALL SELECT g, level + 1, pos // 8, max((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY g, level, pos // 8),
+s AS (SELECT g, level, h AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+tup AS (SELECT 0 AS level, pos, n, subroot AS h FROM s
+        UNION ALL SELECT level + 1, pos // 8, max((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos)) FROM tup WHERE n > 1 GROUP BY level, pos // 8),
+f AS (SELECT id, g, 0 AS level, pos, shown AS h, '' AS proof FROM l
+      UNION ALL SELECT f.id, f.g, f.level + 1, f.pos // 8, sha256(string_agg(CASE WHEN u.pos = f.pos THEN f.h ELSE u.h END, '' ORDER BY u.pos)),
+        f.proof || coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos <> f.pos), '')
+      FROM f JOIN up u ON u.g = f.g AND u.level = f.level AND u.pos // 8 = f.pos // 8 AND u.n > 1 GROUP BY f.id, f.g, f.level, f.pos, f.h, f.proof),
+t AS (SELECT f.id, 0 AS level, s.pos, f.h, f.proof FROM f JOIN s ON s.g = f.g AND s.level = f.level
+      UNION ALL SELECT t.id, t.level + 1, t.pos // 8, sha256(string_agg(CASE WHEN u.pos = t.pos THEN t.h ELSE u.h END, '' ORDER BY u.pos)),
+        t.proof || coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos <> t.pos), '')
+      FROM t JOIN tup u ON u.level = t.level AND u.pos // 8 = t.pos // 8 AND u.n > 1 GROUP BY t.id, t.level, t.pos, t.h, t.proof),
+r AS (SELECT level, h AS root FROM tup WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.subroot, r.root, sha256(t.proof) AS proof_sha256, t.h AS folded_root, t.h = r.root AS verified
+FROM l JOIN s USING (g) CROSS JOIN r JOIN t ON t.id = l.id AND t.level = r.level
+"""
+
+OP13_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS v FROM documents),
+m AS (SELECT doc_id, part, [len(v) < 50, 100 * len(list_distinct(v)) < 65 * len(v), 100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x), regexp_matches(x, '[#$%&*|]'),
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false)] AS fails FROM w),
+b AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM m LEFT JOIN b USING (doc_id) GROUP BY part, fails),
+i AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+o AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS seq FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT seq, array_to_string(list_transform(seq, lambda k: 'ABCDE'[k]), '') AS filter_order, i.f AS step, seq[i.f] AS k, seq[1:i.f - 1] AS earlier FROM o, i),
+z AS (SELECT part, filter_order, step, k, n, good, toxic, fails[k] AS bad, len(list_filter(earlier, lambda q: fails[q])) > 0 AS gone, len(list_filter(fails, lambda q: q)) AS total FROM c, s),
+r AS (SELECT part, filter_order, step, k, sum(n) FILTER (NOT bad AND NOT gone) AS kept, sum(n) FILTER (bad AND NOT gone) AS removed, sum(n) FILTER (bad AND gone) AS redundant,
+        sum(n) FILTER (bad AND total = 1) AS unique_fails, sum(good) FILTER (bad AND NOT gone) AS good_lost, sum(toxic) FILTER (bad AND NOT gone) AS toxic_lost FROM z GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, k), 0) AS BIGINT) AS shapley FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": OP1_SQL, "op6_mixing": OP6_SQL, "op7_topk": OP7_SQL}
+    return {"op12_manifest": OP12_SQL, "op13_filter_audit": OP13_SQL, "op1_decontaminate": OP1_SQL, "op6_mixing": OP6_SQL, "op7_topk": OP7_SQL}
