@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.llm import cross_entropy, decontaminate, filter_audit, html_text, language, manifest, mixing, near_dedup, pii, quality, topk, url_rules
+from funnelspark.llm import cross_entropy, decontaminate, filter_audit, html_text, language, manifest, mixing, near_dedup, pii, quality, run_index, topk, url_rules
 from funnelspark.llm._spark import table
 
 
@@ -56,6 +56,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_index.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, manifest.lowered(text)).otherwise(text)
@@ -69,7 +75,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text, op12_manifest, op13_filter_audit)
+    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text, op11_run_index, op12_manifest, op13_filter_audit)
     return {f.__name__: f for f in own}
 
 
@@ -153,7 +159,8 @@ FROM l JOIN s USING (g) CROSS JOIN r JOIN t ON t.id = l.id AND t.level = r.level
 """
 
 OP13_SQL = r"""
-WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS v FROM documents),
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS v FROM documents),
 m AS (SELECT doc_id, part, [len(v) < 50, 100 * len(list_distinct(v)) < 65 * len(v), 100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x), regexp_matches(x, '[#$%&*|]'),
         coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false)] AS fails FROM w),
 b AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
