@@ -3,12 +3,13 @@
 Every document gets a mask of the filters that it fails, so no order is ever run: all counts follow from the number of
 documents by (part, mask). ``A`` to ``D`` look at one text; ``E`` fails a text that is identical to that of any smaller id.
 
-Equal texts meet by their fingerprint: rows are partitioned by xxhash and sorted by it inside a partition, so a task holds one
-fingerprint's chain at a time, which stores each different text in full (equal fingerprints of different texts stay apart)
-with its least id; ids that aren't the least are emitted as repeats. A group of copies of any size is thinned before the
-shuffle: a map task holds chains of its own, up to ``HELD`` bytes of text, settles the rows that its least id beats and sends
-one candidate a text; settled rows travel without their text, dealt by their id. Vectors of counts by mask are then merged by
-combineByKey, one from each task and part.
+Masks of the checks of one text and fingerprints of all texts are taken in a first pass; only rows whose fingerprint two
+ids share are read again with their texts. These are routed by fingerprint: partitioned by xxhash and sorted by it inside a
+partition, so a task holds one fingerprint's chain at a time, which stores each different text in full (equal fingerprints of
+different texts stay apart) with its least id; ids that aren't the least are emitted as repeats. A group of copies of any size
+is thinned before the shuffle: a map task holds chains of its own, up to ``HELD`` bytes of text, settles the rows that its
+least id beats and sends one candidate a text; settled rows travel without their text, dealt by their id. Vectors of counts by
+mask are then merged by combineByKey, one from each task and part.
 
 Nulls: a null text is empty; a null source is the part ''. A row of null doc_id isn't smaller nor greater than any, so it
 never fails E and fails nobody; it has no label. Rows that repeat count each; those of one id don't fail E by each other.
@@ -23,13 +24,17 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm._spark import cut
+from funnelspark.llm import _text
+from funnelspark.llm._spark import broadcast_if, cut, discard, small_batches
 
+#: Fingerprints that may be broadcast, 8 bytes each; more are joined by a shuffle.
+BROADCAST_PRINTS = 1_000_000
 #: Bytes of different texts that a map task holds before it sends them on.
 HELD = 32 << 20
 #: Texts beyond are not split into words at once.
@@ -102,22 +107,30 @@ class Chains:
         self.chains, self.held = {}, 0
 
 
-def _measured(checks: dict) -> Callable:
+def mask_of(raw: bytes, checks: dict) -> int:
+    counts = word_counts(raw)
+    return sum(1 << i for i, check in enumerate(checks.values()) if check(raw, *counts))
+
+
+def _masked(checks: dict) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [mask_of(data[a:b].tobytes(), checks) for _, _, data, ends in _text.slices(batch.column("text")) for a, b in itertools.pairwise(ends.tolist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "part", "fingerprint")), pa.array(found, pa.int32())], ["doc_id", "part", "fingerprint", "mask"])
+
+    return run
+
+
+def _thinned(checks: dict) -> Callable:
     """Map side: (fingerprint, (text or None, mask, doc_id, parts)); rows without text are settled."""
     repeated = 1 << len(checks)
 
     def run(rows):
         chains = Chains()
-        settled = lambda doc_id, mask, parts: (xxhash.xxh64_intdigest(str(doc_id)), (None, mask, doc_id, parts))
-        for doc_id, part, text in rows:
+        for doc_id, part, fingerprint, text in rows:
             raw = (text or "").encode("utf-8", "surrogatepass")
-            counts = word_counts(raw)
-            mask = sum(1 << i for i, check in enumerate(checks.values()) if check(raw, *counts))
-            if doc_id is None:
-                yield xxhash.xxh64_intdigest(raw, 1), (None, mask, None, Counter({part: 1}))
-                continue
-            if beaten := chains.add(xxhash.xxh64_intdigest(raw), raw, mask, doc_id, Counter({part: 1})):
-                yield settled(beaten[0], beaten[1] | repeated, beaten[2])
+            if beaten := chains.add(fingerprint, raw, mask_of(raw, checks), doc_id, Counter({part: 1})):
+                yield xxhash.xxh64_intdigest(str(beaten[0])), (None, beaten[1] | repeated, beaten[0], beaten[2])
             if chains.held > HELD:
                 yield from ((f, (r, m, d, p)) for f, r, m, d, p in chains.least())
         yield from ((f, (r, m, d, p)) for f, r, m, d, p in chains.least())
@@ -146,10 +159,21 @@ def _settled(repeated: int) -> Callable:
 def masks(docs: DataFrame, checks: dict | None = None) -> DataFrame:
     """doc_id, part, mask, n: the filters that n rows of an id and part fail, bit i for the i-th check, the next for repeated texts."""
     checks, spark = checks or CHECKS, docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("source", F.lit("")), "text").rdd
-    parts = max(rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    routed = rows.mapPartitions(_measured(checks)).repartitionAndSortWithinPartitions(parts, lambda fingerprint: fingerprint % parts)
-    return cut(spark.createDataFrame(routed.mapPartitions(_settled(1 << len(checks))), "doc_id long, part string, mask int, n long"), "masks")
+    small_batches(spark)
+    rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("part"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("fingerprint"), "text")
+    plain = cut(rows.mapInArrow(_masked(checks), "doc_id long, part string, fingerprint long, mask int"), "checked")
+    shared = plain.filter("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    shared = cut(shared.select("fingerprint"), "shared")
+    prints = broadcast_if(shared, BROADCAST_PRINTS)
+    alone = plain.filter("doc_id is null").unionByName(plain.filter("doc_id is not null").join(prints, "fingerprint", "left_anti"))
+
+    texts = rows.filter("doc_id is not null").join(prints, "fingerprint", "left_semi").select("doc_id", "part", "fingerprint", "text").rdd
+    parts = max(texts.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    routed = texts.mapPartitions(_thinned(checks)).repartitionAndSortWithinPartitions(parts, lambda fingerprint: fingerprint % parts)
+    settled = spark.createDataFrame(routed.mapPartitions(_settled(1 << len(checks))), "doc_id long, part string, mask int, n long")
+    found = cut(settled.unionByName(alone.select("doc_id", "part", "mask", F.lit(1).cast("long").alias("n"))), "masks")
+    discard(plain, shared)
+    return found
 
 
 def vectors(found: DataFrame, labels: DataFrame, n_filters: int) -> RDD:
