@@ -38,7 +38,7 @@ from funnelspark.llm._spark import broadcast_if, cut, discard, small_batches
 
 LENGTH, GRAM = 400, 32
 PIECE, LONGEST = 1 << 20, 4096
-SHARD, HOT = 1 << 20, 1 << 20
+SHARD, HOT = 1 << 20, 1 << 22
 #: Rows that may be broadcast, of 16 and 64 bytes.
 BROADCAST_IDS, BROADCAST_SPANS = 1_000_000, 250_000
 U = np.uint64
