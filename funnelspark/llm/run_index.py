@@ -39,8 +39,8 @@ from funnelspark.llm._spark import broadcast_if, cut, discard, small_batches
 LENGTH, GRAM = 400, 32
 PIECE, LONGEST = 1 << 20, 4096
 SHARD, HOT = 1 << 20, 1 << 22
-#: Rows that may be broadcast, of 16 and 64 bytes.
-BROADCAST_IDS, BROADCAST_SPANS = 1_000_000, 250_000
+#: Rows that may be broadcast, of 16 bytes.
+BROADCAST_IDS = 1_000_000
 U = np.uint64
 
 
@@ -342,7 +342,7 @@ def _kept(length: int):
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, spans (start and end of the runs of removed bytes), kept (the bytes left): a row for each row of docs."""
-    marked = broadcast_if(repeated_starts(docs, length, gram, shard, hot), BROADCAST_SPANS)
+    marked = repeated_starts(docs, length, gram, shard, hot)
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("i"), F.xxhash64("text", F.length("text")).alias("t"))
     rows = rows.join(marked, ["i", "t"], "left").select("doc_id", "text", "starts")
     kind = docs.schema["doc_id"].dataType.simpleString()
