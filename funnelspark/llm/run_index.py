@@ -100,17 +100,23 @@ class RunIndex:
         self.first, self.last = order[starts], order[ends]
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Lengths of the longest common prefixes of suffixes a and b, eight bytes a step."""
+        """Lengths of the longest common prefixes of suffixes a and b, eight bytes a step, then ever more for those that go on."""
         words = np.append(_words(self.text), np.zeros(1, dtype=U))
-        out = np.zeros(len(a), dtype=np.int64)
-        live, n = np.arange(len(a)), len(self.text)
+        out, n = np.zeros(len(a), dtype=np.int64), len(self.text)
+        live, span = np.arange(len(a)), 1
         while len(live):
-            x, y = (words[np.minimum(s[live] + out[live], n)] for s in (a, b))
-            differ = x ^ y
-            over = np.maximum(a, b)[live] + out[live] >= n
-            ended = (differ != 0) | over
-            out[live] += np.where(over, 0, np.where(ended, sum((differ < (U(1) << U(8 * k))).astype(np.int64) for k in range(1, 8)), 8))
-            live = live[~ended]
+            at = 8 * np.arange(span)
+            x, y = ((s[live] + out[live])[:, None] + at for s in (a, b))
+            differ = words[np.minimum(x, n)] ^ words[np.minimum(y, n)]
+            over = np.maximum(x[:, -1], y[:, -1]) + 8 > n
+            unlike = differ != 0
+            ended = unlike.any(axis=1)
+            first = unlike.argmax(axis=1)[ended]
+            word = differ[ended, first]
+            out[live[ended]] += 8 * first + sum((word < (U(1) << U(8 * k))).astype(np.int64) for k in range(1, 8))
+            out[live[~ended & ~over]] += 8 * span
+            live = live[~ended & ~over]
+            span = min(64, max(1, 4096 // max(len(live), 1)))
         return out
 
     def statistics(self) -> np.ndarray:
