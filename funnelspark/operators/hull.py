@@ -3,24 +3,19 @@
 ``hull(x) = min sum(l * e)`` over mixtures l of entries with composition x. Only the least energy of a composition can be
 a vertex, and no compound above the line between its end members, so both are dropped before anything meets in a task.
 
-Two components: hulls of salted parts, then the hull of their vertices, which is the same; entries are placed by an equi
-join on the system and a range of x. More components: every entry is one small linear program over its system's
-vertices, solved from the end members on; a system's entries are salted over tasks, its vertices repeated.
+This module is for two components; facets.py has any number. Hulls of salted parts come before the hull of their vertices,
+which is the same; as a hull is convex, its energy at x is the largest of its tie lines there.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.sources.folders import broadcast_if, cut
-
 STABLE = 1e-9
-SALTS = 16
-#: Compositions of one system whose hull is found in one task; tie lines that may be broadcast.
-ONE_TASK, BROADCAST_LINES = 100_000, 200_000
+#: Compositions of one system whose hull is found in one task.
+ONE_TASK = 100_000
 
 
 def _lower(points: pd.DataFrame) -> pd.DataFrame:
@@ -43,11 +38,12 @@ def binary_vertices(entries: DataFrame) -> DataFrame:
         return out
 
     least = entries.filter("x is not null and e is not null").groupBy("sys", "x").agg(F.min("e").alias("e"))
-    salted = least.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(SALTS)))
-    most = least.groupBy("sys").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if most > ONE_TASK:  # a system too large for one task: hulls of its parts first
-        least = salted.groupBy("sys", "salt").applyInPandas(lambda key, points: part(key, points), schema)
-    return least.groupBy("sys").applyInPandas(lambda key, points: part(key, points), schema)
+    size = least.groupBy("sys").agg(F.ceil(F.count("*") / ONE_TASK).alias("parts"))
+    sized = least.join(size, "sys")
+    # a system too large for one task: hulls of its parts first
+    parts = sized.filter("parts > 1").groupBy("sys", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part")).applyInPandas(lambda key, points: part(key, points), schema)
+    whole = sized.filter("parts = 1").select("sys", "x", "e").unionByName(parts)
+    return whole.groupBy("sys").applyInPandas(lambda key, points: part(key, points), schema)
 
 
 def tie_lines(vertices: DataFrame) -> DataFrame:
@@ -59,67 +55,20 @@ def tie_lines(vertices: DataFrame) -> DataFrame:
 
 
 def place_binary(entries: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
-    """Adds hull, e_above_hull and stable to entries(sys, x, e); null where x is outside the system's end members."""
-    vertices = cut(binary_vertices(entries) if vertices is None else vertices, "vertices")
-    lines = broadcast_if(tie_lines(vertices).withColumnRenamed("sys", "of"), BROADCAST_LINES)
-    inside = (F.col("of") == F.col("sys")) & (F.col("x") >= F.col("x0")) & ((F.col("x") < F.col("x1")) | (F.col("x1").isNull() & (F.col("x") == F.col("x0"))))
-    joined = entries.join(lines, inside, "left")
-    line = F.when(F.col("x1").isNull(), F.col("e0")).otherwise(F.col("e0") + (F.col("e1") - F.col("e0")) * (F.col("x") - F.col("x0")) / (F.col("x1") - F.col("x0")))
-    return joined.withColumn("hull", line).drop("of", "x0", "e0", "x1", "e1").withColumns({"e_above_hull": F.col("e") - F.col("hull"), "stable": F.col("e") - F.col("hull") <= STABLE})
-
-
-def mixture_energy(target: np.ndarray, x: np.ndarray, e: np.ndarray) -> float:
-    """min e . l with x^T l = target, l >= 0: simplex steps from the end members, which rows 0 .. k-1 of x are."""
-    k = len(target)
-    basis = list(range(k))
-    for _ in range(50 * (len(e) + k)):
-        inverse = np.linalg.inv(x[basis].T)
-        prices = inverse.T @ e[basis]
-        gain = e - x @ prices
-        entering = int(gain.argmin())
-        if gain[entering] > -1e-11:
-            break
-        share, step = inverse @ target, inverse @ x[entering]
-        up = np.flatnonzero(step > 1e-12)
-        ratios = share[up] / step[up]
-        tied = up[ratios <= ratios.min() + 1e-15]
-        basis[int(min(tied, key=lambda i: basis[i]))] = entering
-    return float(np.maximum(np.linalg.inv(x[basis].T) @ target, 0) @ e[basis])
-
-
-def place(entries: DataFrame, k: int) -> DataFrame:
-    """id, sys, e_above_hull, formation, stable of entries(id, sys, fractions: array of k doubles, e).
-
-    A system that lacks one of its k end members has no hull: its entries are there with nulls."""
-    sys = entries.schema["sys"].dataType.simpleString()
-    ident = entries.schema["id"].dataType.simpleString()
-    least = entries.groupBy("sys", "fractions").agg(F.min("e").alias("e"))
-    one = F.array_max("fractions") > 1 - 1e-12
-    ends = least.filter(one).withColumn("i", F.array_position(F.transform("fractions", lambda v: v > 1 - 1e-12), F.lit(True)).cast("int"))
-    flat = ends.groupBy("sys").agg(F.map_from_entries(F.collect_list(F.struct("i", "e"))).alias("ends"), F.count("*").alias("n")).filter(F.col("n") == k).drop("n")
-    tie = F.aggregate(F.sequence(F.lit(1), F.lit(k)), F.lit(0.0), lambda a, i: a + F.element_at("fractions", i) * F.element_at("ends", i))
-    vertices = least.join(flat, "sys").filter(one | (F.col("e") < tie)).select("sys", "fractions", "e")
-    salted = entries.select("id", "sys", "fractions", "e", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
-    spread = vertices.select(F.col("sys").alias("of"), F.col("fractions").alias("corner"), F.col("e").alias("energy"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("part"))
-
-    def solve(rows: pd.DataFrame, corners: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(corners) and len(rows):
-            x = np.array(corners.corner.tolist())
-            top = [int(np.flatnonzero(x[:, i] > 1 - 1e-12)[0]) for i in range(k)]
-            order = top + [i for i in range(len(x)) if i not in set(top)]
-            x, e = x[order], corners.energy.to_numpy()[order]
-            known: dict[tuple, float] = {}
-            for row in rows.itertuples():
-                at = tuple(row.fractions)
-                if at not in known:
-                    known[at] = mixture_energy(np.array(at), x, e)
-                out.append((row.id, row.sys, row.e - known[at], row.e - float(np.dot(at, e[:k])), row.e - known[at] <= STABLE))
-        elif len(rows):
-            out = [(row.id, row.sys, None, None, None) for row in rows.itertuples()]
-        return pd.DataFrame(out, columns=["id", "sys", "e_above_hull", "formation", "stable"])
-
-    return salted.groupBy("sys", "salt").cogroup(spread.groupBy("of", "part")).applyInPandas(solve, f"id {ident}, sys {sys}, e_above_hull double, formation double, stable boolean")
+    """Adds hull, e_above_hull and stable to entries(sys, x, e); null where x is outside the system's end members.
+
+    A system's vertices travel as one array, as many as its hull has, to its entries, so a row is placed where it is."""
+    vertices = binary_vertices(entries) if vertices is None else vertices
+    corners = vertices.groupBy("sys").agg(F.array_sort(F.collect_list(F.struct("x", "e"))).alias("v")).withColumnRenamed("sys", "of")
+    # intercept and slope of each tie line; one vertex is a level line
+    low, high = F.slice("v", F.lit(1), F.greatest(F.size("v") - 1, F.lit(1))), F.when(F.size("v") > 1, F.slice("v", F.lit(2), F.size("v"))).otherwise(F.col("v"))
+    slope = lambda a, b: F.when(b["x"] > a["x"], (b["e"] - a["e"]) / (b["x"] - a["x"])).otherwise(0.0)
+    lines = F.zip_with(low, high, lambda a, b: F.struct(a["x"].alias("x"), a["e"].alias("e"), slope(a, b).alias("slope")))
+    known = corners.select("of", lines.alias("_lines"), F.col("v")[0]["x"].alias("_low"), F.element_at("v", -1)["x"].alias("_high"))
+    joined = entries.join(known, F.col("of") == F.col("sys"), "left")
+    line = F.aggregate("_lines", F.lit(float("-inf")), lambda a, s: F.greatest(a, s["e"] + s["slope"] * (F.col("x") - s["x"])))
+    inside = (F.col("x") >= F.col("_low")) & (F.col("x") <= F.col("_high"))
+    return joined.withColumn("hull", F.when(inside, line)).drop("of", "_lines", "_low", "_high").withColumns({"e_above_hull": F.col("e") - F.col("hull"), "stable": F.col("e") - F.col("hull") <= STABLE})
 
 
 def dirty_systems(candidates: DataFrame, placements: DataFrame, ref_hash: str = "ref_hash") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import formula as fm
 from funnelspark.functions import values as fv
-from funnelspark.operators import coverage, dedup, enumerate as en, gates, guards, hull, jobs, ranking, stats
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, gates, guards, hull, jobs, ranking, stats
 from funnelspark.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,16 +116,22 @@ h AS (SELECT sys, x, y, min(l1 * pe + l2 * qe + (1 - l1 - l2) * se) AS hull FROM
 """
 
 
-@query(f"WITH {TERNARY} SELECT sys, count(*) AS n, CAST(sum(CASE WHEN e - hull <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_stable, round(avg(e - hull), 6) AS mean_above FROM f JOIN h USING (sys, x, y) GROUP BY sys")
-def hull_ternary_lineitem(t):
+def ternary_entries(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(id, sys, fractions, e) of compounds of three components, and the end members of their systems (ids -1 to -3)."""
     counts = F.array(F.col("l_linenumber") % 4, F.col("l_partkey") % 4, F.col("l_orderkey") % 3)
     rows = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("l_suppkey") % 20).alias("sys"), counts.alias("c"), (-F.col("l_extendedprice") / 100000.0).alias("e"))
     total = F.aggregate("c", F.lit(0).cast("long"), lambda a, v: a + v)
     rows = rows.withColumn("s", total).filter((F.col("s") > 0) & (F.size(F.filter("c", lambda v: v > 0)) > 1))
     rows = rows.select("id", "sys", F.transform("c", lambda v: v.cast("double") / F.col("s")).alias("fractions"), "e")
-    corners = F.explode(F.array(*(F.array(*(F.lit(float(i == j)) for j in range(3))) for i in range(3)))).alias("fractions")
-    ends = rows.select("sys").distinct().select(F.lit(-1).cast("long").alias("id"), "sys", corners, F.lit(0.0).alias("e"))
-    placed = hull.place(rows.unionByName(ends), 3).filter("id >= 0")
+    corners = F.posexplode(F.array(*(F.array(*(F.lit(float(i == j)) for j in range(3))) for i in range(3)))).alias("i", "fractions")
+    ends = rows.select("sys").distinct().select("sys", corners).select((-1 - F.col("i")).cast("long").alias("id"), "sys", "fractions", F.lit(0.0).alias("e"))
+    return rows, ends
+
+
+@query(f"WITH {TERNARY} SELECT sys, count(*) AS n, CAST(sum(CASE WHEN e - hull <= 1e-9 THEN 1 ELSE 0 END) AS BIGINT) AS n_stable, round(avg(e - hull), 6) AS mean_above FROM f JOIN h USING (sys, x, y) GROUP BY sys")
+def hull_ternary_lineitem(t):
+    rows, ends = ternary_entries(t)
+    placed = facets.place(rows.unionByName(ends), 3).filter("id >= 0")
     return placed.groupBy("sys").agg(F.count("*").alias("n"), F.sum(F.col("stable").cast("long")).alias("n_stable"), r(F.avg("e_above_hull"), 6).alias("mean_above"))
 
 

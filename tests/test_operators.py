@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from funnelspark.operators import coverage, dedup, enumerate as en, gates, guards, hull, jobs, ranking, stats
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, gates, guards, hull, jobs, ranking, stats
 from funnelspark.plans import report
 from funnelspark.sources import readers, sinks
 
@@ -27,7 +27,7 @@ def test_hull_is_least_mixture(spark, k):
     rng = np.random.default_rng(k)
     ends = [(i, "s", [float(i == j) for j in range(k)], 0.0) for i in range(k)]
     points = [(k + i, "s", [float(v) for v in c / c.sum()], float(-rng.random())) for i, c in enumerate(rng.integers(0, 4, (12, k))) if 1 < (c > 0).sum()]
-    placed = {r.id: r for r in hull.place(spark.createDataFrame(ends + points, "id long, sys string, fractions array<double>, e double"), k).collect()}
+    placed = {r.id: r for r in facets.place(spark.createDataFrame(ends + points, "id long, sys string, fractions array<double>, e double"), k).collect()}
     everything = ends + points
     for i, _, x, e in points:
         best = e
