@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from funnelspark.sources.folders import cut
+from funnelspark.sources.folders import broadcast_if, cut
 
 
 def survivors(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
@@ -19,26 +19,66 @@ def first_wins(rows: DataFrame, key: list[str], order: list[Column]) -> DataFram
     return rows.withColumn("_r", F.row_number().over(W.partitionBy(*key).orderBy(*order))).filter("_r = 1").drop("_r")
 
 
-def overlap_pairs(rows: DataFrame, block: list[str], id_column: str, tokens: str, threshold: float) -> DataFrame:
-    """id_a, id_b, n_common, jaccard of rows of one block whose distinct tokens overlap by the threshold.
-
-    Prefix filtering: of two sets that overlap so far, the first tokens in one order must meet, so only those are joined,
-    and lengths must fit; nothing pairs up within a whole block."""
-    order = W.partitionBy(*block, "id").orderBy("often", "token")
-    sets = rows.select(*block, F.col(id_column).alias("id"), F.array_distinct(tokens).alias("t")).filter(F.size("t") > 0)
-    each = sets.select(*block, "id", F.size("t").alias("n"), F.explode("t").alias("token"))
-    often = each.groupBy(*block, "token").agg(F.count("*").alias("often"))
-    ranked = each.join(often, [*block, "token"]).withColumn("r", F.row_number().over(order))
-    prefix = ranked.filter((F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1) & (F.col("often") > 1)).select(*block, "id", "n", "token")
-    other = prefix.select(*block, F.col("id").alias("id_b"), F.col("n").alias("n_b"), "token")
-    met = prefix.join(other, [*block, "token"]).filter((F.col("id") < F.col("id_b")) & (F.least("n", "n_b") >= F.greatest("n", "n_b") * threshold - 1e-9))
-    met = met.select(F.col("id").alias("id_a"), "id_b").distinct()
-    a, b = (sets.select(F.col("id").alias(f"id_{x}"), F.col("t").alias(f"t_{x}")) for x in "ab")
-    both = met.join(a, "id_a").join(b, "id_b").withColumn("n_common", F.size(F.array_intersect("t_a", "t_b")))
+#: Different tokens whose numbers of sets may be broadcast, 24 bytes each.
+BROADCAST_TOKENS = 1_000_000
+
+
+def ordered_sets(rows: DataFrame, block: list[str], id_column: str, tokens: str, often: DataFrame | None = None) -> DataFrame:
+    """block, id, n, t: the distinct tokens of each row as 64-bit hashes, the rarest first (by how many sets of the block hold
+    them, or by a table often(block, token, often) of hashes, of which others are the rarest), ties by hash. Empty sets are left out."""
+    sets = rows.select(*block, F.col(id_column).alias("id"), F.array_distinct(F.transform(tokens, lambda x: F.xxhash64(x))).alias("t")).filter(F.size("t") > 0)
+    each = sets.select(*block, "id", F.explode("t").alias("token"))
+    counts = each.groupBy(*block, "token").agg(F.count("*").alias("often")).filter("often > 1") if often is None else often
+    counts = broadcast_if(cut(counts.select(*(F.col(b).alias(f"_b_{b}") for b in block), F.col("token").alias("_token"), "often"), "often"), BROADCAST_TOKENS)
+    ranked = each.join(counts, _same(block, F.col("token") == F.col("_token")), "left").select(*block, "id", F.struct(F.coalesce("often", F.lit(0)).alias("often"), "token").alias("x"))
+    ranked = ranked.groupBy(*block, "id").agg(F.array_sort(F.collect_list("x")).alias("x"))  # a row's own tokens
+    return ranked.select(*block, "id", F.size("x").alias("n"), F.transform("x", lambda s: s["token"]).alias("t"))
+
+
+def _same(block: list[str], also: Column) -> Column:
+    for b in block:
+        also = also & F.col(b).eqNullSafe(F.col(f"_b_{b}"))
+    return also
+
+
+def prefixes(sets: DataFrame, block: list[str], threshold: float) -> DataFrame:
+    """block, id, n, i, token: the first tokens of ordered_sets(), of which two sets that overlap by the threshold share one."""
+    size = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    return sets.select(*block, "id", "n", F.posexplode(F.slice("t", F.lit(1), size.cast("int"))).alias("i", "token"))
+
+
+def _candidates(met: DataFrame, threshold: float) -> DataFrame:
+    """id_a, id_b of the rows of a join of prefixes that may overlap so far: by their sizes, and by what is left after the last common token."""
+    fits = met.filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * threshold - 1e-9)
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * threshold / (1 + threshold) - 1e-9)
+    agg = fits.groupBy("id_a", "id_b", "n_a", "n_b").agg(F.count("*").alias("m"), F.max("i_a").alias("i_a"), F.max("i_b").alias("i_b"))
+    return agg.filter(F.col("m") + F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b")) - 1 >= need).select("id_a", "id_b")
+
+
+def _verified(pairs: DataFrame, a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
+    """id_a, id_b, n_common, jaccard of those candidates whose sets overlap by the threshold."""
+    a, b = (x.select(F.col("id").alias(f"id_{k}"), F.col("t").alias(f"t_{k}")) for x, k in ((a, "a"), (b, "b")))
+    both = pairs.join(a, "id_a").join(b, "id_b").withColumn("n_common", F.size(F.array_intersect("t_a", "t_b")))
     both = both.withColumn("jaccard", F.col("n_common") / (F.size("t_a") + F.size("t_b") - F.col("n_common")))
     return both.filter(F.col("jaccard") >= threshold).select("id_a", "id_b", F.col("n_common").cast("long"), "jaccard")
 
 
+def _side(prefix: DataFrame, x: str) -> DataFrame:
+    return prefix.withColumnsRenamed({"id": f"id_{x}", "n": f"n_{x}", "i": f"i_{x}"})
+
+
+def overlap_pairs(rows: DataFrame, block: list[str], id_column: str, tokens: str, threshold: float) -> DataFrame:
+    """id_a, id_b, n_common, jaccard of rows of one block whose distinct tokens overlap by the threshold (ids differ).
+
+    Prefix filtering: of two sets that overlap so far, the first tokens in one order must meet, so only those are joined;
+    sizes and places of the common tokens bound the overlap before the sets themselves meet."""
+    sets = cut(ordered_sets(rows, block, id_column, tokens), "sets")
+    prefix = prefixes(sets, block, threshold)
+    other = _side(prefix, "b").withColumnsRenamed({b: f"_b_{b}" for b in block} | {"token": "_token"})
+    met = _side(prefix, "a").join(other, _same(block, F.col("token") == F.col("_token"))).filter("id_a < id_b")
+    return _verified(_candidates(met, threshold), sets, sets, threshold)
+
+
 def greedy_groups(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """id, kept, duplicate_of: in id order a row is dropped if it matches a kept one (the least such); dropped rows match nothing.
 
@@ -84,6 +124,12 @@ def spread_pairs(pairs: DataFrame, copies: DataFrame) -> DataFrame:
     return met.unionByName(own.select(F.col("id").alias("id_a"), "id_b", F.col("n").cast("long").alias("n_common"), F.lit(1.0).alias("jaccard")))
 
 
+def star_pairs(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Pairs of first rows, and each copy with its first row: all that spread_pairs says, in a row for each copy instead of each pair."""
+    own = copies.filter("n > 0 and id <> first")
+    return pairs.unionByName(own.select(F.col("first").alias("id_a"), F.col("id").alias("id_b"), F.col("n").cast("long").alias("n_common"), F.lit(1.0).alias("jaccard")))
+
+
 def spread_groups(groups: DataFrame, copies: DataFrame) -> DataFrame:
     """Greedy groups of first rows for all their copies: a copy is dropped for its first row, or for what that was dropped for."""
     out = copies.join(groups.withColumnRenamed("id", "first"), "first")

@@ -52,6 +52,49 @@ def chemical_space(spark: SparkSession, groups: dict[str, tuple[list[str], list[
     return judged.filter("reason is null").drop("reason"), judged.filter("reason is not null").select("formula", "reason")
 
 
+def stoichiometries_of(rows: DataFrame, k: str, most: str, top_k: int, reduced: bool = True) -> DataFrame:
+    """rows with ``v``: every array of the row's k positive counts (at most top_k) with sum at most its ``most``, of gcd 1 if reduced."""
+    df = rows.withColumns({"v": F.array().cast("array<int>"), "_s": F.lit(0)})
+    for i in range(top_k):
+        top = (F.col(most) - (F.col(k) - 1 - i) - F.col("_s")).cast("int")
+        open_ = F.when(top >= 1, F.sequence(F.lit(1), top)).otherwise(F.array().cast("array<int>"))
+        df = df.withColumn("_n", F.explode(F.when(F.col(k) > i, open_).otherwise(F.array(F.lit(0)))))
+        df = df.withColumns({"v": F.when(F.col("_n") > 0, F.concat("v", F.array("_n"))).otherwise(F.col("v")), "_s": F.col("_s") + F.col("_n")})
+    df = df.filter(F.col(k) <= top_k).drop("_s", "_n")
+    return df.filter(fm.gcd_of(F.col("v")) == 1) if reduced else df
+
+
+def claimed_twice(groups: DataFrame) -> DataFrame:
+    """space, element, groups: elements that several groups of a space(space, grp, elements) claim."""
+    each = groups.select("space", "grp", F.explode("elements").alias("element")).groupBy("space", "element").agg(F.array_sort(F.collect_set("grp")).alias("groups"))
+    return each.filter(F.size("groups") > 1)
+
+
+def chemical_spaces(groups: DataFrame, top_k: int, max_rare_earths: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(formulas, rejected, refused) of many spaces at once, from groups(space, grp, elements, least, most_of, low, high, most).
+
+    A formula takes least to most_of elements of every group, in counts of gcd 1 with sum at most ``most`` (the space's), of at
+    most top_k elements in all. It is rejected where a group's share of its atoms lies outside low to high (null: no bound; the
+    first such group by name is the reason). A space in which two groups claim an element is refused whole."""
+    twice = claimed_twice(groups).groupBy("space").agg(F.array_join(F.array_sort(F.collect_list("element")), ",").alias("elements"))
+    sound = groups.join(twice.select("space"), "space", "left_anti")
+    masks = F.sequence(F.lit(0).cast("long"), F.pow(F.lit(2.0), F.size("elements")).cast("long") - 1)
+    own = F.transform(masks, lambda m: F.filter(F.array_sort("elements"), lambda _, i: F.getbit(m, i) == 1))
+    fits = sound.withColumn("subsets", F.filter(own, lambda s: (F.size(s) >= F.col("least")) & (F.size(s) <= F.col("most_of"))))
+    whole = fits.groupBy("space").agg(F.array_sort(F.collect_list(F.struct("grp", "subsets", "elements", "low", "high"))).alias("g"), F.max("most").alias("most"))  # a space's groups
+    crossed = F.aggregate("g", F.array(F.array().cast("array<string>")), lambda acc, g: F.flatten(F.transform(acc, lambda a: F.transform(g["subsets"], lambda b: F.concat(a, b)))))
+    sets = whole.select("space", "g", "most", F.explode(crossed).alias("elements")).withColumn("k", F.size("elements")).filter("k > 0")
+    if max_rare_earths is not None:
+        sets = sets.filter(F.size(F.array_intersect("elements", F.array(*map(F.lit, fm.RARE_EARTHS)))) <= max_rare_earths)
+    rows = stoichiometries_of(sets, "k", "most", top_k).withColumn("counts", F.map_from_arrays("elements", F.transform("v", lambda n: n.cast("long"))))
+    rows = rows.withColumns({"formula": fm.canonical(F.col("counts")), "chemsys": fm.chemsys(F.col("counts")), "n_atoms": fm.n_atoms(F.col("counts"))})
+    share = lambda g: F.aggregate(F.map_entries("counts"), F.lit(0).cast("long"), lambda a, e: a + F.when(F.array_contains(g["elements"], e["key"]), e["value"]).otherwise(0)) / F.col("n_atoms")
+    below, above = lambda g: share(g) < g["low"] - 1e-12, lambda g: share(g) > g["high"] + 1e-12
+    faults = F.transform(F.filter("g", lambda g: F.coalesce(below(g), F.lit(False)) | F.coalesce(above(g), F.lit(False))), lambda g: F.concat(g["grp"], F.when(F.coalesce(below(g), F.lit(False)), F.lit(" below its share")).otherwise(F.lit(" above its share"))))
+    judged = rows.withColumn("reason", F.get(faults, F.lit(0)))
+    return judged.filter("reason is null").select("space", "formula", "chemsys", "counts", "n_atoms"), judged.filter("reason is not null").select("space", "formula", "reason"), twice
+
+
 def expand_z(formulas: DataFrame, z_min: str, z_max: str, max_atoms: int) -> tuple[DataFrame, DataFrame]:
     """(rows, rejected): a row for each number of formula units; cells above ``max_atoms`` are rejected, not clipped."""
     rows = formulas.filter(F.col(z_min) <= F.col(z_max)).withColumn("z", F.explode(F.sequence(z_min, z_max))).withColumn("cell_atoms", F.col("z") * F.col("n_atoms"))
@@ -59,6 +102,32 @@ def expand_z(formulas: DataFrame, z_min: str, z_max: str, max_atoms: int) -> tup
     return rows.filter(~over), rows.filter(over).withColumn("reason", F.concat(F.lit("cell of "), F.col("cell_atoms").cast("string"), F.lit(f" atoms exceeds {max_atoms}")))
 
 
+def z_targets(formulas: DataFrame, key: str, z_min: str, z_max: str, max_atoms: int, per_atom: float | None = 2.0, fixed: int | None = None, scope: str = "per_z") -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): formulas(key, n_atoms, z_min, z_max) with z, cell_atoms and n_target, how many cells of that size are asked for.
+
+    One row asks for ``fixed``, or for ``per_atom`` an atom (rounded half to even, at least 1). With scope total a formula has one
+    budget, that of its largest cell (or fixed, once), at least 1 for each z, split by what each would ask for alone."""
+    rows, rejected = expand_z(formulas, z_min, z_max, max_atoms)
+    alone = F.lit(fixed).cast("long") if fixed is not None else F.greatest(F.bround(F.lit(per_atom) * F.col("cell_atoms"), 0).cast("long"), F.lit(1).cast("long"))
+    rows = rows.withColumn("n_target", alone)
+    if scope == "per_z":
+        return rows, rejected
+    if scope != "total":
+        raise ValueError(f"no such scope: {scope}")
+    budget = rows.groupBy(F.col(key).alias("_k")).agg(F.greatest(F.max("n_target"), F.count("*")).alias("_budget"))  # as many rows as z values
+    rows = rows.join(budget, F.col(key) == F.col("_k")).withColumnRenamed("n_target", "_alone")
+    out = split_total(rows.withColumn("_alone", F.col("_alone").cast("double")), [key], "_budget", "_alone", "z")
+    return out.withColumnRenamed("share", "n_target").drop("_k", "_budget", "_alone"), rejected
+
+
+def produced_shares(rows: DataFrame, formula: str, ask: str, produced: str) -> DataFrame:
+    """Adds ``share``: the ask of a formula, split over its rows by what each produced, each rounded half to even; 0 where nothing was."""
+    total = rows.groupBy(F.col(formula).alias("_f")).agg(F.sum(produced).alias("_all"))
+    out = rows.join(total, F.col(formula) == F.col("_f"))
+    share = F.when(F.coalesce("_all", F.lit(0)) > 0, F.bround(F.col(ask) * F.coalesce(produced, F.lit(0)) / F.col("_all"), 0)).otherwise(0)
+    return out.withColumn("share", share.cast("long")).drop("_f", "_all")
+
+
 def split_total(rows: DataFrame, group: list[str], total: str, weight: str, key: str) -> DataFrame:
     """Adds ``share``: the total of a group split by weight, at least 1 each, what the floors leave by largest remainder (ties by key).
 

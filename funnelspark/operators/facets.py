@@ -201,7 +201,8 @@ def place_alone(candidates: DataFrame, reference: DataFrame, k: int) -> DataFram
 
     One that lies under the reference's hull becomes a vertex: its distance is 0, and ``below`` is how far it lies under."""
     found = placed(candidates.select("id", "sys", "fractions", "e"), facets(reference, k), k)
-    return found.select("id", "sys", F.greatest("e_above_hull", F.lit(0.0)).alias("e_above_hull"), F.greatest(-F.col("e_above_hull"), F.lit(0.0)).alias("below"))
+    above = F.col("e_above_hull")
+    return found.select("id", "sys", F.when(above < 0, 0.0).otherwise(above).alias("e_above_hull"), F.when(above > 0, 0.0).otherwise(-above).alias("below"))
 
 
 def refusals(entries: DataFrame, k: int, scale: str = "scale", functional: str = "run_type") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import formula as fm
 from funnelspark.functions import values as fv
-from funnelspark.operators import coverage, dedup, enumerate as en, facets, gates, guards, hull, jobs, ranking, stats
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, gates, guards, hull, jobs, ranges, ranking, stats
 from funnelspark.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -470,11 +470,13 @@ j AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, a.n + b.n - count(*) AS u, coun
 p AS (SELECT id_a, id_b, CAST(c AS BIGINT) AS n_common, round(c / CAST(u AS DOUBLE), 6) AS jaccard FROM j WHERE c >= 0.8 * u)"""
 
 
-@query(f"WITH {PAIRS_SQL} SELECT * FROM p")
+@query(f"""WITH {PAIRS_SQL}, o AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY lang, list_sort(t)) AS first, len(t) AS n FROM s)
+SELECT p.* FROM p JOIN o a ON a.doc_id = id_a AND a.first = id_a JOIN o b ON b.doc_id = id_b AND b.first = id_b
+UNION ALL SELECT first, doc_id, CAST(n AS BIGINT), 1.0 FROM o WHERE n > 0 AND doc_id <> first""")
 def near_dup_pairs(t):
-    """Of all documents; rows of equal tokens are paired through the least of them."""
+    """Of all documents: the pairs of different sets of tokens, by the least row of each, and the other rows of a set with that one."""
     firsts, copies = dedup.collapsed(_doc_tokens(t), ["lang"], "doc_id", "t")
-    return dedup.spread_pairs(_doc_pairs(firsts), copies).select("id_a", "id_b", "n_common", r("jaccard", 6).alias("jaccard"))
+    return dedup.star_pairs(_doc_pairs(firsts), copies).select("id_a", "id_b", "n_common", r("jaccard", 6).alias("jaccard"))
 
 
 # the fold itself, row by row in id order, over the rows that have a smaller match
@@ -531,9 +533,12 @@ def claim_chunks(t):
 # --- enumeration, splits, scalar rules -------------------------------------------------------------------------------
 
 
-@query("SELECT a AS n1, b AS n2, c AS n3 FROM range(1, 11) t(a), range(1, 11) u(b), range(1, 11) v(c) WHERE a + b + c <= 12 AND gcd(gcd(a, b), c) = 1")
+@query("""WITH s AS (SELECT s_suppkey, 2 + s_suppkey % 2 AS k, 6 + s_suppkey % 5 AS most FROM supplier)
+SELECT s_suppkey, a AS n1, b AS n2, CASE WHEN k = 3 THEN c END AS n3 FROM s, range(1, 11) t(a), range(1, 11) u(b), range(1, 11) v(c) WHERE (k = 3 OR c = 1) AND a + b + CASE WHEN k = 3 THEN c ELSE 0 END <= most AND gcd(gcd(a, b), CASE WHEN k = 3 THEN c ELSE 0 END) = 1""")
 def stoichiometry_enum(t):
-    return en.stoichiometries(t.spark, 3, 12).select(*(F.element_at("v", i).cast("long").alias(f"n{i}") for i in (1, 2, 3)))
+    """Every supplier's number of elements and atoms."""
+    rows = t.supplier.select("s_suppkey", (2 + F.col("s_suppkey") % 2).alias("k"), (6 + F.col("s_suppkey") % 5).alias("most"))
+    return en.stoichiometries_of(rows, "k", "most", 3).select("s_suppkey", *(F.get("v", F.lit(i - 1)).cast("long").alias(f"n{i}") for i in (1, 2, 3)))
 
 
 @query("""WITH x AS (SELECT a.p_partkey AS k, 1 + a.p_size % 4 AS zmax, 2 + a.p_size % 9 AS n FROM part a) SELECT k, CAST(z AS INTEGER) AS z, CAST(z * n AS BIGINT) AS cell_atoms FROM x, range(1, 5) g(z) WHERE z <= zmax AND z * n <= 24""")
@@ -542,16 +547,31 @@ def expand_z(t):
     return en.expand_z(rows, "lo", "hi", 24)[0].select("k", "z", long("cell_atoms").alias("cell_atoms"))
 
 
-@query("""WITH n AS (SELECT unnest(range(0, 12)) AS n), r AS (SELECT a.n AS sm, b.n AS nd, c.n AS y FROM n a, n b, n c WHERE a.n + b.n + c.n BETWEEN 1 AND 12 AND NOT (a.n > 0 AND b.n > 0)),
-t AS (SELECT a.n AS fe, b.n AS co FROM n a, n b WHERE a.n + b.n BETWEEN 1 AND 12), x AS (SELECT a.n AS ti, b.n AS bo FROM n a, n b WHERE a.n + b.n <= 12 AND NOT (a.n > 0 AND b.n > 0)),
-f AS (SELECT *, sm + nd + y + fe + co + ti + bo AS s FROM r, t, x WHERE sm + nd + y + fe + co + ti + bo <= 12 AND gcd(gcd(gcd(sm, nd), gcd(y, fe)), gcd(gcd(co, ti), bo)) = 1),
-k AS (SELECT concat_ws('', CASE WHEN bo > 0 THEN 'B' || bo END, CASE WHEN co > 0 THEN 'Co' || co END, CASE WHEN fe > 0 THEN 'Fe' || fe END, CASE WHEN nd > 0 THEN 'Nd' || nd END, CASE WHEN sm > 0 THEN 'Sm' || sm END, CASE WHEN ti > 0 THEN 'Ti' || ti END, CASE WHEN y > 0 THEN 'Y' || y END) AS formula,
-  concat_ws('-', CASE WHEN bo > 0 THEN 'B' END, CASE WHEN co > 0 THEN 'Co' END, CASE WHEN fe > 0 THEN 'Fe' END, CASE WHEN nd > 0 THEN 'Nd' END, CASE WHEN sm > 0 THEN 'Sm' END, CASE WHEN ti > 0 THEN 'Ti' END, CASE WHEN y > 0 THEN 'Y' END) AS chemsys,
-  CAST(s AS BIGINT) AS n_atoms, CASE WHEN (fe + co) / CAST(s AS DOUBLE) < 0.5 - 1e-12 THEN 'tm below 0.5' WHEN (fe + co) / CAST(s AS DOUBLE) > 0.95 + 1e-12 THEN 'tm above 0.95' END AS reason FROM f)
-SELECT formula, CASE WHEN reason IS NULL THEN chemsys END AS chemsys, CASE WHEN reason IS NULL THEN n_atoms END AS n_atoms, reason FROM k""")
+#: Elements that suppliers deal in.
+_DEALT = ["Fe", "Co", "Ni", "Mn", "Ti", "B", "Si", "Al", "Sm", "Nd", "Y", "Ce"]
+
+
+@query(f"""WITH s AS (SELECT s_suppkey AS k, 4 + s_suppkey % 3 AS most, {_DEALT} AS e FROM supplier WHERE s_suppkey % 7 <> 0),
+g AS (SELECT k, most, e[k % 4 + 1] AS t1, e[(k + 1) % 4 + 1] AS t2, e[k % 4 + 5] AS x1, e[(k + 2) % 4 + 5] AS x2, e[k % 3 + 9] AS r1, e[(k + 1) % 3 + 9] AS r2 FROM s),
+f AS (SELECT g.*, a.a, b.b, c.c, d.d, p.p, q.q, a + b + c + d + p + q AS n FROM g, range(0, 7) a(a), range(0, 7) b(b), range(0, 7) c(c), range(0, 7) d(d), range(0, 7) p(p), range(0, 7) q(q)
+      WHERE a + b > 0 AND NOT (c > 0 AND d > 0) AND p + q > 0 AND a + b + c + d + p + q <= most AND NOT (p > 0 AND q > 0) AND gcd(gcd(gcd(a, b), gcd(c, d)), gcd(p, q)) = 1),
+w AS (SELECT *, list_sort(list_filter([CASE WHEN a > 0 THEN t1 || a END, CASE WHEN b > 0 THEN t2 || b END, CASE WHEN c > 0 THEN x1 || c END, CASE WHEN d > 0 THEN x2 || d END, CASE WHEN p > 0 THEN r1 || p END, CASE WHEN q > 0 THEN r2 || q END], lambda z: z IS NOT NULL)) AS parts FROM f)
+SELECT k AS space, array_to_string(parts, '') AS formula, CASE WHEN reason IS NULL THEN array_to_string(list_transform(parts, lambda z: regexp_replace(z, '[0-9]+', '')), '-') END AS chemsys, CASE WHEN reason IS NULL THEN CAST(n AS BIGINT) END AS n_atoms, reason
+FROM (SELECT *, CASE WHEN CAST(p + q AS DOUBLE) / n > 0.5 + 1e-12 THEN 're above its share' WHEN CAST(a + b AS DOUBLE) / n < 0.5 - 1e-12 THEN 'tm below its share' WHEN CAST(a + b AS DOUBLE) / n > 0.75 + 1e-12 THEN 'tm above its share' END AS reason FROM w)
+UNION ALL SELECT s_suppkey, 'refused', NULL, NULL, {_DEALT}[s_suppkey % 4 + 1] FROM supplier WHERE s_suppkey % 7 = 0""")
 def chemical_space(t):
-    kept, refused = en.chemical_space(t.spark, {"re": (["Sm", "Nd", "Y"], [1, 2]), "tm": (["Fe", "Co"], [1, 2]), "x": (["Ti", "B"], [0, 1])}, 12, {"tm": (0.5, 0.95)}, 1)
-    return kept.select("formula", "chemsys", "n_atoms", F.lit(None).cast("string").alias("reason")).unionByName(refused.select("formula", F.lit(None).cast("string").alias("chemsys"), F.lit(None).cast("long").alias("n_atoms"), "reason"))
+    """A space of three groups for every supplier; those of which two groups claim one element are refused."""
+    k, e = F.col("s_suppkey"), F.array(*map(F.lit, _DEALT))
+    at = lambda i: F.get(e, i.cast("int"))
+    pair = lambda base, step, n: F.array(at(base + k % n), at(base + (k + step) % n))
+    rows = t.supplier.select(k.alias("space"), (4 + k % 3).alias("most"), pair(F.lit(0), 1, 4).alias("tm"), pair(F.lit(8), 1, 3).alias("re"), F.when(k % 7 == 0, F.array(at(k % 4))).otherwise(pair(F.lit(4), 2, 4)).alias("x"))
+    bounds = {"re": (1, 1, None, 0.5), "tm": (1, 2, 0.5, 0.75), "x": (0, 1, None, None)}
+    one = lambda g, b: F.struct(F.lit(g).alias("grp"), F.col(g).alias("elements"), F.lit(b[0]).alias("least"), F.lit(b[1]).alias("most_of"), F.lit(b[2]).cast("double").alias("low"), F.lit(b[3]).cast("double").alias("high"))
+    groups = rows.select("space", "most", F.explode(F.array(*(one(g, b) for g, b in bounds.items()))).alias("g")).select("space", "most", "g.*")
+    kept, rejected, refused = en.chemical_spaces(groups, 4, 1)
+    blank = lambda df, **more: df.select("space", more.get("formula", F.col("formula")).alias("formula"), F.lit(None).cast("string").alias("chemsys"), F.lit(None).cast("long").alias("n_atoms"), more.get("reason", F.col("reason") if "reason" in df.columns else None).alias("reason"))
+    out = kept.select("space", "formula", "chemsys", "n_atoms", F.lit(None).cast("string").alias("reason"))
+    return out.unionByName(blank(rejected)).unionByName(blank(refused.withColumn("reason", F.col("elements")), formula=F.lit("refused")))
 
 
 @query("""WITH g AS (SELECT c_custkey, c_mktsegment, 1 + c_custkey % 17 AS w FROM customer), x AS (SELECT *, 2000 * CAST(w AS DOUBLE) / sum(w) OVER (PARTITION BY c_mktsegment) AS x FROM g), f AS (SELECT *, greatest(floor(x), 1) AS f FROM x),
@@ -596,16 +616,8 @@ COST = [(2, 1.0), (5, 1.5), (8, 2.1), (11, 2.7), (14, 3.3), (18, 4.2), (22, 5.0)
 
 @query(f"WITH c(n, v) AS (VALUES {', '.join(f'({n}, {v}::DOUBLE)' for n, v in COST)}), s AS (SELECT n, v, lead(n) OVER (ORDER BY n) AS n1, lead(v) OVER (ORDER BY n) AS v1 FROM c) SELECT p_partkey, round(CASE WHEN p_size < 2 THEN 1.0 * p_size / 2 WHEN p_size >= 48 THEN 12.6 * p_size / 48 ELSE (SELECT v + (v1 - v) * (p_size - n) / (n1 - n) FROM s WHERE p_size >= n AND p_size < n1) END, 6) AS cost FROM part")
 def cost_interp(t):
-    from pyspark.sql import Window as W
-
-    curve = t.spark.createDataFrame(COST, "n int, v double")
-    w = W.orderBy("n")
-    lines = F.broadcast(curve.select("n", "v", F.lead("n").over(w).alias("n1"), F.lead("v").over(w).alias("v1")))  # as many rows as the curve has points
-    sizes = t.part.select("p_partkey", "p_size").join(lines, (F.col("p_size") >= F.col("n")) & (F.col("p_size") < F.col("n1")), "left")
-    inner = F.col("v") + (F.col("v1") - F.col("v")) * (F.col("p_size") - F.col("n")) / (F.col("n1") - F.col("n"))
-    (n0, v0), (nz, vz) = COST[0], COST[-1]
-    cost = F.when(F.col("p_size") < n0, v0 * F.col("p_size") / n0).when(F.col("p_size") >= nz, vz * F.col("p_size") / nz).otherwise(inner)
-    return sizes.select("p_partkey", r(cost, 6).alias("cost"))
+    curve = t.spark.createDataFrame(COST, "p_size int, cost double")
+    return ranges.interpolated(t.part.select("p_partkey", "p_size"), curve, [], "p_size", "cost").select("p_partkey", r("cost", 6).alias("cost"))
 
 
 @query("SELECT p_partkey, CAST(greatest(ceil((4.0 + 0.25 * p_size * (1 + p_partkey % 2) + 1.5 * p_size * (1 + p_partkey % 2) * (p_partkey % 300) / 1000.0) / 8) * 8, 16) AS BIGINT) AS gb FROM part")

@@ -266,14 +266,25 @@ def exit_codes(t):
     return t.orders.select("o_orderkey", fv.exit_code(text).alias("e"), fm.slug(F.concat(F.lit("/run  "), F.col("o_orderkey").cast("string"), F.lit("!"))).alias("slug")).select("o_orderkey", "e.code", "e.signal", "slug")
 
 
-@query("SELECT a, b, (a = 'new' AND b = 'screening') OR (a = 'screening' AND b IN ('screened', 'failed')) OR (a = 'screened' AND b IN ('deduped', 'filtered_out', 'selected')) OR (a = 'selected' AND b = 'queued') OR (a = 'queued' AND b IN ('running', 'failed')) OR (a = 'running' AND b IN ('done', 'failed', 'queued')) AS ok "
-       "FROM (SELECT unnest(['new', 'screening', 'screened', 'selected', 'queued', 'running', 'done']) AS a) x, (SELECT unnest(['screening', 'screened', 'failed', 'deduped', 'filtered_out', 'selected', 'queued', 'running', 'done']) AS b) y")
+#: What an event says of its user's state.
+_STATES = {"view": "screening", "click": "screened", "purchase": "selected", "error": "failed"}
+_STATE_SQL = "CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _STATES.items()) + " ELSE 'running' END"
+
+
+@query(f"SELECT event_id, a, b, (a = 'new' AND b = 'screening') OR (a = 'screening' AND b IN ('screened', 'failed')) OR (a = 'screened' AND b IN ('deduped', 'filtered_out', 'selected')) OR (a = 'selected' AND b = 'queued') OR (a = 'queued' AND b IN ('running', 'failed')) OR (a = 'running' AND b IN ('done', 'failed', 'queued')) AS ok "
+       f"FROM (SELECT event_id, coalesce(lag({_STATE_SQL}) OVER (PARTITION BY user_id ORDER BY event_id), 'new') AS a, {_STATE_SQL} AS b FROM events)")
 def state_changes(t):
+    """Each event as a change of its user's state, and whether that change is allowed."""
+    from pyspark.sql import Window as W
+
     from funnelspark.streaming import cycle
 
-    names = lambda c, values: t.spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias(c))
-    pairs = names("a", ["new", "screening", "screened", "selected", "queued", "running", "done"]).crossJoin(names("b", ["screening", "screened", "failed", "deduped", "filtered_out", "selected", "queued", "running", "done"]))  # of the plan's size
-    return pairs.select("a", "b", cycle.allowed(F.col("a"), F.col("b")).alias("ok"))
+    state = F.lit("running")
+    for kind, name in _STATES.items():
+        state = F.when(F.col("event_type") == kind, name).otherwise(state)
+    rows = t.events.select("event_id", "user_id", state.alias("b"))
+    rows = rows.withColumn("a", F.coalesce(F.lag("b").over(W.partitionBy("user_id").orderBy("event_id")), F.lit("new")))
+    return rows.select("event_id", "a", "b", cycle.allowed(F.col("a"), F.col("b")).alias("ok"))
 
 
 # --- more of the store -----------------------------------------------------------------------------------------------
