@@ -10,7 +10,7 @@ connected components of links; exact copies share a text key from the start and
 
 Links are found in two rounds. First each text is compared with one leader, the text of its buckets whose own buckets hold
 most texts: the centre of a star of copies gathers all of them. Then every bucket that still holds several classes is
-compared exactly, as matrix products of blocks of at most about ``PART`` by ``PART`` texts: those outside the bucket's
+compared exactly, as matrix products of blocks of about ``PART`` by ``PART`` texts and ``PART_BYTES`` a side at most: those outside the bucket's
 largest class with all others, so the work grows with the texts that the first round left open. No two texts of one bucket
 stay in different classes without a comparison.
 
@@ -39,8 +39,8 @@ BANDS, ROWS = 12, 4
 DF_BITS, IDF_SHARE = 18, 0.5
 #: Tasks that the members of one bucket are dealt to; texts that meet one copy of a leader; steps before chains are shortened.
 SALTS, LED, PLAIN_STEPS = 8, 2048, 4
-#: Texts on one side of a block of comparisons, and tokens at once.
-PART, WIDTH = 512, 4096
+#: Texts and bytes of vectors on one side of a block of comparisons, and tokens at once.
+PART, PART_BYTES, WIDTH = 512, 8 << 20, 4096
 #: Ids that may be broadcast, 16 bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Copies from which a text's name is sent to its rows instead of both meeting in one task.
@@ -304,12 +304,14 @@ def verified(pairs: DataFrame, vectors: DataFrame, weights, threshold: float) ->
 def blocks(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFrame:
     """(bucket, kind, i, j, key, label, left, vector): the comparisons that buckets of several classes still need."""
     known = broadcast_if(labels, BROADCAST_LABELS)
-    classed = cut(members.select("bucket", "key").join(known, "key", "left").withColumn("label", F.coalesce("label", "key")), "classed")
-    sizes = classed.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket")
-    sizes = sizes.agg(F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("k")).filter("k > 1")
-    several = sizes.select("bucket", "m", "k", F.col("most.label").alias("main"), (F.col("m") - F.col("most.c")).alias("rest"), F.col("most.c").alias("held"))
-    rows = classed.join(broadcast_if(cut(several, "open"), BROADCAST_LABELS), "bucket").join(vectors, "key")
-    parts = lambda n: F.ceil(F.col(n) / PART)
+    weighed = vectors.select("key", F.octet_length("vector").cast("long").alias("bytes"))
+    classed = cut(members.select("bucket", "key").join(known, "key", "left").join(weighed, "key").withColumn("label", F.coalesce("label", "key")), "classed")
+    sizes = classed.groupBy("bucket", "label").agg(F.count("*").alias("c"), F.sum("bytes").alias("w")).groupBy("bucket")
+    sizes = sizes.agg(F.sum("c").alias("m"), F.sum("w").alias("m_bytes"), F.max(F.struct("c", "label", "w")).alias("most"), F.count("*").alias("k")).filter("k > 1")
+    rest, rest_bytes = F.col("m") - F.col("most.c"), F.col("m_bytes") - F.col("most.w")
+    several = sizes.select("bucket", "m", "m_bytes", "k", F.col("most.label").alias("main"), rest.alias("rest"), rest_bytes.alias("rest_bytes"), F.col("most.c").alias("held"), F.col("most.w").alias("held_bytes"))
+    rows = classed.drop("bytes").join(broadcast_if(cut(several, "open"), BROADCAST_LABELS), "bucket").join(vectors, "key")
+    parts = lambda n: F.ceil(F.greatest(F.col(n) / PART, F.col(f"{n}_bytes") / PART_BYTES))
     each = lambda n: F.sequence(F.lit(0).cast("long"), parts(n) - 1)
     main = F.col("label") == F.col("main")
     own = F.pmod(F.xxhash64("key"), F.when(main, parts("held")).otherwise(parts("rest")))
@@ -320,7 +322,7 @@ def blocks(members: DataFrame, labels: DataFrame, vectors: DataFrame) -> DataFra
     of_rest = F.transform(each("held"), lambda j: block(1, F.col("own"), j, F.lit(True)))
     among = F.transform(each("rest"), lambda j: block(2, F.least("own", j), F.greatest("own", j), F.when(F.col("own") != j, F.col("own") < j)))
     rows = rows.withColumn("own", own).withColumn("of_rest", F.when(F.col("k") > 2, F.concat(of_rest, among)).otherwise(of_rest))
-    rows = rows.withColumn("block", F.explode(F.when(F.col("m") <= PART, whole).when(main, of_main).otherwise(F.col("of_rest"))))
+    rows = rows.withColumn("block", F.explode(F.when((F.col("m") <= PART) & (F.col("m_bytes") <= PART_BYTES), whole).when(main, of_main).otherwise(F.col("of_rest"))))
     return rows.select("bucket", "block.*", "key", "label", "vector")
 
 

@@ -55,3 +55,21 @@ def test_blocks_equal_similarity():
     got = near_dedup.block_links(*([near_dedup._tokens(x) for x in half] for half in (sets[:12], sets[12:])), w, 0.45)
     assert got.any() and not got.all()
     assert got.tolist() == [[near_dedup.similarity(a, b, w) >= 0.45 for b in sets[12:]] for a in sets[:12]]
+
+
+def test_blocks_are_cut_by_bytes_too(spark, monkeypatch):
+    """Buckets of few but long texts are compared in several blocks, none with much more than PART_BYTES of vectors on a side."""
+    texts = [" ".join(x) for x in crowd(random.Random(8))[:60]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    seen, plain = [], near_dedup.blocks
+
+    def watched(*a):
+        out = plain(*a)
+        seen.append(out.groupBy("bucket", "kind", "i", "j", "left").agg({"vector": "count"}).agg({"count(vector)": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(near_dedup, "blocks", watched)
+    monkeypatch.setattr(near_dedup, "PART_BYTES", 5 * 300 * 6)
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()} == want
+    assert seen[0] is None or seen[0] < 30
