@@ -2,13 +2,13 @@
 
 A URL's tokens are all labels of its host, all parts of its path and all its query parameters, numbers as one token. Pages
 with a label are baskets of their tokens. FP-growth mines the item sets of the bad baskets that at least ``LEAST`` of them
-hold; an item set is a rule ``tokens -> bad`` if its confidence over all labelled baskets lies above the share of bad ones by
+hold, of ``MOST_TOKENS`` tokens at most; an item set is a rule ``tokens -> bad`` if its confidence over all labelled baskets lies above the share of bad ones by
 ``Z`` standard errors, and if it is more confident than each rule with one token less. Tokens that the same baskets hold
 are one item, so long URLs that repeat don't multiply item sets. Every rule is filed under its rarest token: a page meets
 only rules that share that token, and is held against the rest of their tokens there.
 
-Nothing of a URL is cut off; item sets are bounded by support alone. Where baskets could give more than ``MOST_SETS`` of
-them, the support that a token and a rule need is doubled until they can't, so that mining ends at every size.
+Nothing of a URL is cut off, and whether a set is a rule depends on nothing but its own baskets and the share of bad ones. Where
+long baskets could make FP-growth list more than ``MOST_SETS`` sets, the same sets are found by growth of bounded length.
 
 Fixed rules by host and path come first: one fits its host and all its subdomains where the path begins with its own;
 the longest wins. Other pages are blocked if a mined rule fits.
@@ -19,7 +19,7 @@ row; labels of a doc that repeat each make a basket. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,8 +29,10 @@ from funnelspark.llm.decontaminate import LOWER, UPPER
 
 #: verdict, host, path
 FIXED_RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-#: Bad baskets that hold a rule at least; standard errors above the share of bad baskets; bound on item sets.
-LEAST, Z, MOST_SETS = 5, 2.0, 10_000_000
+#: Bad baskets that hold a rule at least; standard errors above the share of bad baskets; tokens of a rule at most.
+LEAST, Z, MOST_TOKENS = 5, 2.0, 4
+#: Item sets of any length that FP-growth may be made to list.
+MOST_SETS = 10_000_000
 BROADCAST_RULES = 200_000
 RULES = "tokens array<string>, confidence double, n long"
 
@@ -62,35 +64,41 @@ def fixed_rule(host: Column, path: Column, rules=FIXED_RULES) -> Column:
     return out
 
 
-def frequent_items(baskets: DataFrame, least: int) -> tuple[DataFrame, int]:
-    """``items`` of the bad baskets(id, tokens, bad), cut down to tokens that enough of them hold, one of those that always meet; and the support."""
+def frequent_items(baskets: DataFrame, least: int) -> DataFrame:
+    """``items`` of the bad baskets(id, tokens, bad), cut down to tokens that ``least`` of them hold, one of those that always meet."""
     posted = baskets.select("id", "bad", F.explode("tokens").alias("token"))
     mark = F.xxhash64("id")
     held = posted.groupBy("token").agg(F.sum(F.col("bad").cast("long")).alias("n"), F.count("*").alias("all"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 20)).alias("s"))
-    held, posted = cut(held, "tokens"), posted.filter("bad")
-    support = least
-    while True:
-        first = held.filter(F.col("n") >= support).groupBy("all", "x", "s").agg(F.min("token").alias("token")).select("token")
-        kept = posted.join(broadcast_if(first, BROADCAST_RULES), "token", "left_semi").groupBy("id").agg(F.collect_list("token").alias("items"))
-        kept = cut(kept, "baskets")
-        bound = kept.agg(F.sum(F.pow(F.lit(2.0), F.size("items")))).first()[0] or 0
-        if bound / support <= MOST_SETS:
-            return kept, support
-        support *= 2
-
-
-def mine(baskets: DataFrame, least: int = LEAST, z: float = Z) -> DataFrame:
+    first = held.filter(F.col("n") >= least).groupBy("all", "x", "s").agg(F.min("token").alias("token")).select("token")
+    first = broadcast_if(cut(first, "tokens"), BROADCAST_RULES)
+    return cut(posted.filter("bad").join(first, "token", "left_semi").groupBy("id").agg(F.array_sort(F.collect_list("token")).alias("items")), "baskets")
+
+
+def frequent_sets(items: DataFrame, least: int, most_tokens: int = MOST_TOKENS, most_sets: int = MOST_SETS) -> DataFrame:
+    """(rule_tokens, n): sets of at most most_tokens tokens that ``least`` of the baskets ``items`` hold.
+
+    FP-growth knows no bound on the length of a set, so it is used as long as the baskets can't give it more than most_sets of any
+    length; beyond, the same sets are grown by projections that stop at most_tokens (PrefixSpan over tokens in order, where a
+    subsequence is a set)."""
+    size = items.agg(F.count("*").alias("n"), F.sum(F.pow(F.lit(2.0), F.size("items"))).alias("sets")).first()
+    if size.n < least:
+        return items.sparkSession.createDataFrame([], "rule_tokens array<string>, n long")
+    share = (least - 0.5) / size.n
+    if size.sets / least <= most_sets:
+        found = FPGrowth(itemsCol="items", minSupport=share).fit(items.select("items")).freqItemsets.filter(F.size("items") <= most_tokens)
+        return found.select(F.array_sort("items").alias("rule_tokens"), F.col("freq").alias("n"))
+    steps = items.select(F.transform("items", lambda x: F.array(x)).alias("sequence"))
+    found = PrefixSpan(minSupport=share, maxPatternLength=most_tokens, sequenceCol="sequence").findFrequentSequentialPatterns(steps)
+    return found.select(F.flatten("sequence").alias("rule_tokens"), F.col("freq").alias("n"))
+
+
+def mine(baskets: DataFrame, least: int = LEAST, z: float = Z, most_tokens: int = MOST_TOKENS, most_sets: int = MOST_SETS) -> DataFrame:
     """(tokens, confidence, n): rules tokens -> bad from baskets(id, tokens, bad) of distinct tokens."""
     total = baskets.agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")).first()
     if not total.bad:
         return baskets.sparkSession.createDataFrame([], RULES)
     base = total.bad / total.n
-    items, support = frequent_items(baskets, least)
-    n = items.count()
-    if n < support:
-        return baskets.sparkSession.createDataFrame([], RULES)
-    found = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / n).fit(items.select("items")).freqItemsets
-    sets = cut(found.select(F.array_sort("items").alias("rule_tokens"), F.col("freq").alias("n")), "sets")
+    sets = cut(frequent_sets(frequent_items(baskets, least), least, most_tokens, most_sets), "sets")
     # the item sets' counts over all labelled baskets, alike ones counted once
     alike = baskets.groupBy("tokens").agg(F.count("*").alias("times"))
     met = matches(alike, sets).groupBy("rule_tokens").agg(F.sum("times").alias("of"), F.first("n").alias("n"))
