@@ -1,10 +1,11 @@
 """Language identification by string kernels: presence of blended-spectrum n-grams, Nystrom landmarks, kernel ridge regression.
 
 Two texts' kernel is the share of n-grams of 1 to ``N`` bytes (of the lower-cased UTF-8, hashed to ``2 ** BITS`` cells)
-present in both: ``|A and B| / sqrt(|A| |B|)``. The model is fitted on a bounded sample of labelled rows, about
-``PER_LANG`` of each of the ``MOST_LANGS`` most frequent languages by a hash of doc_id, of texts of at most
-``SAMPLE_BYTES``, with ``LANDMARKS`` texts of each as landmarks; one ridge regression a language against the rest. A batch
-of whole texts is scored by two matrix products.
+present in both: ``|A and B| / sqrt(|A| |B|)``. The model is fitted on a sample of labelled rows that is bounded in bytes:
+about ``PER_LANG`` of every language by a hash of doc_id, of texts of at most ``TEXT_BYTES``, as far as they fit in the
+language's part of ``SAMPLE_BYTES`` (short ones first where they don't; one text of each language at least), with up to
+``LANDMARKS`` texts of each, ``ALL_LANDMARKS`` in all, as landmarks; one ridge regression a language against the rest.
+Landmarks are sent to tasks as bits. A batch of whole texts is scored by two matrix products.
 
 A text that is null or has no letter gets ``und`` and score 0, as all do where nothing is labelled. The score is the
 regression's value, within 0 and 1. Rows repeat as they are; rows of null id aren't learnt from, of an id that repeats one
@@ -19,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
@@ -26,8 +28,8 @@ from funnelspark.llm._spark import small_batches
 
 N, BITS = 3, 14
 PER_LANG, LANDMARKS, RIDGE = 300, 32, 1e-3
-#: Languages that are learnt, and bytes of a text of the sample; they bound what the driver fits and sends.
-MOST_LANGS, SAMPLE_BYTES = 200, 1 << 16
+#: Bytes of one text and of all texts of the sample, and landmarks in all: they bound what the driver fits and sends.
+TEXT_BYTES, SAMPLE_BYTES, ALL_LANDMARKS = 1 << 16, 64 << 20, 1024
 UNKNOWN = "und"
 #: Bytes of text and texts whose presence matrix is built at once.
 CHUNK, DOCS = 1 << 18, 128
@@ -62,22 +64,36 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return x @ landmarks.T / size
 
 
-def training_rows(docs: DataFrame, usable: Column) -> DataFrame:
-    """(lang, doc_id, text) of about PER_LANG usable ids of each language, by a hash of doc_id."""
-    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
+def training_rows(docs: DataFrame, usable: Column, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(lang, doc_id, text) of about PER_LANG usable ids of each language, by a hash of doc_id, within its part of sample_bytes."""
+    rows = docs.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= TEXT_BYTES))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    part = F.lit(sample_bytes) / F.count("*").over(W.partitionBy())
+    counts = counts.select(F.col("lang").alias("of"), "n", part.alias("part"))  # a row a language
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    return rows.join(F.broadcast(counts), "lang").filter(draw * F.col("n") < PER_LANG).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    drawn = rows.join(counts, rows.lang == counts.of).withColumn("draw", draw).filter(F.col("draw") * F.col("n") < PER_LANG)
+    drawn = drawn.groupBy("lang", "doc_id").agg(F.min("text").alias("text"), F.min("draw").alias("draw"), F.min("part").alias("part"))
+    size = F.octet_length("text")
+    order = W.partitionBy("lang").orderBy(size > F.col("part"), "draw", "doc_id")  # of about PER_LANG rows
+    placed = drawn.withColumns({"sum": F.sum(size).over(order.rowsBetween(W.unboundedPreceding, 0)), "at": F.row_number().over(order)})
+    return placed.filter((F.col("sum") <= F.col("part")) | (F.col("at") == 1)).select("lang", "doc_id", "text")
+
+
+def chosen_landmarks(sample: list[tuple[str, str]]) -> list[str]:
+    """Texts of each language, as many of each as ALL_LANDMARKS allows; of more languages than that some have none."""
+    of: dict[str, list[str]] = {}
+    for lang, text in sample:
+        of.setdefault(lang, []).append(text)
+    each = max(1, min(LANDMARKS, ALL_LANDMARKS // max(1, len(of))))
+    return [t for texts in of.values() for t in texts[:each]][:ALL_LANDMARKS]
 
 
 def fit(sample: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, landmarks and the matrix from kernel values with landmarks to a value a language."""
+    """Languages, landmarks (their cells as bits) and the matrix from kernel values with landmarks to a value a language."""
     langs = sorted({lang for lang, _ in sample})
     if not langs:
-        return [], np.zeros((0, 1 << BITS), dtype=np.float32), np.zeros((0, 0))
-    chosen = [t for lang in langs for t in [t for own, t in sample if own == lang][:LANDMARKS]]
-    rows = lambda texts: np.concatenate([x for _, _, x in batches_of(pa.array(texts, pa.large_string()))])
-    landmarks = rows(chosen)
+        return [], np.zeros((0, (1 << BITS) // 8), dtype=np.uint8), np.zeros((0, 0))
+    landmarks = np.concatenate([x for _, _, x in batches_of(pa.array(chosen_landmarks(sample), pa.large_string()))])
     k = np.concatenate([kernel(x, landmarks) for _, _, x in batches_of(pa.array([t for _, t in sample], pa.large_string()))]).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
     keep = values > 1e-6 * values.max()
@@ -85,12 +101,13 @@ def fit(sample: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarra
     phi = k @ root
     y = np.array([[float(own == lang) for lang in langs] for own, _ in sample])
     w = np.linalg.solve(phi.T @ phi + RIDGE * len(sample) * np.eye(phi.shape[1]), phi.T @ y)
-    return langs, landmarks, (root @ w).astype(np.float32)
+    return langs, np.packbits(landmarks.astype(np.uint8), axis=1), (root @ w).astype(np.float32)
 
 
 def _predict(model) -> callable:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, landmarks, a = model.value
+        langs, bits, a = model.value
+        landmarks = np.unpackbits(bits, axis=1).astype(np.float32)
         for batch in batches:
             texts = batch.column(1)
             known = pc.match_substring_regex(texts.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False) & bool(langs)
@@ -105,7 +122,7 @@ def _predict(model) -> callable:
 
 
 def train(docs: DataFrame, usable: Column) -> tuple:
-    rows = training_rows(docs, usable).collect()  # bounded: about PER_LANG a language
+    rows = training_rows(docs, usable).collect()  # within SAMPLE_BYTES
     sample = sorted((r.lang, r.doc_id, r.text) for r in rows)
     return fit([(lang, text) for lang, _, text in sample])
 

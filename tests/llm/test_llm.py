@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import time
+import zlib
 from html.parser import HTMLParser
 
 import duckdb
@@ -221,7 +222,6 @@ def test_language_held_out_accuracy(spark):
     held = [r for r in got.values() if r.held_out and r.doc_id < 400]
     assert len(held) > 80 and sum(r.lang_pred == lang[r.doc_id] for r in held) / len(held) > 0.97
     assert [got[i].lang_pred for i in (401, 402, 403)] == ["und"] * 3 and all(0 <= r.score <= 1 for r in got.values())
-    import zlib
 
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got.values())
 
@@ -251,15 +251,65 @@ def test_language_of_null_and_repeated_ids_and_long_texts(spark, monkeypatch):
     assert [got[i][0] for i in range(120)] == ["aa", "bb"] * 60 and got[2000][0] == "bb" and got[None][0] == "aa"
     assert got[2001] == got[2002] == got[2003] == ("und", 0.0)
     assert language.identify(docs.limit(0)).count() == 0
-    monkeypatch.setattr(language, "MOST_LANGS", 1)  # the most frequent language only
-    assert {r.lang for r in language.training_rows(docs.filter("doc_id < 119"), F.lit(True)).collect()} == {"aa"}
+    few = language.training_rows(docs.filter("doc_id < 119"), F.lit(True), 700).collect()  # 350 bytes for each language
+    assert {r.lang for r in few} == {"aa", "bb"} and sum(len(r.text) for r in few) <= 700
+    tiny = language.training_rows(docs.filter("doc_id < 119"), F.lit(True), 2).collect()  # one text of each all the same
+    assert sorted(r.lang for r in tiny) == ["aa", "bb"]
+
+
+def test_language_of_many_languages(spark, monkeypatch):
+    """Every language has its place in the sample and the model, however many there are; landmarks are shared out."""
+    rng = random.Random(19)
+    alphabets = [chr(0x400 + 4 * i) + chr(0x401 + 4 * i) + chr(0x402 + 4 * i) for i in range(230)]
+    rows = [(i, "".join(rng.choices(alphabets[i % 230], k=40)), f"l{i % 230}") for i in range(690)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, F.lit(True))
+    assert len(model[0]) == 230 and len(model[1]) <= language.ALL_LANDMARKS
+    monkeypatch.setattr(language, "ALL_LANDMARKS", 100)
+    assert len(language.train(docs, F.lit(True))[1]) == 100
+
+
+def predicted_by_hand(rows):
+    """{doc_id: (lang, score)} by sets of cells and plain matrix algebra, from (doc_id, text, lang)."""
+
+    def cells(t):
+        raw = (t or "").lower().encode()
+        return {((int.from_bytes(raw[i : i + n], "big") + (n << 24)) * 2654435761 & 0xFFFFFFFF) >> 18 for n in (1, 2, 3) for i in range(len(raw) - n + 1)}
+
+    like = lambda a, b: len(a & b) / (max(len(a), 1) * max(len(b), 1)) ** 0.5
+    learnt = sorted((lang, i, t) for i, t, lang in rows if lang and i is not None and t is not None and zlib.crc32(str(i).encode()) % 3 != 1)
+    langs, marks = sorted({x[0] for x in learnt}), []
+    for lang in langs:
+        marks += [cells(t) for own, _, t in learnt if own == lang][: language.LANDMARKS]
+    k = np.array([[like(cells(t), m) for m in marks] for _, _, t in learnt])
+    values, vectors = np.linalg.eigh(np.array([[like(a, b) for a in marks] for b in marks]))
+    root = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    y = np.array([[float(own == lang) for lang in langs] for own, _, _ in learnt])
+    w = np.linalg.solve((k @ root).T @ (k @ root) + language.RIDGE * len(learnt) * np.eye(root.shape[1]), (k @ root).T @ y)
+    out = {}
+    for i, t, _ in rows:
+        s = np.array([like(cells(t), m) for m in marks]) @ root @ w
+        out[i] = (langs[int(s.argmax())], float(np.clip(s.max(), 0, 1))) if any(c.isalpha() for c in t or "") else ("und", 0.0)
+    return out
+
+
+def test_language_from_end_to_end(spark):
+    rng = random.Random(23)
+    letters = {"aa": "abcdefgh ", "bb": "efghijkl ", "cc": "ijklabñé "}
+    rows = [(i, "".join(rng.choices(letters[lang], k=rng.randrange(5, 60))), lang if i % 5 else None) for i, lang in enumerate(["aa", "bb", "cc"] * 50)]
+    rows += [(900, None, "aa"), (901, "77 !", "bb"), (902, "ΩΨΩΨ", None), (903, "ABC" * 900, "aa")]
+    want = predicted_by_hand(rows)
+    for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect():
+        assert r.score == pytest.approx(want[r.doc_id][1], abs=2e-3)
+        assert r.lang_pred == want[r.doc_id][0] or r.score < 0.6  # close calls may fall either way in single precision
 
 
 def test_language_model_is_kernel_ridge_regression():
     """Where every text is a landmark the fit is that of exact kernel ridge regression in the span of the kernel."""
     rng = random.Random(18)
     sample = [(lang, "".join(rng.choices(letters, k=30))) for lang, letters in (("x", "abc"), ("y", "cde")) for _ in range(12)]
-    langs, landmarks, a = language.fit(sample)
+    langs, bits, a = language.fit(sample)
+    landmarks = np.unpackbits(bits, axis=1).astype(np.float32)
     k = language.kernel(landmarks, landmarks).astype(float)
     y = np.array([[lang == own for own in langs] for lang, _ in sample], dtype=float)
     exact = k @ np.linalg.solve(k + language.RIDGE * len(sample) * np.eye(len(k)), y)
@@ -283,7 +333,7 @@ def test_url_rules(spark):
 def mined_by_hand(tok, marked):
     """All rules by counting every item set: {tokens: (confidence, n)}; marked: (page, bad) of each label."""
     base = sum(b for _, b in marked) / len(marked)
-    sets = {s for i, b in marked if b for n in range(1, len(tok[i]) + 1) for s in itertools.combinations(sorted(tok[i]), n)}
+    sets = {s for i, b in marked if b for n in range(1, url_rules.MOST_TOKENS + 1) for s in itertools.combinations(sorted(tok[i]), n)}
     # of tokens that the same pages hold the least stands for all
     held = {t: tuple(k for k, (i, _) in enumerate(marked) if t in tok[i]) for s in sets for t in s}
     stands = {min(t for t in held if held[t] == h) for h in held.values()}
@@ -316,7 +366,7 @@ def test_mined_rules_against_brute_force(spark, made_up):
 
 
 def test_url_rules_of_long_and_repeated_urls(spark):
-    """Sixty tokens that always meet are one item; a bound on item sets raises the support instead of cutting the URL."""
+    """Sixty tokens that always meet are one item."""
     deep = "http://long.site.io/" + "/".join(f"part{c}{d}" for c in "abcdef" for d in "ghijklmnop")
     pages = spark.createDataFrame([(i, deep if i < 30 else f"http://fine.site.io/{'xyz'[i % 3]}") for i in range(200)] * 2, "page_id long, url string").withColumn("tokens", F.lit("clash"))
     labels = spark.createDataFrame([(i, 1, int(i < 30)) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
@@ -326,6 +376,30 @@ def test_url_rules_of_long_and_repeated_urls(spark):
     assert url_rules.judge(empty, labels).count() == 0
 
 
+def test_rules_do_not_depend_on_other_baskets(spark):
+    """A dozen long baskets that share many tokens take no rule from others, nor do they stop the mining."""
+    rng = random.Random(31)
+    mixed = [(f"b{i}", ["h:bad", f"p:{i % 3}"], True) for i in range(8)] + [(f"g{i}", [f"h:good{i % 7}", f"p:{i % 3}"], False) for i in range(200)]
+    long = [(f"x{i}", sorted(rng.sample([f"q:{j}" for j in range(40)], 30)), True) for i in range(12)]
+    some = lambda rows: spark.createDataFrame(rows, "id string, tokens array<string>, bad boolean")
+    rules = lambda rows, **more: {tuple(sorted(r.tokens)): (r.confidence, r.n) for r in url_rules.mine(some(rows), **more).collect()}
+    assert rules(mixed)[("h:bad",)] == (1.0, 8)
+    found = rules(mixed + long)
+    assert found[("h:bad",)] == (1.0, 8) and any(t[0].startswith("q:") for t in found)
+
+
+def test_both_ways_of_growth_find_the_same_sets(spark):
+    rng = random.Random(32)
+    items = spark.createDataFrame([(i, sorted(rng.sample("abcdefghij", rng.randrange(1, 9)))) for i in range(40)], "id long, items array<string>")
+    sets = lambda most: {tuple(r.rule_tokens): r.n for r in url_rules.frequent_sets(items, 5, 3, most).collect()}
+    want = {}
+    for r in items.collect():
+        for n in (1, 2, 3):
+            for s in itertools.combinations(r["items"], n):
+                want[s] = want.get(s, 0) + 1
+    assert sets(10**9) == sets(0) == {s: n for s, n in want.items() if n >= 5}
+
+
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 

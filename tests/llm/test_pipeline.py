@@ -1,13 +1,14 @@
 """Every stage of the corpus pipeline against brute force, on documents with nulls, empty and long texts, repeats, ties and odd columns."""
 
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from funnelspark.llm import _spark, pii
-from tests.llm.test_llm import edited, filled, leaks, text
+from tests.llm.test_llm import edited, filled, leaks, predicted_by_hand, text
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,23 @@ def test_language_keeps_every_text_with_letters(spark, folder):
     assert cp.identify_language(spark, docs.limit(0), at).count() == 0
 
 
+def test_language_leaves_out_what_no_language_fits(spark):
+    """The rule held against the scores that plain algebra gives; texts of unknown letters go, all others stay."""
+    rng = random.Random(24)
+    letters = {"aa": "abcdefgh ", "bb": "efghijkl "}
+    rows = [(i, "".join(rng.choices(letters[lang], k=60)), lang) for i, lang in enumerate(["aa", "bb"] * 40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    odd = [(1000, "中文字符没有人学过这种语言", None), (1001, "ωψχφυτσρ", None), (1002, "abcd efgh", None), (1003, "55", "aa"), (1004, None, "bb")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    score = predicted_by_hand([(i, t, lang if i < 1000 else None) for i, t, lang in rows + odd])
+    want = {i for i, (lang, s) in score.items() if lang != "und" and s >= cp.LEAST_SCORE}
+    got = {r.doc_id for r in cp.identify_language(spark, docs.filter("doc_id <> 1003 and doc_id <> 1004").unionByName(docs.filter("doc_id > 1002").withColumn("lang", F.lit(None).cast("string"))), "").collect()}
+    assert got == want and {1000, 1001, 1003, 1004}.isdisjoint(got) and {r[0] for r in rows} | {1002} <= got
+    only = {r.doc_id for r in cp.identify_language(spark, docs, "", wanted=("aa",)).collect()}
+    assert only == {i for i in want if score[i][0] == "aa"}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in cp.identify_language(spark, unlabelled, "").collect()} == {r[0] for r in rows} | {1000, 1001, 1002}
+
+
 def test_near_duplicates_keep_one_of_each_class(spark, folder):
     at, rows, _ = folder
     docs = _spark.table(spark, at, "documents")
