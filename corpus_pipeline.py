@@ -28,12 +28,25 @@ def _joined(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(ids, docs.doc_id.eqNullSafe(ids._id) & (F.xxhash64(docs.text, F.length(docs.text)) == ids._hash), how)
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out texts of no language: null, empty or without letters. Rows that repeat all stay; a null lang or doc_id isn't learnt from."""
+#: Languages to keep (None: every one that is learnt), and the least score of a document in its language.
+WANTED: tuple[str, ...] | None = None
+LEAST_SCORE = 0.2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: tuple[str, ...] | None = WANTED, least: float = LEAST_SCORE) -> DataFrame:
+    """Leaves out documents that no language fits: texts without letters, and those whose best score is below ``least``, such as
+    texts in a script or of letters that no labelled document has; with ``wanted`` those predicted to be in another language too.
+
+    The model is learnt from all labelled documents. Where nothing is labelled there is none, and every text with a letter stays.
+    Rows that repeat all stay; a null lang or doc_id isn't learnt from; a null text has no letters."""
     names = ["doc_id", "text", *(c for c in docs.columns if c not in ("doc_id", "text"))]
     model = language.train(docs, F.lit(True))
     plain = docs.select(*(F.col(f"`{c}`").alias(f"c{i}" if c != "text" else "text") for i, c in enumerate(names)))
-    kept = language.predict(plain, model).filter(F.col("lang_pred") != language.UNKNOWN)
+    if model[0]:
+        fits = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)
+        kept = language.predict(plain, model).filter(fits if wanted is None else fits & F.col("lang_pred").isin(*wanted))
+    else:
+        kept = plain.filter(F.col("text").rlike(r"\p{L}"))
     kept = kept.select(*(F.col(f"c{i}" if c != "text" else "text").alias(c) for i, c in enumerate(names)))
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
