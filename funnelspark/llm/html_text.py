@@ -37,12 +37,12 @@ STOP_WORDS = frozenset(
     "al como con de del el ella en entre es esta este esto fue ha las le lo los más me mi no nos o para pero por que se si sin sobre su sus también tu un una y ya".split()
 )
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
-SKIPPED = frozenset("nav footer aside form head script style noscript template iframe object svg math canvas select button textarea menu dialog title".split())
+SKIPPED = frozenset("nav footer aside form head script style noscript template iframe object svg math canvas select button label video audio textarea menu dialog title".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIP_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice sidebar comment comments disqus respond menu nav navbar navigation breadcrumb breadcrumbs share sharing social related popup modal newsletter subscribe footer widget toolbar pagination pager login signup masthead".split())
+SKIP_WORDS = frozenset("ad ads adsense adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice sidebar comment comments reply replies disqus respond menu nav navbar navigation breadcrumb breadcrumbs share sharing social related popup modal newsletter subscribe footer widget toolbar pagination pager login signup masthead".split())
 #: Of these, the ones that also drop a paragraph or heading of an article; first parts that speak of the layout, not of the element.
-PLAIN_WORDS = frozenset("ad ads advert adverts advertisement sponsored cookie cookies comment comments breadcrumb breadcrumbs newsletter".split())
+PLAIN_WORDS = frozenset("ad ads adsense adsbygoogle advert adverts advertisement sponsored cookie cookies comment comments replies breadcrumb breadcrumbs newsletter share sharing".split())
 LAYOUT = frozenset("with has have no without is not layout".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre span b i em strong a td th dd dt li figcaption".split())
@@ -52,8 +52,9 @@ SHORT, LONG = 70, 200
 LOW, HIGH, LINKS = 0.2, 0.3, 0.5
 NAME = re.compile(r"<(/?)([A-Za-z][^\s/><]*)")
 EDGE = re.compile(r">|=\s*[\"']")
-NAMED = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+NAMED = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[^\W\d_]+")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 GOOD, BAD, OPEN = 1, 0, None
 
@@ -81,6 +82,8 @@ def _skips(name: str, attrs: str, in_article: bool) -> bool:
         key, value = key.lower(), "".join(values)
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "role" and value.lower() in SKIP_ROLES:
             return True
+        if key == "style" and UNSEEN.search(value):
+            return True
         if key in ("class", "id") and _furniture(value, name, in_article):
             return True
     return False
@@ -140,7 +143,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, str]]:
     """(text, linked characters, skipped, in an article, element) of every block in page order."""
     out: list[tuple[str, int, bool, bool, str]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, skipped, in an article
+    # open elements: name, skipped, in an article, and the text around one that is skipped inside a line
+    stack: list[tuple[str, bool, bool, tuple[list[str], int] | None]] = []
     n_open: Counter[str] = Counter()
     linked, in_link, begun = 0, False, set()
 
@@ -148,13 +152,17 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, str]]:
         nonlocal linked
         if parts:
             if text := " ".join("".join(parts).split()):
-                name, skip, article = stack[-1] if stack else ("", False, False)
+                name, skip, article = stack[-1][:3] if stack else ("", False, False)
                 out.append((text, linked, skip, article, name))
             parts.clear()
         linked = 0
 
     def pop() -> None:
-        n_open[stack.pop()[0]] -= 1
+        nonlocal linked
+        name, _, _, around = stack.pop()
+        n_open[name] -= 1
+        if around:
+            parts[:], linked = around
 
     reader = tags(page)
     for text, mark, attrs, end in reader:
@@ -171,7 +179,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, str]]:
             in_link = in_link and name != "a" and name not in BLOCKS
             while n_open[name]:
                 found = stack[-1][0] == name
-                if stack[-1][1]:
+                if stack[-1][1] or stack[-1][0] in BLOCKS:
                     flush()
                 pop()
                 if found:
@@ -191,15 +199,20 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, str]]:
             begun.add(name)
             stack = [x for x in stack if not (x[1] and x[0] in ("head", "nav", "header", "footer"))]
             n_open = Counter(x[0] for x in stack)
-        skip, article = stack[-1][1:] if stack else (False, False)
+        skip, article = stack[-1][1:3] if stack else (False, False)
         own_skip = _skips(name, attrs, article)
+        around = None
         if own_skip and not skip:
-            flush()
-            in_link = False
+            around, in_link = None if name in BLOCKS else (parts[:], linked), False
+            parts.clear()
+            linked = 0
         if name in BLOCKS or own_skip:
-            stack.append((name, skip or own_skip, article or name in ("article", "main")))
+            stack.append((name, skip or own_skip, article or name in ("article", "main"), around))
             n_open[name] += 1
     flush()
+    while stack:
+        pop()
+        flush()
     return out
 
 
