@@ -122,10 +122,10 @@ FROM laid JOIN goal ON laid.source IS NOT DISTINCT FROM goal.source)))
 OP6_SQL = "WITH " + MIX_SQL.format("documents").strip()
 
 OP7_SQL = """
-WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
+WITH e AS (SELECT vec_id, row_number() OVER () AS rn, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+s AS (SELECT q.vec_id AS query_id, q.rn, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.rn <> q.rn),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 

@@ -474,6 +474,25 @@ def test_topk_of_great_components_is_exact(spark, block):
     assert topk.top_k(none, none).count() == 0 and topk.top_k(df, none).count() == 0
 
 
+@pytest.mark.parametrize("block", [20_000, 3])
+def test_topk_of_rows_that_share_an_id(spark, block):
+    """Own is a row, not an id: other rows of a query's id are candidates, and a repeated query row is answered again."""
+    data = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [0.5, 2.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [-1.0, 0.0]), (100, [0.0, 1.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df, df.filter("vec_id % 50 = 0"), block=block, group=2).collect())
+    whole = [(i, [int(np.floor(x * 256)) for x in v]) for i, v in data]
+    want = []
+    for n, (q, v) in enumerate(whole):
+        if q % 50 == 0:
+            ranked = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for m, (i, w) in enumerate(whole) if m != n)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(ranked)]
+    assert got == sorted(want)
+    con = duckdb.connect()
+    con.sql("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", data)
+    assert sorted(con.sql(queries.OP7_SQL).fetchall()) == sorted(want)
+
+
 def test_topk_bound_of_another_block_prunes():
     rng = np.random.default_rng(1)
     x = np.floor(rng.pareto(2, size=(5000, 4)) * 100)
@@ -492,6 +511,14 @@ def test_threshold_algorithm_stops_early():
     assert met < 1000 and scores.tolist() == sorted(want, reverse=True)[:5]
 
 
+def test_html_leaks():
+    """What a reader doesn't see, or isn't the article, by element, class or style; inside a line it doesn't break the line."""
+    body = "The story of the day is that it was a long one and we were there with them. " * 5
+    page = f"<article><p>{body}</p><div class='replies'>{body}</div><div class=adsbygoogle>x</div><p style='color:red;display: none'>x</p><label>x</label><video><p>x</p></video><audio>x</audio><p>A <span class=share>x</span>b</p></article>"
+    assert html_text.main_text(page) == f"{body.strip()}\nA b"
+    assert html_text.main_text(f"<article><p>a <span class=ad>x <b>y</b></p><p>c <span class=ad>x<div>z</div></span> d</p>e <button>w") == "a\nc d\ne"
+
+
 # --- 8, 9 ------------------------------------------------------------------------------------------------------------
 
 
