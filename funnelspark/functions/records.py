@@ -124,13 +124,13 @@ def geometry_fault(atoms: Column, lengths: Column, angles: Column, volume: Colum
     finite = lambda v: F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     beyond = lambda v, low, high: F.exists(v, lambda x: (x < low) | (x > high))
     return ladder(
-        (F.coalesce(atoms, F.lit(0)) == 0, "rejected: empty cell"),
-        (~finite(lengths), "rejected: non-finite lattice"),
-        (beyond(lengths, CELL["least"], most), "rejected: lattice parameter outside the bounds"),
-        (~finite(angles), "rejected: non-finite cell angles"),
-        (beyond(angles, CELL["least_angle"], CELL["most_angle"]), "rejected: cell angle outside the bounds"),
-        (volume <= 0, "rejected: non-positive cell volume"),
-        ((atoms > 1) & (closest < CELL["contact"]), "rejected: atoms too close"),
+        (F.coalesce(atoms, F.lit(0)) == 0, "rejected:no_atoms"),
+        (~finite(lengths), "rejected:lengths_unknown"),
+        (beyond(lengths, CELL["least"], most), "rejected:lengths"),
+        (~finite(angles), "rejected:angles_unknown"),
+        (beyond(angles, CELL["least_angle"], CELL["most_angle"]), "rejected:angles"),
+        (volume <= 0, "rejected:volume"),
+        ((atoms > 1) & (closest < CELL["contact"]), "rejected:contact"),
         otherwise="",
     )
 
@@ -144,27 +144,28 @@ def composition_mismatch(asked: Column, made: Column) -> Column:
 
 
 def job_outcome(exists: Column, finished: Column, reached: Column, nsw: Column, ibrion: Column, nelm: Column, n_elec: Column, n_ionic: Column) -> Column:
-    """struct(state, converged, reason) of a run: what happened to the process, whether its answer is usable, and why not.
+    """struct(state, converged, reason) of a run, the reason as a short code (empty where the result can be used).
 
-    A run without ionic motion has no force criterion and is judged by its end; the last electronic loop must end below its limit in any case."""
+    converged asks two things: that the last electronic loop stayed below its limit, and that the log says the forces are met, or,
+    where nothing was to move, that the run came to its end. Fixed values: the states, and the codes of the two limits."""
     yes = lambda c: F.coalesce(c, F.lit(False))
     static = yes(nsw <= 0) | yes(ibrion == -1)
     scf = ~(yes(nelm != 0) & yes(n_elec != 0) & yes(n_elec >= nelm))
     converged = (yes(reached) | static & yes(finished)) & scf
     state = ladder((~yes(exists), "failed"), (~yes(finished), "timeout"), otherwise="done")
     reason = ladder(
-        (~yes(exists), "no OUTCAR"),
-        (~yes(finished), "OUTCAR has no epilogue (killed mid-run)"),
+        (~yes(exists), "no_log"),
+        (~yes(finished), "cut_off"),
         (converged, ""),
         (~scf, "scf_not_converged"),
         (yes(n_ionic >= nsw), "ionic_step_limit"),
-        otherwise="finished without reaching the force criterion",
+        otherwise="force_limit_not_met",
     )
     return F.struct(state.alias("state"), converged.alias("converged"), reason.alias("reason"))
 
 
 def log_marks(text: Column) -> dict[str, Column]:
-    """What the classifiers look for in a log: its epilogue, convergence, the bracketing fault and fatal blocks."""
+    """What the classifiers look for in a log: how it ended, convergence, the bracketing fault and fatal blocks."""
     return {"finished": F.contains(text, F.lit("General timing and accounting")), "reached": F.contains(text, F.lit("reached required accuracy")), "bracketing": F.contains(text, F.lit("ZBRENT")), "fatal": text.rlike("(?i)internal error|very serious problems"), "illegal": F.contains(F.lower(text), F.lit("illegal instruction"))}
 
 
@@ -193,21 +194,24 @@ def projected_steps(steps: Column, elapsed: Column, left: Column) -> Column:
 
 
 def health(age_s: Column, energy: Column, d_energy: Column, relax_ok: Column, stage: Column, steps: Column, elapsed: Column, converged: Column, last_scf: Column, nelm: Column, nsw: Column, projection: Column, stall_s: float = 3600.0) -> Column:
-    """The most serious thing that can be said of a live run."""
-    yes = lambda c: F.coalesce(c, F.lit(False))
-    return ladder(
-        (yes(age_s > stall_s), "stalled"),
-        (yes(energy > 0) | yes(d_energy > 1.0), "DIVERGED"),
-        (yes(~relax_ok), "static-on-bad-relax"),
-        (yes((stage == "relax") & (steps == 0) & (elapsed > 3600)), "first-scf"),
-        (yes(converged), "converged"),
-        (yes(last_scf >= nelm), "scf-hard"),
-        (yes((nsw != 0) & (steps >= nsw)), "nsw-limit"),
-        (yes((nsw != 0) & (projection < nsw)), "slow"),
-        (yes(last_scf > F.greatest(F.floor(nelm / 2), F.lit(20))), "scf-hard"),
-        (yes((nsw != 0) & projection.isNotNull() & (steps > 0.9 * nsw)), "nsw-limit"),
-        otherwise="ok",
-    )
+    """The verdict of the highest severity among the rules that hold for a live run, ok if none does.
+
+    Fixed values: names, order of severity and thresholds."""
+    moves, half = nsw != 0, F.greatest(F.floor(nelm / 2), F.lit(20))
+    rules = [
+        (10, "stalled", age_s > stall_s),
+        (9, "DIVERGED", F.greatest(F.coalesce(energy, F.lit(0.0)), F.coalesce(d_energy, F.lit(0.0)) - 1.0) > 0),
+        (8, "static-on-bad-relax", ~relax_ok),
+        (7, "first-scf", (stage == "relax") & (steps == 0) & (elapsed > 3600)),
+        (6, "converged", converged),
+        (5, "scf-hard", last_scf >= nelm),
+        (4, "nsw-limit", moves & (steps >= nsw)),
+        (3, "slow", moves & (projection < nsw)),
+        (2, "scf-hard", last_scf > half),
+        (1, "nsw-limit", moves & projection.isNotNull() & (steps > 0.9 * nsw)),
+    ]
+    held = [F.when(holds, F.struct(F.lit(severity).alias("severity"), F.lit(name).alias("name"))) for severity, name, holds in rules]
+    return F.coalesce(F.array_max(F.array(*held))["name"], F.lit("ok"))
 
 
 def gpu_minutes(structures: Column, seconds_each: float = 1.5) -> Column:
@@ -231,13 +235,12 @@ def base_name(path: Column) -> Column:
     return F.regexp_extract(path, "[^/]+$", 0)
 
 
-def provenance_sentence(is_parent: Column, parent: Column, method: Column, varies: Column, tag: Column) -> Column:
-    """What a seed is and how it was made, from the words of its record."""
-    word = lambda c, other: F.coalesce(F.nullif(c, F.lit("")), F.lit(other))
-    how = word(method, "staged")
-    route = F.when(F.coalesce(tag, F.lit("")) != "", F.concat(F.lit(" ("), tag, F.lit(" route)"))).otherwise("")
-    made = F.concat(F.lit("Derived from "), word(parent, "an unrecorded parent"), F.lit(". Varies: "), word(varies, "not recorded"), F.lit(". "), F.upper(F.left(how, F.lit(1))), F.substring(how, 2, 1 << 30), route, F.lit("."))
-    return F.when(is_parent, F.concat(F.lit("The parent, "), word(parent, "an unrecorded parent"), F.lit(", as given."))).otherwise(made)
+def provenance_line(is_parent: Column, parent: Column, method: Column, varies: Column, tag: Column) -> Column:
+    """Where a seed comes from, as name=value pairs of what its record knows, in a fixed order; blank fields are left out."""
+    pair = lambda name, c: F.when(F.trim(c) != "", F.concat(F.lit(f"{name}="), c))
+    kind = F.when(F.coalesce(is_parent, F.lit(False)), "parent").otherwise("child")
+    made = [F.when(kind == "child", pair(name, c)) for name, c in (("changed", varies), ("method", method), ("route", tag))]
+    return F.concat_ws("; ", pair("kind", kind), pair("of", parent), *made)
 
 
 def key_fault(key: Column, value: Column, reserved: tuple[str, ...], elements: tuple[str, ...]) -> Column:
@@ -248,10 +251,9 @@ def key_fault(key: Column, value: Column, reserved: tuple[str, ...], elements: t
 
 
 def short_reason(text: Column) -> Column:
-    """The first sentence of a message, without its list and without prepositions left at its end."""
-    head = F.trim(F.split(F.split(text, r"\. ")[0], " among ")[0])
-    cut = F.when(F.instr(head, "[") > 1, F.trim(F.substring_index(head, "[", 1))).otherwise(head)
-    return F.regexp_replace(cut, r"(\s+(for|in|of|among|at))+$", "")
+    """A message as a heading to count by: up to its first full stop, list in brackets or count of others, less what leads to these."""
+    heading = F.regexp_replace(text, r"(?s)(?:\. | among |(?<!^)\[).*$", "")
+    return F.regexp_replace(heading, r"(?:\s+(?:for|in|of|among|at))*\s*$", "")
 
 
 def inherited(parent: Column, child: Column) -> Column:

@@ -127,8 +127,8 @@ def isostructural_swap(t):
     return rows.select("p_partkey", "target", F.element_at("new", F.col("target")).alias("n_target"), r(rec.volume_scale(F.col("old"), F.col("new"), radii), 6).alias("scale"))
 
 
-FAULT_SQL = """f AS (SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN 'rejected: empty cell' WHEN p_partkey % 13 = 0 THEN 'rejected: non-finite lattice' WHEN p_size + 3 > 50 OR p_size % 7 < 1 THEN 'rejected: lattice parameter outside the bounds'
-  WHEN p_partkey % 200 < 10 OR p_partkey % 200 > 170 THEN 'rejected: cell angle outside the bounds' WHEN p_partkey % 17 = 0 THEN 'rejected: non-positive cell volume' WHEN p_size % 10 > 1 AND p_partkey % 5 = 0 THEN 'rejected: atoms too close'
+FAULT_SQL = """f AS (SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN 'rejected:no_atoms' WHEN p_partkey % 13 = 0 THEN 'rejected:lengths_unknown' WHEN p_size + 3 > 50 OR p_size % 7 < 1 THEN 'rejected:lengths'
+  WHEN p_partkey % 200 < 10 OR p_partkey % 200 > 170 THEN 'rejected:angles' WHEN p_partkey % 17 = 0 THEN 'rejected:volume' WHEN p_size % 10 > 1 AND p_partkey % 5 = 0 THEN 'rejected:contact'
   ELSE '' END AS fault, p_partkey % 2 = 0 AS converged FROM part)"""
 
 
@@ -169,7 +169,7 @@ OUTCOME_SQL = """o AS (SELECT l_orderkey AS id, l_linenumber AS step, l_quantity
 c AS (SELECT *, NOT (nelm <> 0 AND n_elec <> 0 AND n_elec >= nelm) AS scf FROM o),
 d AS (SELECT *, (reached OR (nsw <= 0 AND finished)) AND scf AS converged FROM c),
 j AS (SELECT *, CASE WHEN NOT present THEN 'failed' WHEN NOT finished THEN 'timeout' ELSE 'done' END AS state,
-  CASE WHEN NOT present THEN 'no OUTCAR' WHEN NOT finished THEN 'OUTCAR has no epilogue (killed mid-run)' WHEN converged THEN '' WHEN NOT scf THEN 'scf_not_converged' WHEN n_ionic >= nsw THEN 'ionic_step_limit' ELSE 'finished without reaching the force criterion' END AS reason FROM d)"""
+  CASE WHEN NOT present THEN 'no_log' WHEN NOT finished THEN 'cut_off' WHEN converged THEN '' WHEN NOT scf THEN 'scf_not_converged' WHEN n_ionic >= nsw THEN 'ionic_step_limit' ELSE 'force_limit_not_met' END AS reason FROM d)"""
 
 
 def _outcomes(t) -> DataFrame:
@@ -315,14 +315,14 @@ def largest_resources(t):
     return t.orders.groupBy("o_custkey").agg(F.max(F.coalesce(fv.megabytes(mem), F.lit(16384.0))).alias("mem_mb"), F.max(fv.seconds(time)).alias("walltime_s"))
 
 
-@query("SELECT o_orderkey, regexp_extract(path, '[^/]+$') AS name, CASE WHEN o_orderstatus = 'F' THEN 'The parent, ' || o_orderpriority || ', as given.' ELSE 'Derived from ' || o_orderpriority || '. Varies: not recorded. Swapped' || CASE WHEN o_orderkey % 2 = 0 THEN ' (hand route)' ELSE '' END || '.' END AS sentence "
+@query("SELECT o_orderkey, regexp_extract(path, '[^/]+$') AS name, CASE WHEN o_orderstatus = 'F' THEN 'kind=parent; of=' || o_orderpriority ELSE 'kind=child; of=' || o_orderpriority || '; method=swapped' || CASE WHEN o_orderkey % 2 = 0 THEN '; route=hand' ELSE '' END END AS line "
        "FROM (SELECT *, '/seeds/' || o_custkey || '/' || o_orderkey || '.vasp' AS path FROM orders)")
 def seed_provenance(t):
     path = F.concat_ws("/", F.lit("/seeds"), F.col("o_custkey").cast("string"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".vasp")))
     records = t.orders.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".vasp")).alias("seed"), F.col("o_orderpriority").alias("parent"))
     seeds = t.orders.select("o_orderkey", rec.base_name(path).alias("name"), (F.col("o_orderstatus") == "F").alias("is_parent"), F.when(F.col("o_orderkey") % 2 == 0, "hand").alias("tag"))
     joined = seeds.join(records, F.col("name") == F.col("seed"), "left")
-    return joined.select("o_orderkey", "name", rec.provenance_sentence(F.col("is_parent"), F.col("parent"), F.lit("swapped"), F.lit(""), F.col("tag")).alias("sentence"))
+    return joined.select("o_orderkey", "name", rec.provenance_line(F.col("is_parent"), F.col("parent"), F.lit("swapped"), F.lit(""), F.col("tag")).alias("line"))
 
 
 @query("SELECT o_orderpriority AS tag, o_orderstatus AS method, count(*) AS n FROM orders GROUP BY ALL")

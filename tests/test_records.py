@@ -28,7 +28,7 @@ def test_moments(spark):
 def test_job_outcomes(spark):
     case = lambda exists, finished, reached, nsw, n_elec, n_ionic: rec.job_outcome(*(F.lit(x) for x in (exists, finished, reached, nsw, None, 60, n_elec, n_ionic)))
     got = one(spark, case(False, False, False, 99, 0, 0), case(True, False, True, 99, 10, 5), case(True, True, False, 0, 10, 1), case(True, True, False, 0, 60, 1), case(True, True, False, 50, 10, 50), case(True, True, False, 50, 10, 9))
-    assert [(g.state, g.reason) for g in got] == [("failed", "no OUTCAR"), ("timeout", "OUTCAR has no epilogue (killed mid-run)"), ("done", ""), ("done", "scf_not_converged"), ("done", "ionic_step_limit"), ("done", "finished without reaching the force criterion")]
+    assert [(g.state, g.reason) for g in got] == [("failed", "no_log"), ("timeout", "cut_off"), ("done", ""), ("done", "scf_not_converged"), ("done", "ionic_step_limit"), ("done", "force_limit_not_met")]
     assert [g.converged for g in got[2:]] == [True, False, False, False]
 
 
