@@ -118,6 +118,20 @@ def ceil_to(value: Column, multiple: int) -> Column:
     return F.ceil(value / multiple) * multiple
 
 
+def n_bands(electrons: Column, ions: Column, group: int = 4) -> Column:
+    """Bands for so many electrons: half of them and some for the ions, at least six tenths, up to the next multiple of a group; null
+    without electrons. Fixed values: 10, 2, 0.6."""
+    half = F.floor(electrons / 2) + F.greatest(F.floor(ions / 2), F.lit(10))
+    return F.when(electrons > 0, ceil_to(F.greatest(half, F.floor(electrons * 0.6)), max(1, group)).cast("long"))
+
+
+def queue_limits(line: Column) -> Column:
+    """struct(submit, jobs, cpus, gpus) of a line ``submit|jobs|cpu=n,gres/gpu=n``; null where a limit isn't set."""
+    part = lambda n: F.get(F.split(line, r"\|"), F.lit(n))
+    number = lambda text, pattern: F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 1), F.lit("")).cast("long")
+    return F.struct(number(part(0), r"^(\d+)$").alias("submit"), number(part(1), r"^(\d+)$").alias("jobs"), number(part(2), r"(?:^|,)cpu=(\d+)").alias("cpus"), number(part(2), r"(?:^|,)gres/gpu=(\d+)").alias("gpus"))
+
+
 def memory_gb(n: Column, spins: Column, k: Column, base: float, per_spin: float, per_k: float, floor: int = 16, multiple: int = 8) -> Column:
     """A linear estimate with an interaction, up to the next multiple, at least ``floor``."""
     return F.greatest(ceil_to(base + per_spin * n * spins + per_k * n * spins * k / 1000.0, multiple), F.lit(floor)).cast("long")

@@ -97,6 +97,17 @@ def purity(sites: DataFrame, cells: DataFrame, cutoff: float) -> DataFrame:
     return out.withColumns({"n": F.coalesce("n", F.lit(0)), "same": F.coalesce("same", F.lit(0))})
 
 
+def region_share(sites: DataFrame, cells: DataFrame, kind: str, cutoff: float) -> DataFrame:
+    """cell, n, share: the sites of a kind, and what part of them has no site of another kind within a cutoff.
+
+    0 where there is none of the kind; 1 where there is nothing else."""
+    near = neighbours(sites, cells, cutoff).filter((F.col("kind_a") == kind) & (F.col("kind_b") != kind)).select("cell", F.col("a").alias("site")).distinct()
+    met = sites.join(near.withColumn("_near", F.lit(True)), ["cell", "site"], "left")
+    mine = F.col("kind") == kind
+    out = met.groupBy("cell").agg(F.count_if(mine).alias("n"), F.count_if(mine & F.col("_near").isNull()).alias("far"))
+    return out.select("cell", "n", F.coalesce(F.try_divide(F.col("far"), F.col("n")), F.lit(0.0)).alias("share"))
+
+
 def nearest(sites: DataFrame, cells: DataFrame, cutoff: float) -> DataFrame:
     """cell, site, to, distance: the nearest other site or image within a cutoff; of equally near ones the least."""
     w = W.partitionBy("cell", "a").orderBy("distance", "b", "shift")

@@ -80,9 +80,14 @@ def first_bad_step(steps: DataFrame, key: str, seq: str, name: str, converged: s
 
 def note_summary(notes: DataFrame, system: str, reason: str, show: int = 3) -> DataFrame:
     """reason (its first sentence), n, systems: the first few and how many more."""
-    grouped = notes.select(F.col(system).alias("s"), rec.short_reason(F.col(reason)).alias("reason")).groupBy("reason")
-    return grouped.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("s")).alias("all")).select(
-        "reason", "n", F.concat(F.array_join(F.slice("all", 1, show), ", "), F.when(F.col("n") > show, F.concat(F.lit(" and "), (F.col("n") - show).cast("string"), F.lit(" more"))).otherwise("")).alias("systems"))
+    named = notes.select(F.col(system).alias("s"), rec.short_reason(F.col(reason)).alias("reason"))
+    counts = named.groupBy("reason").agg(F.count("*").alias("n"))
+    place = F.row_number().over(W.partitionBy("reason").orderBy("s"))  # cut to so many rows before the shuffle
+    first = named.filter("s is not null").distinct().withColumn("_p", place).filter(F.col("_p") <= show)
+    first = first.groupBy(F.col("reason").alias("_r")).agg(F.array_sort(F.collect_list("s")).alias("all"))
+    more = F.when(F.col("n") > show, F.concat(F.lit(" and "), (F.col("n") - show).cast("string"), F.lit(" more"))).otherwise("")
+    joined = counts.join(first, F.col("reason").eqNullSafe(F.col("_r")), "left")
+    return joined.select("reason", "n", F.concat(F.array_join(F.coalesce("all", F.array().cast("array<string>")), ", "), more).alias("systems"))
 
 
 def batch_stats(results: DataFrame, error: str, converged: str) -> DataFrame:
@@ -198,6 +203,18 @@ def exported(phases: DataFrame, converged: str, present: str) -> DataFrame:
     return phases.withColumn("status", F.when(~F.coalesce(F.col(present), F.lit(False)), "skipped").when(F.col(converged), "done").otherwise("failed"))
 
 
+def pooled_parity(points: DataFrame, system: str, label: str, elements: str, a: str, b: str) -> tuple[DataFrame, DataFrame]:
+    """(by system, by element): n, mae and the largest error of points(system, label, elements, a, b).
+
+    A point counts once for each of its elements, however many systems it is in: by element the points of one label are one."""
+    error = F.abs(F.col(a) - F.col(b))
+    known = points.filter(error.isNotNull())
+    figures = [F.count("*").alias("n"), F.avg("_e").alias("mae"), F.max("_e").alias("worst")]
+    whole = known.withColumn("_e", error).groupBy(system).agg(*figures)
+    each = known.select(F.col(label).alias("_l"), F.explode(F.array_distinct(elements)).alias("element"), error.alias("_e"))
+    return whole, each.groupBy("element", "_l").agg(F.min("_e").alias("_e")).groupBy("element").agg(*figures)
+
+
 def parity_points(rows: DataFrame, a: str, b: str, n: str) -> DataFrame:
     """Rows with both energies, per atom, as points of a comparison."""
     return rows.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(n) > 0)).withColumns({"a_per_atom": F.col(a) / F.col(n), "b_per_atom": F.col(b) / F.col(n)})

@@ -323,11 +323,12 @@ def subsystem_containment(t):
     return coverage.containment_counts(systems, systems)
 
 
-@query(f"WITH s AS (SELECT DISTINCT sys FROM ({ORDER_SYSTEMS})), e AS (SELECT list_sort(list(b)) AS el FROM (SELECT DISTINCT p_brand AS b FROM part ORDER BY b LIMIT 5)), m AS (SELECT array_to_string(list_filter(el, lambda x, i: (k >> (i - 1)) & 1 = 1), '-') AS sys FROM e, range(1, 32) g(k)) SELECT sys AS chemsys FROM m WHERE sys NOT IN (SELECT sys FROM s)")
+@query(f"""WITH s AS (SELECT DISTINCT sys FROM ({ORDER_SYSTEMS})), m AS (SELECT DISTINCT array_to_string(list_filter(string_split(sys, '-'), lambda x, i: (k >> (i - 1)) & 1 = 1), '-') AS sub FROM s, range(1, 64) g(k) WHERE len(string_split(sys, '-')) <= 6 AND k < (1 << len(string_split(sys, '-'))))
+SELECT sub AS chemsys FROM m WHERE sub NOT IN (SELECT sys FROM s)""")
 def missing_subsystems(t):
-    brands = t.part.select("p_brand").distinct().orderBy("p_brand").limit(5)  # five elements are the target
-    target = brands.agg(F.array_join(F.array_sort(F.collect_list("p_brand")), "-").alias("chemsys"))
-    return coverage.missing_subsystems(target, _order_systems(t)).select("chemsys")
+    """The subsystems of all orders' systems of up to six elements that no order has by itself."""
+    systems = _order_systems(t)
+    return coverage.missing_subsystems(systems.filter(F.size(F.split("chemsys", "-")) <= 6).select("chemsys").distinct(), systems).select("chemsys").distinct()
 
 
 @query("""WITH q AS (SELECT l_suppkey AS k, year(l_shipdate) AS y, round(avg(l_extendedprice), 2) AS v FROM lineitem GROUP BY 1, 2), a AS (SELECT * FROM q WHERE y = 1995), b AS (SELECT * FROM q WHERE y = 1996)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -41,6 +42,34 @@ def upsert_columns(old: DataFrame, new: DataFrame, key: list[str], update: list[
     return both.select(*(F.col(c) if c in key else pick(c) for c in old.columns))
 
 
+def amended(old: DataFrame, changes: DataFrame, key: str, allowed: list[str]) -> DataFrame:
+    """Rows with the columns that changes(key, ..) give anew (nulls leave what is there); only ``allowed`` columns may change, keys
+    that old lacks change nothing."""
+    given = [c for c in changes.columns if c != key]
+    if fixed := sorted(set(given) - set(allowed)):
+        raise ValueError(f"these columns can't be changed: {fixed}")
+    new = changes.select(F.col(key).alias("_k"), *(F.col(c).alias(f"_n_{c}") for c in given))
+    both = old.join(new, old[key] == F.col("_k"), "left")
+    return both.select(*(F.coalesce(f"_n_{c}", c).alias(c) if c in given else F.col(c) for c in old.columns))
+
+
+def moved(old: DataFrame, changes: DataFrame, key: str, state: str, allowed: Callable[[F.Column, F.Column], F.Column], also: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows in their new states, refused changes): a change of state, with columns that come with it, is taken where it is allowed."""
+    also = also or []
+    new = changes.select(F.col(key).alias("_k"), F.col(state).alias("_s"), *(F.col(c).alias(f"_n_{c}") for c in also))
+    both = old.join(new, old[key] == F.col("_k"), "left").withColumn("_ok", F.coalesce(allowed(F.col(state), F.col("_s")), F.lit(False)))
+    pick = lambda c: F.when(F.col("_ok"), F.coalesce("_s" if c == state else f"_n_{c}", c)).otherwise(F.col(c)).alias(c)
+    refused = both.filter(F.col("_k").isNotNull() & ~F.col("_ok")).select(F.col("_k").alias(key), F.col(state).alias("before"), F.col("_s").alias("after"))
+    return both.select(*(pick(c) if c in (state, *also) else F.col(c) for c in old.columns)), refused
+
+
+def appended(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Old rows and new ones, which must have the same columns."""
+    if set(old.columns) != set(new.columns):
+        raise ValueError(f"columns differ: {sorted(set(old.columns) ^ set(new.columns))}")
+    return old.unionByName(new)
+
+
 def delete(old: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
     return old.join(gone.select(*key).distinct(), key, "left_anti")
 

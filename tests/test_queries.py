@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from funnelspark.plans import bindings, feed_bindings, record_bindings, source_bindings, system_bindings  # noqa: F401
+from funnelspark.plans import bindings, campaign_bindings, feed_bindings, record_bindings, source_bindings, system_bindings  # noqa: F401
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
