@@ -24,12 +24,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from funnelspark.llm import _text
-from funnelspark.llm._spark import small_batches
+from funnelspark.llm._spark import broadcast_if, cut, small_batches
 
 N, BITS = 3, 14
 PER_LANG, LANDMARKS, RIDGE = 300, 32, 1e-3
 #: Bytes of one text and of all texts of the sample, and landmarks in all: they bound what the driver fits and sends.
 TEXT_BYTES, SAMPLE_BYTES, ALL_LANDMARKS = 1 << 16, 64 << 20, 1024
+#: Languages that may be broadcast with their counts.
+BROADCAST_LANGS = 100_000
 UNKNOWN = "und"
 #: Bytes of text and texts whose presence matrix is built at once.
 CHUNK, DOCS = 1 << 18, 128
@@ -71,6 +73,7 @@ def training_rows(docs: DataFrame, usable: Column, sample_bytes: int = SAMPLE_BY
     part = F.lit(sample_bytes) / F.count("*").over(W.partitionBy())
     counts = counts.select(F.col("lang").alias("of"), "n", part.alias("part"))  # a row a language
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
+    counts = broadcast_if(cut(counts, "langs"), BROADCAST_LANGS)
     drawn = rows.join(counts, rows.lang == counts.of).withColumn("draw", draw).filter(F.col("draw") * F.col("n") < PER_LANG)
     drawn = drawn.groupBy("lang", "doc_id").agg(F.min("text").alias("text"), F.min("draw").alias("draw"), F.min("part").alias("part"))
     size = F.octet_length("text")
