@@ -32,6 +32,18 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op3_pii SQL can say: how many spans of the four base kinds a text holds."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def url_fixed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op5_url_rules SQL can say: host, path, the fixed rule and its verdict; null where the mined rules decide."""
+    found = url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return found.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
     last = F.try_element_at("positions", F.lit(-1)).alias("last_position")
@@ -75,7 +87,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text, op11_run_index, op12_manifest, op13_filter_audit)
+    own = (op1_decontaminate, op2_near_dedup, op3_pii, op4_language, op5_url_rules, op6_mixing, op7_topk, op8_cross_entropy, op9_quality, op10_html_text, op11_run_index, op12_manifest, op13_filter_audit, pii_base_counts, url_fixed_rules)
     return {f.__name__: f for f in own}
 
 
@@ -130,6 +142,22 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+PII_BASE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+c AS (SELECT doc_id, x, list_filter(list_transform(regexp_extract_all(x, '[0-9](?:[\x20-]?[0-9])+'), lambda s: list_reverse(list_transform(string_split(regexp_replace(s, '[^0-9]', '', 'g'), ''), lambda n: CAST(n AS INTEGER)))), lambda v: len(v) BETWEEN 13 AND 19) AS cards FROM d)
+SELECT doc_id, CAST(len(regexp_extract_all(x, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')) AS BIGINT) AS n_email,
+       CAST(len(list_filter(regexp_extract_all(x, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'), lambda s: len(list_filter(string_split(s, '.'), lambda n: coalesce(TRY_CAST(n AS BIGINT), 256) > 255)) = 0)) AS BIGINT) AS n_ip,
+       CAST(len(list_filter(cards, lambda v: list_sum(list_transform(v, lambda n, i: CASE WHEN i % 2 = 1 THEN n WHEN n > 4 THEN 2 * n - 9 ELSE 2 * n END)) % 10 = 0)) AS BIGINT) AS n_card,
+       CAST(len(list_filter(regexp_extract_all(x, '\+[0-9][\x20().0-9-]+[0-9]'), lambda s: length(regexp_replace(s, '[^0-9]', '', 'g')) BETWEEN 9 AND 15)) AS BIGINT) AS n_phone
+FROM c
+"""
+
+_FITS = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN " + "{" + str(i) + "}" for i, (_, h, p) in sorted(enumerate(url_rules.FIXED_RULES), key=lambda r: -len(r[1][1] + r[1][2])))
+URL_FIXED_SQL = rf"""
+WITH h AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+SELECT page_id, host, path, CASE {_FITS.format(*(f"'{h}{p}'" for _, h, p in url_rules.FIXED_RULES))} END AS rule, CASE {_FITS.format(*(f"'{v}'" for v, _, _ in url_rules.FIXED_RULES))} END AS verdict FROM h
+"""
+
 _FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
 _LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
 #: Bit by bit, as no function has it.
@@ -178,4 +206,4 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_manifest": OP12_SQL, "op13_filter_audit": OP13_SQL, "op1_decontaminate": OP1_SQL, "op6_mixing": OP6_SQL, "op7_topk": OP7_SQL}
+    return {"pii_base_counts": PII_BASE_SQL, "url_fixed_rules": URL_FIXED_SQL, "op12_manifest": OP12_SQL, "op13_filter_audit": OP13_SQL, "op1_decontaminate": OP1_SQL, "op6_mixing": OP6_SQL, "op7_topk": OP7_SQL}
