@@ -4,7 +4,7 @@
 a vertex, and no compound above the line between its end members, so both are dropped before anything meets in a task.
 
 This module is for two components; facets.py has any number. Hulls of salted parts come before the hull of their vertices,
-which is the same; as a hull is convex, its energy at x is the largest of its tie lines there.
+which is the same; an entry lies on one tie line of its system's.
 """
 
 from __future__ import annotations
@@ -60,15 +60,13 @@ def place_binary(entries: DataFrame, vertices: DataFrame | None = None) -> DataF
     A system's vertices travel as one array, as many as its hull has, to its entries, so a row is placed where it is."""
     vertices = binary_vertices(entries) if vertices is None else vertices
     corners = vertices.groupBy("sys").agg(F.array_sort(F.collect_list(F.struct("x", "e"))).alias("v")).withColumnRenamed("sys", "of")
-    # intercept and slope of each tie line; one vertex is a level line
-    low, high = F.slice("v", F.lit(1), F.greatest(F.size("v") - 1, F.lit(1))), F.when(F.size("v") > 1, F.slice("v", F.lit(2), F.size("v"))).otherwise(F.col("v"))
-    slope = lambda a, b: F.when(b["x"] > a["x"], (b["e"] - a["e"]) / (b["x"] - a["x"])).otherwise(0.0)
-    lines = F.zip_with(low, high, lambda a, b: F.struct(a["x"].alias("x"), a["e"].alias("e"), slope(a, b).alias("slope")))
-    known = corners.select("of", lines.alias("_lines"), F.col("v")[0]["x"].alias("_low"), F.element_at("v", -1)["x"].alias("_high"))
+    ends = F.zip_with(F.slice("v", F.lit(1), F.size("v") - 1), F.slice("v", F.lit(2), F.size("v")), lambda a, b: F.struct(a["x"].alias("x0"), a["e"].alias("e0"), b["x"].alias("x1"), b["e"].alias("e1")))
+    known = corners.select("of", ends.alias("_lines"), F.element_at("v", -1).alias("_last"))
     joined = entries.join(known, F.col("of") == F.col("sys"), "left")
-    line = F.aggregate("_lines", F.lit(float("-inf")), lambda a, s: F.greatest(a, s["e"] + s["slope"] * (F.col("x") - s["x"])))
-    inside = (F.col("x") >= F.col("_low")) & (F.col("x") <= F.col("_high"))
-    return joined.withColumn("hull", F.when(inside, line)).drop("of", "_lines", "_low", "_high").withColumns({"e_above_hull": F.col("e") - F.col("hull"), "stable": F.col("e") - F.col("hull") <= STABLE})
+    x = F.col("x")
+    on = F.get(F.filter("_lines", lambda s: (x >= s["x0"]) & (x < s["x1"])), F.lit(0))
+    line = F.when(x == F.col("_last.x"), F.col("_last.e")).otherwise(on["e0"] + (on["e1"] - on["e0"]) * (x - on["x0"]) / (on["x1"] - on["x0"]))
+    return joined.withColumn("hull", line).drop("of", "_lines", "_last").withColumns({"e_above_hull": F.col("e") - F.col("hull"), "stable": F.col("e") - F.col("hull") <= STABLE})
 
 
 def dirty_systems(candidates: DataFrame, placements: DataFrame, ref_hash: str = "ref_hash") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from funnelspark.sources.folders import cut
+
 
 def parity(points: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     """n, mae, rmse, bias, worst of a - b by group, over pairs with both values."""
@@ -16,23 +18,22 @@ def parity(points: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     return both.groupBy(*group).agg(F.count("*").alias("n"), F.avg(F.abs("_e")).alias("mae"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse"), F.avg("_e").alias("bias"), F.max(F.abs("_e")).alias("worst"))
 
 
-#: Ranges of values that a running count is cut into.
-RANGES = 1024
-
-
 def running_counts(counts: DataFrame, group: list[str], column: str, n: str) -> DataFrame:
     """Adds ``_below``, how many rows of the group have a smaller value, to counts by distinct value.
 
-    A group's values are cut into equal ranges between its ends; totals of ranges are summed up first, then the values inside
-    each range, so that no window holds a group. Nulls are smallest, as in an ascending order."""
-    ends = counts.groupBy(*group).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-    at = (F.col(column) - F.col("_lo")).cast("double") / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
-    joined = counts.join(ends, group) if group else counts.crossJoin(F.broadcast(ends))  # one row
-    ranged = joined.withColumn("_range", F.when(F.col(column).isNull(), -1).otherwise(F.coalesce(F.floor(at * (RANGES - 1)), F.lit(0))).cast("int")).drop("_lo", "_hi")
-    totals = ranged.groupBy(*group, "_range").agg(F.sum(n).alias("_t"))
-    before = totals.select(*group, "_range", (F.sum("_t").over(W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, 0)) - F.col("_t")).alias("_before"))
-    inside = F.sum(n).over(W.partitionBy(*group, "_range").orderBy(column).rowsBetween(W.unboundedPreceding, 0)) - F.col(n)
-    return ranged.withColumn("_inside", inside).join(before, [*group, "_range"]).withColumn("_below", F.col("_before") + F.col("_inside")).drop("_range", "_before", "_inside")
+    The counts are dealt over ranges of (group, value) once; a value has below it those of its own part and the totals of the
+    group's parts before, so no window holds a group. Nulls are smallest, as in an ascending order."""
+    spread = counts.repartitionByRange(*group, column).withColumn("_part", F.spark_partition_id())
+    spread = cut(spread, "ranges")
+    totals = spread.groupBy(*group, "_part").agg(F.sum(n).alias("_t"))
+    before = (F.sum("_t").over(W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("_t")).alias("_before")
+    totals = totals.select(*(F.col(g).alias(f"_g_{g}") for g in group), F.col("_part").alias("_p"), before)
+    inside = F.sum(n).over(W.partitionBy(*group, "_part").orderBy(column).rowsBetween(W.unboundedPreceding, 0)) - F.col(n)
+    same = F.col("_part") == F.col("_p")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    out = spread.withColumn("_inside", inside).join(totals, same).withColumn("_below", F.col("_before") + F.col("_inside"))
+    return out.drop("_part", "_p", "_before", "_inside", *(f"_g_{g}" for g in group))
 
 
 def average_ranks(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where that is unset, a temporary one on a single machine and an error on a cluster."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.master.split("[")[0] != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return folder or tempfile.mkdtemp(prefix="funnelspark-")
+    folder = folder or spark.conf.get("funnelspark.shared.dir", None)
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="funnelspark-")  # one for the session
+        spark.conf.set("funnelspark.shared.dir", folder)
+    return folder
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
