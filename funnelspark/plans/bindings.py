@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import formula as fm
 from funnelspark.functions import values as fv
-from funnelspark.operators import coverage, dedup, enumerate as en, facets, gates, guards, hull, jobs, ranges, ranking, stats
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, gates, guards, hull, jobs, ranges, ranking, stats, summaries
 from funnelspark.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,13 +209,13 @@ def generation_yield(t):
 
 @query("SELECT o_orderstatus AS state, count(*) AS n FROM orders GROUP BY 1")
 def state_counts(t):
-    return t.orders.groupBy(F.col("o_orderstatus").alias("state")).agg(F.count("*").alias("n"))
+    return summaries.counts_by(t.orders.withColumnRenamed("o_orderstatus", "state"), "state")
 
 
 @query("SELECT o_orderpriority AS stage, coalesce(sum(CASE WHEN o_orderstatus = 'F' THEN 1 END), 0)::BIGINT AS f, coalesce(sum(CASE WHEN o_orderstatus = 'O' THEN 1 END), 0)::BIGINT AS o, coalesce(sum(CASE WHEN o_orderstatus = 'P' THEN 1 END), 0)::BIGINT AS p FROM orders GROUP BY 1")
 def job_counts(t):
-    counts = t.orders.groupBy(F.col("o_orderpriority").alias("stage")).pivot("o_orderstatus", ["F", "O", "P"]).count()
-    return counts.select("stage", *(F.coalesce(c, F.lit(0)).cast("long").alias(c.lower()) for c in "FOP"))
+    table = summaries.state_table(t.orders, "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+    return table.select(F.col("o_orderpriority").alias("stage"), *(F.col(c).alias(c.lower()) for c in "FOP"))
 
 
 @query("""WITH a AS (SELECT o_orderpriority AS stage, count(*) AS n, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 1000 ELSE 0 END) AS spent, sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS fl, avg(CASE WHEN o_orderstatus = 'F' AND o_totalprice > 0 THEN o_totalprice / 1000 END) AS m FROM orders GROUP BY 1)
@@ -799,4 +799,4 @@ def dirty_systems(t):
 
 @query("SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS names FROM nation GROUP BY 1")
 def grouped_names(t):
-    return t.nation.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_set("n_name")), ",").alias("names"))
+    return summaries.members(t.nation, "n_regionkey", "n_name")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from funnelspark.functions import formula as fm
 from funnelspark.functions import records as rec
 from funnelspark.functions import values as fv
-from funnelspark.operators import hull, ranking, stats, store
+from funnelspark.operators import hull, ranking, stats, store, summaries
 from funnelspark.plans.bindings import HULL_SQL, long, placed_parts, query, r
 
 
@@ -64,7 +64,7 @@ def _sites(t) -> DataFrame:
 
 @query(f"WITH {SITES_SQL} SELECT el, count(*) AS n, round(sum(m), 4) AS total, round(avg(m), 6) AS mean, round(min(m), 6) AS low, round(max(m), 6) AS high, round(max(m) - min(m), 6) AS spread, CAST(row_number() OVER (ORDER BY -abs(round(sum(m), 4)), el) AS BIGINT) AS place FROM s GROUP BY el")
 def moment_by_element(t):
-    by = _sites(t).groupBy("el").agg(F.count("*").alias("n"), r(F.sum("m")).alias("total"), r(F.avg("m"), 6).alias("mean"), r(F.min("m"), 6).alias("low"), r(F.max("m"), 6).alias("high"), r(F.max("m") - F.min("m"), 6).alias("spread"))
+    by = summaries.spread(_sites(t), "el", F.col("m")).select("el", "n", r("total").alias("total"), *(r(c, 6).alias(c) for c in ("mean", "low", "high", "spread")))
     return by.withColumn("place", long(F.row_number().over(ranking.W.orderBy(-F.abs("total"), "el"))))
 
 
@@ -99,13 +99,15 @@ def energy_source(t):
 def hull_pairs(t):
     """Placements by one method with those by the other: several reference sets fan out."""
     side = lambda flag, name: t.lineitem.filter(F.col("l_returnflag") == flag).select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias(f"step_{name}"), F.col("l_tax").alias(name))
-    return side("A", "mlip").join(side("R", "dft"), "id").select("id", "step_mlip", "step_dft", (r(F.col("mlip") - F.col("dft"), 6) + 0.0).alias("d"))
+    both = summaries.paired(side("A", "mlip").withColumnRenamed("mlip", "value"), side("R", "dft").withColumnRenamed("dft", "value"), "id", "value")
+    return both.select("id", "step_mlip", F.col("step_dft_b").alias("step_dft"), (r("difference", 6) + 0.0).alias("d"))
 
 
 @query("SELECT p_brand, round(avg(d), 6) AS mean_drift, round(max(d) - min(d), 6) AS spread, count(*) AS n FROM (SELECT p_brand, (l_extendedprice / l_quantity - p_retailprice) / p_retailprice AS d FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY p_brand")
 def surrogate_drift(t):
-    picks = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("d", fv.drift(F.col("p_retailprice"), F.col("l_extendedprice") / F.col("l_quantity")))
-    return picks.groupBy("p_brand").agg(r(F.avg("d"), 6).alias("mean_drift"), r(F.max("d") - F.min("d"), 6).alias("spread"), F.count("d").alias("n"))
+    picks = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    out = summaries.spread(picks, "p_brand", fv.drift(F.col("p_retailprice"), F.col("l_extendedprice") / F.col("l_quantity")))
+    return out.select("p_brand", r("mean", 6).alias("mean_drift"), r("spread", 6).alias("spread"), "n")
 
 
 # --- cells, geometry, batches ----------------------------------------------------------------------------------------
@@ -282,7 +284,7 @@ def recarried_geometry(t):
 def orphan_jobs(t):
     """Jobs written before their submission and never given a scheduler's number."""
     jobs = t.orders.select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey").cast("string")).otherwise("").alias("slurm_id"), F.when(F.col("o_orderstatus") == "P", "pending").otherwise("done").alias("state"))
-    return jobs.filter((F.col("slurm_id") == "") & (F.col("state") == "pending")).agg(F.count("*").alias("orphans"))
+    return summaries.orphans(jobs, "slurm_id", "state").agg(F.count("*").alias("orphans"))
 
 
 @query("SELECT DISTINCT p_brand AS chemsys FROM part")
@@ -292,7 +294,7 @@ def chem_systems(t):
 
 @query("SELECT p_brand, CAST(sum(p_size) AS BIGINT) AS atoms, median(p_size) AS middle, CAST(max(p_size) AS BIGINT) AS largest, round(sum(p_retailprice), 2) AS cost, count(DISTINCT p_type) AS kinds FROM part GROUP BY p_brand")
 def plan_totals(t):
-    return t.part.groupBy("p_brand").agg(F.sum("p_size").alias("atoms"), F.median("p_size").alias("middle"), long(F.max("p_size")).alias("largest"), r(F.sum("p_retailprice"), 2).alias("cost"), F.count_distinct("p_type").alias("kinds"))
+    return summaries.plan_totals(t.part, "p_brand", "p_size", "p_retailprice", "p_type").withColumns({"largest": long("largest"), "cost": r("cost", 2)})
 
 
 @query("SELECT s.reason, count(*) AS n, string_agg(c, ', ' ORDER BY c) FILTER (k <= 3) || CASE WHEN count(*) > 3 THEN ' and ' || (count(*) - 3) || ' more' ELSE '' END AS systems FROM (SELECT c_name AS c, 'no entries' || CASE WHEN c_custkey % 2 = 0 THEN ' on scale' ELSE '' END AS reason, row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY c_name) AS k FROM customer) s GROUP BY s.reason")
@@ -312,7 +314,7 @@ def largest_resources(t):
     k = F.col("o_orderkey")
     mem = F.when(k % 3 == 0, "32G").when(k % 3 == 1, "512M").otherwise("much")
     time = F.when(k % 2 == 0, "1-02:00:00").otherwise("01:30:00")
-    return t.orders.groupBy("o_custkey").agg(F.max(F.coalesce(fv.megabytes(mem), F.lit(16384.0))).alias("mem_mb"), F.max(fv.seconds(time)).alias("walltime_s"))
+    return summaries.largest_needs(t.orders, "o_custkey", fv.megabytes(mem), 16384.0, fv.seconds(time)).select("o_custkey", F.col("memory").alias("mem_mb"), F.col("time").alias("walltime_s"))
 
 
 @query("SELECT o_orderkey, regexp_extract(path, '[^/]+$') AS name, CASE WHEN o_orderstatus = 'F' THEN 'kind=parent; of=' || o_orderpriority ELSE 'kind=child; of=' || o_orderpriority || '; method=swapped' || CASE WHEN o_orderkey % 2 = 0 THEN '; route=hand' ELSE '' END END AS line "
@@ -433,10 +435,7 @@ def spread_picks(t):
 @query("SELECT p_brand, CAST(row_number() OVER (ORDER BY m DESC, p_brand) AS BIGINT) AS place, CAST(round(40 * m / max(m) OVER ()) AS BIGINT) AS bar FROM (SELECT p_brand, max(p_retailprice) AS m FROM part GROUP BY p_brand) ORDER BY place LIMIT 20")
 def ranked_list(t):
     """The best of each formula, by merit, the first twenty with the width of their bar."""
-    best = t.part.groupBy("p_brand").agg(F.max("p_retailprice").alias("m"))
-    whole = ranking.W.partitionBy()
-    out = best.withColumn("place", long(F.row_number().over(ranking.W.orderBy(F.desc("m"), "p_brand")))).withColumn("bar", long(F.round(40 * F.col("m") / F.max("m").over(whole))))
-    return out.filter("place <= 20").select("p_brand", "place", "bar")
+    return summaries.ranked(t.part, "p_brand", "p_retailprice", 20).select("p_brand", "place", "bar")
 
 
 @query(f"WITH {HULL_SQL} SELECT p_partkey, sys, round(above, 5) + 0.0 AS e_above_hull FROM p ORDER BY round(above, 9), p_partkey LIMIT 10")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from funnelspark.functions import formula as fm
 from funnelspark.functions import records as rec
 from funnelspark.functions import values as fv
-from funnelspark.operators import coverage, gates, guards, jobs, ranking, stats, store
+from funnelspark.operators import coverage, gates, guards, jobs, ranking, stats, store, summaries
 from funnelspark.plans.bindings import HULL_SQL, long, placed_parts, query, r
 from funnelspark.sources import readers, sinks, trees
 from funnelspark.sources.folders import shared_dir
@@ -365,8 +365,8 @@ def neighbour_share(t):
 def parent_relative(t):
     """How far an entry lies above its system's parent phase (here the best of the large ones); null without one."""
     rows = placed_parts(t).select("p_partkey", "sys", "p_size", "e_above_hull")
-    parents = rows.filter("p_size > 25").groupBy("sys").agg(F.min("e_above_hull").alias("best"))
-    return rows.join(parents, "sys", "left").select("p_partkey", (r(F.col("e_above_hull") - F.col("best"), 5) + 0.0).alias("relative"))
+    out = summaries.relative_to(rows, "sys", "e_above_hull", F.col("p_size") > 25)
+    return out.select("p_partkey", (r("relative", 5) + 0.0).alias("relative"))
 
 
 @query("SELECT p_brand, count(*) AS n, round(min(p_retailprice / p_size), 6) AS least FROM part WHERE p_size % 3 = 0 GROUP BY p_brand")
