@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,22 +80,40 @@ def overlap_pairs(rows: DataFrame, block: list[str], id_column: str, tokens: str
     return _verified(_candidates(met, threshold), sets, sets, threshold)
 
 
-def greedy_groups(pairs: DataFrame, members: DataFrame) -> DataFrame:
+#: Open links, of 17 bytes each, that are settled by one task.
+GATHERED = 500_000
+
+
+def _in_order(links: pd.DataFrame) -> pd.DataFrame:
+    """Whether each open row (id_b) is kept, from its smaller matches (id_a) and what is known of them (_k)."""
+    kept: dict = {}
+    for row, matches in links.sort_values(["id_b", "id_a"]).groupby("id_b", sort=True):
+        kept[row] = not any(kept.get(a, False) if k is None or k != k else bool(k) for a, k in zip(matches.id_a, matches._k, strict=True))
+    return pd.DataFrame({"id": list(kept), "_new": list(kept.values())})
+
+
+def greedy_groups(pairs: DataFrame, members: DataFrame, gathered: int = GATHERED) -> DataFrame:
     """id, kept, duplicate_of: in id order a row is dropped if it matches a kept one (the least such); dropped rows match nothing.
 
-    In rounds over the linked rows: one is dropped once a smaller match is kept, and kept once all its smaller ones are
-    dropped. The least open row of every connected part is settled each round, most rows in the first ones; each round is
-    an aggregate over the links, so no block meets in one task."""
+    While more than ``GATHERED`` links are open, in rounds over the linked rows: one is dropped once a smaller match is kept, and
+    kept once all its smaller ones are dropped; the least open row of every connected part is settled each round, most rows in
+    the first ones. What is left then, however long its chains, is settled in order by one task."""
     links = cut(pairs.select("id_a", "id_b"), "links")
     smaller = links.groupBy(F.col("id_b").alias("id")).agg(F.count("*").alias("_n"))
     ends = links.select(F.col("id_a").alias("id")).unionByName(links.select(F.col("id_b").alias("id"))).distinct()
     state = cut(ends.join(smaller, "id", "left").select("id", F.when(F.col("_n").isNull(), True).alias("kept")), "greedy")
-    while state.filter("kept is null").limit(1).count():
+    while True:
         open_ = links.join(state.filter("kept is null").select(F.col("id").alias("id_b")), "id_b", "left_semi")
-        met = open_.join(state.select(F.col("id").alias("id_a"), F.col("kept").alias("_k")), "id_a").groupBy(F.col("id_b").alias("id"))
-        settled = met.agg(F.max(F.coalesce("_k", F.lit(False))).alias("_dropped"), F.min(F.col("_k").isNotNull()).alias("_all"))
-        new = F.when(F.col("_dropped"), False).when(F.col("_all"), True)
-        state = cut(state.join(settled, "id", "left").select("id", F.coalesce("kept", new).alias("kept")), "greedy")
+        left = open_.count()
+        if not left:
+            break
+        met = open_.join(state.select(F.col("id").alias("id_a"), F.col("kept").alias("_k")), "id_a")
+        if left <= gathered:
+            new = met.groupBy(F.lit(0).alias("_one")).applyInPandas(_in_order, f"id {links.schema['id_b'].dataType.simpleString()}, _new boolean")
+        else:
+            settled = met.groupBy(F.col("id_b").alias("id")).agg(F.max(F.coalesce("_k", F.lit(False))).alias("_dropped"), F.min(F.col("_k").isNotNull()).alias("_all"))
+            new = settled.select("id", F.when(F.col("_dropped"), False).when(F.col("_all"), True).alias("_new"))
+        state = cut(state.join(new, "id", "left").select("id", F.coalesce("kept", "_new").alias("kept")), "greedy")
     of = links.join(state.filter("kept").select(F.col("id").alias("id_a")), "id_a", "left_semi").groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("_of"))
     out = members.select("id").join(state, "id", "left").join(of, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
     return out.select("id", "kept", F.when(~F.col("kept"), F.col("_of")).alias("duplicate_of"))

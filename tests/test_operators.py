@@ -114,6 +114,22 @@ def test_overlap_pairs_against_brute_force(spark):
     assert {(r.id_a, r.id_b) for r in dedup.overlap_pairs(df, ["b"], "id", "t", 0.6).collect()} == want
 
 
+def test_greedy_by_rounds_and_by_one_task(spark):
+    rng = random.Random(12)
+    links = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(90)}) + [(100 + i, 101 + i) for i in range(800)]  # and a long chain
+    members = spark.createDataFrame([(i,) for i in range(901)], "id long")
+    want, kept = {}, set()
+    for i in range(901):
+        matches = [a for a, b in links if b == i and a in kept]
+        want[i] = (not matches, min(matches, default=None))
+        kept |= set() if matches else {i}
+    pairs = spark.createDataFrame(links, "id_a long, id_b long")
+    assert {r.id: (r.kept, r.duplicate_of) for r in dedup.greedy_groups(pairs, members).collect()} == want
+    few = spark.createDataFrame([x for x in links if x[0] < 60], "id_a long, id_b long")
+    got = {r.id: (r.kept, r.duplicate_of) for r in dedup.greedy_groups(few, members.filter("id < 60"), gathered=5).collect()}
+    assert got == {i: want[i] for i in range(60)}
+
+
 def test_greedy_skips_dropped(spark):
     pairs = spark.createDataFrame([(1, 2), (2, 3), (4, 5)], "id_a long, id_b long")
     members = spark.createDataFrame([(i,) for i in range(1, 6)], "id long")
