@@ -227,3 +227,26 @@ def placed_with_reasons(candidates: DataFrame, entries: DataFrame, k: int, scale
     out = out.join(why, out.sys == F.col("_s"), "left")
     absent = F.when(F.col("_known").isNull(), "no reference entries").otherwise(F.coalesce("_why", F.when(F.col("fractions").isNull(), "no composition").when(F.col("e").isNull(), "no energy")))
     return out.withColumn("absent", absent).drop("_s", "_why", "_known")
+
+
+def audit(entries: DataFrame, complexes: DataFrame, k: int) -> DataFrame:
+    """sys, entries, vertices, facets, empty: how much a hull stands on, and how many of its systems of two components or more, the
+    whole one among them, no entry of energy belongs to."""
+    spans = F.array_join(F.transform("fractions", lambda v: F.when(v > 1e-12, "1").otherwise("0")), "")
+    known = entries.filter("e is not null and fractions is not null").select("sys", spans.alias("spans"))
+    seen = known.groupBy("sys").agg(F.count("*").alias("entries"), F.count_distinct(F.when(F.length(F.replace("spans", F.lit("0"), F.lit(""))) > 1, F.col("spans"))).alias("_seen"))
+    corners = vertices(complexes).groupBy("sys").agg(F.count("*").alias("vertices"))
+    out = seen.join(corners, "sys", "left").join(complexes.groupBy("sys").agg(F.count("*").alias("facets")), "sys", "left")
+    return out.select("sys", "entries", F.coalesce("vertices", F.lit(0)).alias("vertices"), F.coalesce("facets", F.lit(0)).alias("facets"), (F.lit(2**k - k - 1) - F.col("_seen")).alias("empty"))
+
+
+def coverage_refusals(wanted: DataFrame, have: DataFrame, near: float, allow_partial: bool = False) -> DataFrame:
+    """sys, blocking, waivable, absent: phases of wanted(sys, id, distance) that have(id) lacks, and why the system has no hull.
+
+    A missing phase blocks where it lies within ``near`` of the hull or nobody knows how near, else it can be waived; a
+    system is refused for blocking ones, and for any missing one unless allow_partial. Complete systems have no reason."""
+    lacking = wanted.join(have.select("id").distinct().withColumn("_have", F.lit(True)), "id", "left")
+    missing, close = F.col("_have").isNull(), F.coalesce(F.col("distance") <= near, F.lit(True))
+    out = lacking.groupBy("sys").agg(F.count_if(missing & close).alias("blocking"), F.count_if(missing & ~close).alias("waivable"))
+    why = F.when(F.col("blocking") > 0, "phases near the hull are missing")
+    return out.withColumn("absent", why if allow_partial else why.when(F.col("waivable") > 0, "phases are missing"))

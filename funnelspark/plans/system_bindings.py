@@ -99,3 +99,21 @@ def hull_refusals_ternary(t):
     entries = rows.withColumns({"scale": scale, "run_type": functional}).unionByName(ends)
     out = facets.placed_with_reasons(rows, entries, 3)
     return out.select("id", _near("e_above_hull").alias("e_above_hull"), "absent")
+
+
+@query(f"""WITH {FACETS}, nf AS (SELECT sys, count(*) AS facets FROM fac GROUP BY sys), nv AS (SELECT sys, count(*) AS vertices FROM (SELECT sys, px, py FROM fac UNION SELECT sys, qx, qy FROM fac UNION SELECT sys, sx, sy FROM fac) GROUP BY sys)
+SELECT f.sys, count(*) + 3 AS entries, any_value(vertices) AS vertices, any_value(facets) AS facets, 4 - count(DISTINCT CASE WHEN x > 0 THEN 'x' ELSE '' END || CASE WHEN y > 0 THEN 'y' ELSE '' END || CASE WHEN 1 - x - y > 1e-9 THEN 'z' ELSE '' END) AS empty FROM f JOIN nf USING (sys) JOIN nv USING (sys) GROUP BY f.sys""")
+def hull_audit_ternary(t):
+    """What every hull stands on, and how many subsystems have no entry."""
+    rows, ends = ternary_entries(t)
+    entries = rows.unionByName(ends)
+    out = facets.audit(entries, facets.facets(entries, 3), 3)
+    return out.select("sys", "entries", "vertices", "facets", F.col("empty").cast("long").alias("empty"))
+
+
+@query("""WITH m AS (SELECT p_brand AS sys, p_partkey % 11 = 0 AND p_size % 2 = 0 AS missing, p_size % 5 = 0 OR p_size / 100.0 <= 0.25 AS close FROM part)
+SELECT sys, count(*) FILTER (missing AND close) AS blocking, count(*) FILTER (missing AND NOT close) AS waivable, CASE WHEN count(*) FILTER (missing AND close) > 0 THEN 'phases near the hull are missing' WHEN count(*) FILTER (missing) > 0 THEN 'phases are missing' END AS absent FROM m GROUP BY sys""")
+def hull_coverage(t):
+    """Which systems may have a hull, by the reference phases that are missing and how near they lie."""
+    wanted = t.part.select(F.col("p_brand").alias("sys"), F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 5 > 0, F.col("p_size") / 100.0).alias("distance"))
+    return facets.coverage_refusals(wanted, t.part.filter("not (p_partkey % 11 = 0 and p_size % 2 = 0)").select(F.col("p_partkey").alias("id")), 0.25)
