@@ -752,7 +752,7 @@ def test_query_equals_sql(spark, name, tmp_path):
     folder = "/root/testdata/sf0.001"
     got = queries.queries()[name](spark, folder).toPandas()
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings"):
+    for t in ("documents", "benchmark", "embeddings", "labels", "pages"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name]).df()
     plain = lambda df: sorted(map(str, df[sorted(df.columns)].astype(object).itertuples(index=False, name=None)))
