@@ -28,7 +28,9 @@ def bracket(rows: DataFrame, breaks: DataFrame, group: list[str], at: str) -> Da
     spread = cut(whole.repartitionByRange(*group, at, "_row", "_salt").withColumn("_part", F.spark_partition_id()), "ranges")
     own = W.partitionBy(*group, "_part").orderBy(at, "_row")
     spread = spread.withColumn("_low", F.last("_break", ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, 0)))
-    spread = spread.withColumn("_high", F.first("_break", ignorenulls=True).over(own.rowsBetween(1, W.unboundedFollowing)))
+    # upwards from the end: a frame that ends there is read anew for every row
+    back = W.partitionBy(*group, "_part").orderBy(F.desc(at), F.desc("_row"))
+    spread = spread.withColumn("_high", F.last("_break", ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, 0)))
     # the ends of every partition of a group, to those after and before it
     ends = spread.filter("_row = 0").groupBy(*group, "_part").agg(F.max_by("_break", at).alias("_last"), F.min_by("_break", at).alias("_first"))
     parts = spread.select(*group, "_part").distinct().join(ends.withColumnsRenamed({g: f"_g_{g}" for g in group} | {"_part": "_p"}), _same(group, F.col("_part") == F.col("_p")), "left")
@@ -36,7 +38,7 @@ def bracket(rows: DataFrame, breaks: DataFrame, group: list[str], at: str) -> Da
     carried = parts.select(
         *(F.col(g).alias(f"_g_{g}") for g in group), F.col("_part").alias("_p"),
         F.last("_last", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
-        F.first("_first", ignorenulls=True).over(order.rowsBetween(1, W.unboundedFollowing)).alias("_after"))
+        F.last("_first", ignorenulls=True).over(W.partitionBy(*group).orderBy(F.desc("_part")).rowsBetween(W.unboundedPreceding, -1)).alias("_after"))
     met = spread.filter("_row = 1").join(carried, _same(group, F.col("_part") == F.col("_p")), "left")
     found = F.col(at).isNotNull()
     return met.select("_kept.*", F.when(found, F.coalesce("_low", "_before")).alias("low"), F.when(found, F.coalesce("_high", "_after")).alias("high"))
