@@ -10,8 +10,8 @@ each ridge (a facet less one corner) its plane is turned until it meets the next
 in one plane, are split alike everywhere by lifting every composition by a fixed tiny amount (below ``LIFT``) of its own.
 
 Only the least energy of a composition can be a corner, and no compound above the plane of its end members, so both are
-dropped first. Systems of more than ``ONE_TASK`` compositions are walked in parts, of which only the corners go on. Entries are
-salted over tasks, the facets repeated.
+dropped first. Systems of more than ``ONE_TASK`` compositions are walked in parts, of which only the corners go on. Compositions
+are salted over tasks, the facets repeated; entries take what their composition got.
 """
 
 from __future__ import annotations
@@ -23,10 +23,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from funnelspark.sources.folders import broadcast_if, cut
+
 STABLE = 1e-9
 LIFT = 1e-11
 SALTS = 16
 ONE_TASK = 20_000
+#: Placed compositions, of some 200 bytes each, that may be broadcast.
+BROADCAST_POINTS = 50_000
 CORNER = "array<struct<id:{id},fractions:array<double>,e:double>>"
 
 
@@ -149,19 +153,20 @@ def edges(complexes: DataFrame) -> DataFrame:
 
 def placed(entries: DataFrame, complexes: DataFrame, k: int) -> DataFrame:
     """Adds hull, e_above_hull, formation, stable and decomposition (id, amount of the corners that the hull mixes there) to every
-    row of entries(id, sys, fractions, e, ..); nulls where the system has no facets or the row no energy or composition."""
-    kinds = {f.name: f.dataType.simpleString() for f in entries.schema}
-    rows = entries.withColumn("_salt", F.pmod(F.xxhash64("id", "fractions"), F.lit(SALTS)))
+    row of entries(id, sys, fractions, e, ..); nulls where the system has no facets or the row no energy or composition.
+
+    A composition is placed once in its system, whatever the number of its entries."""
+    kind = lambda c: entries.schema[c].dataType.simpleString()
+    decomposition = f"array<struct<id:{kind('id')},amount:double>>"
+    schema = f"_of {kind('sys')}, _at array<double>, hull double, _base double, decomposition {decomposition}"
+    points = entries.filter("fractions is not null").select("sys", "fractions").distinct()
+    points = points.join(complexes.select("sys").distinct(), "sys", "left_semi").withColumn("_salt", F.pmod(F.xxhash64("fractions"), F.lit(SALTS)))
     spread = complexes.select(F.col("sys").alias("_of"), "corners", "prices", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_part"))
-    decomposition = f"array<struct<id:{kinds['id']},amount:double>>"
-    schema = ", ".join(f"`{c}` {t}" for c, t in kinds.items()) + f", hull double, e_above_hull double, formation double, stable boolean, decomposition {decomposition}"
 
     def place(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        out = rows.drop(columns="_salt").assign(hull=None, e_above_hull=None, formation=None, stable=None, decomposition=None)
-        ready = [i for i, f in enumerate(rows.fractions) if f is not None] if len(known) else []
-        if not ready:
-            return out
-        x = np.array([rows.fractions.iloc[i] for i in ready], dtype=float)
+        if not len(rows):
+            return pd.DataFrame(columns=["_of", "_at", "hull", "_base", "decomposition"], dtype=object)
+        x = np.array(rows.fractions.tolist(), dtype=float)
         prices = np.array(known.prices.tolist())
         named = [[(c["id"], np.asarray(c["fractions"], dtype=float), c["e"]) for c in corners] for corners in known.corners]
         ends = np.zeros(k)
@@ -178,17 +183,13 @@ def placed(entries: DataFrame, complexes: DataFrame, k: int) -> DataFrame:
             shares = np.linalg.solve(np.array([c[1] for c in named[f]]).T, x[mine].T).T
             for i, share in zip(mine, shares, strict=True):
                 mixed[i] = [{"id": c[0], "amount": float(s)} for c, s in sorted(zip(named[f], share, strict=True), key=lambda z: z[0][1].tolist()) if s > 1e-9]
-        e = rows.e.iloc[ready].to_numpy(dtype=float)
-        have = ~np.isnan(e)
-        columns = {"hull": hull, "e_above_hull": e - hull, "formation": e - x @ ends, "stable": e - hull <= STABLE, "decomposition": mixed}
-        for name, values in columns.items():
-            whole = np.full(len(rows), None, dtype=object)
-            for i, v, known_energy in zip(ready, values, have, strict=True):
-                whole[i] = v if name in ("hull", "decomposition") or known_energy else None
-            out[name] = whole
-        return out
-
-    return rows.groupBy("sys", "_salt").cogroup(spread.groupBy("_of", "_part")).applyInPandas(place, schema)
+        return pd.DataFrame({"_of": rows.sys, "_at": rows.fractions, "hull": hull, "_base": x @ ends, "decomposition": mixed})
+
+    at = points.groupBy("sys", "_salt").cogroup(spread.groupBy("_of", "_part")).applyInPandas(place, schema)
+    at = broadcast_if(cut(at, "points"), BROADCAST_POINTS)
+    out = entries.join(at, (F.col("sys") == F.col("_of")) & (F.col("fractions") == F.col("_at")), "left")
+    e = F.when(~F.isnan("e"), F.col("e"))
+    return out.select(*entries.columns, "hull", (e - F.col("hull")).alias("e_above_hull"), (e - F.col("_base")).alias("formation"), (e - F.col("hull") <= STABLE).alias("stable"), "decomposition")
 
 
 def place(entries: DataFrame, k: int) -> DataFrame:

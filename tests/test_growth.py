@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import ranges
+from funnelspark.operators import facets, ranges
 
 
 def _plan(df):
@@ -25,3 +25,22 @@ def test_brackets_without_frames_that_are_read_anew(spark):
         assert (r.low and r.low.x, r.high and r.high.x) == want and r.x == values[r.id]
     line = ranges.interpolated(rows.filter("x is not null"), spark.createDataFrame([(p, float(p)) for p in points], "x int, v double"), [], "x", "v")
     assert line.filter(F.abs(F.col("v") - F.col("x")) > 1e-9).count() == 0
+
+
+def test_a_composition_is_placed_once(spark):
+    ends = [(-i - 1, s, [float(i == j) for j in range(3)], 0.0) for s in (1, 2) for i in range(3) if (s, i) != (2, 1)]
+    rows = [(i, 1 + i % 3, None if i % 10 == 0 else [0.5, 0.5, 0.0], None if i % 7 == 0 else -i / 100.0) for i in range(60)]
+    rows += [(60, 1, [0.25, 0.25, 0.5], -0.1)]
+    kinds = "id long, sys int, fractions array<double>, e double"
+    entries, compounds = spark.createDataFrame(rows + ends, kinds), spark.createDataFrame(rows, kinds)
+    out = facets.placed(compounds, facets.facets(entries, 3), 3)
+    assert "flatmapcogroups" not in _plan(out)  # what is left of the plan is a join
+    low = min(e for _, s, f, e in rows if s == 1 and f == [0.5, 0.5, 0.0] and e is not None)
+    got = {r.id: r for r in out.collect()}
+    assert len(got) == len(rows)
+    for i, s, f, e in rows:
+        r, hull = got[i], None if s != 1 or f is None else low * (0.5 if i == 60 else 1)
+        assert (r.hull is None) == (hull is None) and (hull is None or abs(r.hull - hull) < 1e-9)
+        assert (r.e_above_hull is None) == (r.stable is None) == (r.formation is None) == (hull is None or e is None)
+        assert r.e_above_hull is None or abs(r.e_above_hull - (e - hull)) < 1e-9 and abs(r.formation - e) < 1e-9 and r.stable == (e - hull <= 1e-9)
+        assert (r.decomposition is None) == (hull is None) and (hull is None or abs(sum(d.amount for d in r.decomposition) - 1) < 1e-9)
