@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import facets, ranges
+from funnelspark.operators import dedup, facets, ranges
 
 
 def _plan(df):
@@ -44,3 +44,21 @@ def test_a_composition_is_placed_once(spark):
         assert (r.e_above_hull is None) == (r.stable is None) == (r.formation is None) == (hull is None or e is None)
         assert r.e_above_hull is None or abs(r.e_above_hull - (e - hull)) < 1e-9 and abs(r.formation - e) < 1e-9 and r.stable == (e - hull <= 1e-9)
         assert (r.decomposition is None) == (hull is None) and (hull is None or abs(sum(d.amount for d in r.decomposition) - 1) < 1e-9)
+
+
+def test_few_candidates_of_overlapping_sets(spark):
+    """Sets that share what is left of their prefixes only, or too few tokens of most buckets, go before they are shuffled."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    sets = [sorted(rng.sample(words, 60)) for _ in range(60)]
+    sets += [[*s[:-rng.randrange(1, 8)], f"x{i}"] for i, s in enumerate(sets[:30])] + [sets[0], [], ["w1"], ["w1"]]
+    rows = spark.createDataFrame([(i, 1, s) for i, s in enumerate(sets)], "id int, b int, t array<string>")
+    alike = {(i, j) for j in range(len(sets)) for i in range(j) if sets[i] and len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]})}
+    assert {(r.id_a, r.id_b) for r in dedup.overlap_pairs(rows, ["b"], "id", "t", 0.8).collect()} == alike
+    ordered = dedup.ordered_sets(rows, ["b"], "id", "t")
+    pairs = spark.createDataFrame([(i, j) for j in range(90) for i in range(j)], "id_a int, id_b int")
+    left = {(r.id_a, r.id_b) for r in dedup._bounded(pairs, ordered, ordered, 0.8).collect()}
+    assert {p for p in alike if p[1] < 90} <= left and len(left) < 100 < pairs.count()
+    meet = spark.createDataFrame([(0, 1, 60, 60, 5, 5), (2, 3, 60, 60, 12, 3)], "id_a int, id_b int, n_a int, n_b int, i_a int, i_b int")
+    assert {r.id_a for r in dedup._candidates(meet, 0.8).collect()} == {0}
+    assert "n_a#" in (plan := dedup._candidates(meet, 0.8)._jdf.queryExecution().optimizedPlan().toString()) and plan.count("Filter") == 2  # one before the sums
