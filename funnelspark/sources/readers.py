@@ -117,7 +117,9 @@ def scheduler_text(spark: SparkSession, path: str, columns: list[str]) -> DataFr
 
 
 def keyed_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A CSV with header by key: rows of blank key are skipped and the last of a key wins, by place in the file."""
-    df = spark.read.option("header", True).csv(path).withColumn("_at", F.monotonically_increasing_id())
-    df = df.filter(F.coalesce(F.trim(key), F.lit("")) != "")
-    return df.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(F.desc("_at")))).filter("_r = 1").drop("_r", "_at")
+    """A CSV with header by key: rows of blank key are skipped and the last of a key wins, by place in the file and files by name."""
+    df = spark.read.option("header", True).csv(path)
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = df.select(at.alias("_at"), F.struct(*df.columns).alias("_row")).filter(F.coalesce(F.trim(F.col("_row")[key]), F.lit("")) != "")
+    last = rows.groupBy(F.col("_row")[key].alias("_k")).agg(F.max_by("_row", "_at").alias("_row"))
+    return last.select("_row.*")

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from funnelspark.operators import dedup, facets, ranges
+from funnelspark.sources import readers
 
 
 def _plan(df):
@@ -62,3 +63,12 @@ def test_few_candidates_of_overlapping_sets(spark):
     meet = spark.createDataFrame([(0, 1, 60, 60, 5, 5), (2, 3, 60, 60, 12, 3)], "id_a int, id_b int, n_a int, n_b int, i_a int, i_b int")
     assert {r.id_a for r in dedup._candidates(meet, 0.8).collect()} == {0}
     assert "n_a#" in (plan := dedup._candidates(meet, 0.8)._jdf.queryExecution().optimizedPlan().toString()) and plan.count("Filter") == 2  # one before the sums
+
+
+def test_keyed_csv_of_many_parts(spark, tmp_path):
+    """The last of a key by name of file and place in it, though Spark reads large files first; no sort of a key's rows."""
+    (tmp_path / "a.csv").write_text("k,v\n" + "".join(f"{i % 7},{i}\n" for i in range(5000)) + " ,9\n")
+    (tmp_path / "b.csv").write_text("k,v\n1,first\n1,last\n8,x\n")
+    got = readers.keyed_csv(spark, str(tmp_path), "k")
+    want = {str(i % 7): str(i) for i in range(5000)} | {"1": "last", "8": "x"}
+    assert {r.k: r.v for r in got.collect()} == want and got.columns == ["k", "v"] and "window" not in _plan(got)
