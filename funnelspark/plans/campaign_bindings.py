@@ -11,7 +11,7 @@ from funnelspark.operators import claims, periodic, store
 from funnelspark.plans import report
 from funnelspark.plans.bindings import long, query, r
 from funnelspark.plans.feed_bindings import _CELLS, _cells, _folder
-from funnelspark.sources import campaign, sinks
+from funnelspark.sources import campaign, sinks, trees
 from funnelspark.sources.snapshots import Snapshots
 from funnelspark.streaming import cycle, lifecycle
 
@@ -27,7 +27,7 @@ def _tree(t, name: str) -> str:
     met = F.when(F.col("structure") % 4 > 0, "accuracy reached").otherwise("")
     log = F.concat_ws("\n", F.lit("energy = 0.5"), energy, met, ended)
     folder = _folder(t, name)
-    rows.select("formula", "structure", "step", log.alias("value")).repartition(4).write.partitionBy("formula", "structure", "step").text(folder)
+    trees.write_tree(rows.select("formula", "structure", "step", log.alias("log")), folder, ["formula", "structure", "step"], "log")
     return folder
 
 

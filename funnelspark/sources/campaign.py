@@ -6,12 +6,14 @@ before any content is read. Of each run the newest step wins, and only the files
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.functions.values import last_match
+from funnelspark.sources import mounted
 from funnelspark.sources.trees import run_tree
 
 #: Files whose paths go into one read.
@@ -35,14 +37,13 @@ def first_groups(tree: DataFrame, group: str, limit: int | None) -> DataFrame:
 
 
 def contents(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """files with ``content`` (text) of each path, read in chunks of paths; nothing else is opened."""
-    out = None
-    for some in batched((r.path for r in files.select("path").toLocalIterator()), CHUNK):
-        part = spark.read.format("binaryFile").load(list(some)).select("path", F.col("content").cast("string").alias("content"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = spark.createDataFrame([], "path string, content string")
-    return files.join(out, "path")
+    """files with ``content`` (text) of each path; nothing else is opened. Tasks read what they mount, the rest is read in chunks of paths."""
+    near = F.startswith("path", F.lit("file:"))
+    out = mounted.contents(files.filter(near)).withColumn("content", F.col("content").cast("string"))
+    far, parts = files.filter(~near), []
+    for some in batched((r.path for r in far.select("path").toLocalIterator()), CHUNK):
+        parts.append(spark.read.format("binaryFile").load(list(some)).select("path", F.col("content").cast("string").alias("content")))
+    return out.unionByName(far.join(reduce(DataFrame.unionByName, parts), "path")) if parts else out
 
 
 def runs(spark: SparkSession, root: str, pattern: str, names: list[str], run: list[str], step: str, chosen: Column | None = None, limit: int | None = None) -> DataFrame:

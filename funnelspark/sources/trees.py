@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.operators.guards import Refused
+from funnelspark.sources import mounted
 
 FRAME = "path string, frame int, symbols array<string>, cell array<double>, positions array<array<double>>, fault string"
 
@@ -54,11 +56,24 @@ def extxyz_text(symbols: Column, positions: Column, cell: Column) -> Column:
 
 def run_tree(spark: SparkSession, path: str, pattern: str, names: list[str]) -> DataFrame:
     """path, length, modificationTime and the parts of the path that a pattern names, of every file under a root; content isn't read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    at = mounted.local(spark, path)
+    if at is not None and os.path.isdir(at):
+        files = mounted.listed(spark, at)
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     parts = [F.regexp_extract("path", pattern, i + 1).alias(n) for i, n in enumerate(names)]
     return files.filter(F.col("path").rlike(pattern)).select("path", "length", "modificationTime", *parts)
 
 
+def write_tree(rows: DataFrame, path: str, parts: list[str], value: str) -> None:
+    """A text file a row, in the folder that its parts name; no two rows share a folder."""
+    at = mounted.local(rows.sparkSession, path)
+    if at is not None:
+        mounted.write_text(rows, at, parts, value)
+    else:
+        rows.select(*parts, F.col(value).alias("value")).write.partitionBy(*parts).text(path)
+
+
 def discovered(tree: DataFrame, owner: str, run: str) -> DataFrame:
     """One row a run of a tree: number and size of its files, the newest of them."""
     return tree.groupBy(owner, run).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("newest"))

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from funnelspark.operators import dedup, facets, ranges
-from funnelspark.sources import readers
+from funnelspark.sources import campaign, readers, trees
 
 
 def _plan(df):
@@ -72,3 +72,25 @@ def test_keyed_csv_of_many_parts(spark, tmp_path):
     got = readers.keyed_csv(spark, str(tmp_path), "k")
     want = {str(i % 7): str(i) for i in range(5000)} | {"1": "last", "8": "x"}
     assert {r.k: r.v for r in got.collect()} == want and got.columns == ["k", "v"] and "window" not in _plan(got)
+
+
+def test_trees_are_listed_read_and_written_by_tasks(spark, tmp_path):
+    """As Spark's own listing has it, in several rounds; no path goes through the driver, no file through Spark's writer by partition."""
+    (tmp_path / "a b" / "_x").mkdir(parents=True)
+    for name in ("a b/one", "a b/_x/no", "a b/.no", "_k=1", "%20", "_no"):
+        (tmp_path / name).write_text(name)
+    for i in range(10_050):
+        (tmp_path / "wide" / str(i)).mkdir(parents=True)
+    for i in (3, 9_999):
+        (tmp_path / "wide" / str(i) / "f").write_text("é\n")
+    (tmp_path / "gone").symlink_to(tmp_path / "nowhere")
+    tree = trees.run_tree(spark, str(tmp_path), r"([^/]+)$", ["name"])
+    own = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path)).select("path", "length", "modificationTime", "content")
+    assert sorted(tree.drop("name").collect()) == sorted(own.drop("content").collect()) and tree.count() == 5
+    read = campaign.contents(spark, tree)
+    assert "binaryfile" not in _plan(read)
+    assert {(r.path, r.content) for r in read.collect()} == {(r.path, bytes(r.content).decode()) for r in own.collect()}
+    rows = spark.createDataFrame([(i % 3, i, f"v{i}") for i in range(50)], "a int, b int, v string")
+    trees.write_tree(rows, f"file://{tmp_path}/out", ["a", "b"], "v")
+    assert {(r.a, r.b, r.value) for r in spark.read.text(f"{tmp_path}/out").collect()} == {tuple(r) for r in rows.collect()}
+    assert not list((tmp_path / "out").rglob(".*"))  # neither checksums nor what was not yet whole
