@@ -117,9 +117,9 @@ def counts_of(symbols: Column, only: Column | None = None) -> Column:
 
 def subsystems(elements: Column) -> Column:
     """All non-empty subsets of a sorted list, as ``-``-joined keys: 2 ** k of them, so for short lists."""
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size(elements)) - 1).cast("int"))
-    subset = lambda m: F.array_join(F.filter(elements, lambda _, i: F.pmod(F.floor(m / F.pow(F.lit(2), i)), F.lit(2)) == 1), "-")
-    return F.when(F.size(elements) > 0, F.transform(masks, subset)).otherwise(F.array().cast("array<string>"))
+    # each element doubles the subsets so far, the empty one (null) first
+    grown = lambda acc, e: F.concat(acc, F.transform(acc, lambda s: F.coalesce(F.concat(s, F.lit("-"), e), e)))
+    return F.aggregate(elements, F.array(F.lit(None).cast("string")), grown, lambda acc: F.array_compact(acc))
 
 
 def target_count(n: Column, fixed: Column | None = None, per_atom: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import dedup, facets, ranges
+from funnelspark.operators import coverage, dedup, facets, ranges
 from funnelspark.sources import campaign, readers, trees
 
 
@@ -94,3 +94,18 @@ def test_trees_are_listed_read_and_written_by_tasks(spark, tmp_path):
     trees.write_tree(rows, f"file://{tmp_path}/out", ["a", "b"], "v")
     assert {(r.a, r.b, r.value) for r in spark.read.text(f"{tmp_path}/out").collect()} == {tuple(r) for r in rows.collect()}
     assert not list((tmp_path / "out").rglob(".*"))  # neither checksums nor what was not yet whole
+
+
+def test_containment_by_numbers(spark):
+    """Systems of few and of many elements, small and large targets: as sets have it, without strings of subsystems being shuffled."""
+    rng = random.Random(5)
+    for n, most in ((9, 16), (9, 3), (80, 4)):
+        names = [f"E{i:02}" for i in range(n)]
+        rows = spark.createDataFrame([("-".join(sorted(rng.sample(names, rng.randrange(1, 7)))),) for _ in range(300)] + [(None,)], "chemsys string")
+        keys = [r.chemsys for r in rows.collect() if r.chemsys]
+        want = {t: sum(set(s.split("-")) <= set(t.split("-")) for s in keys) for t in keys}
+        out = coverage.containment_counts(rows, rows, most=most)
+        assert {r.target: r.n for r in out.collect()} == want
+        assert "array_join" not in _plan(out)
+        pairs = coverage.contained(rows, rows.limit(50), most=most)
+        assert pairs.count() == sum(want[t] for t in {r.chemsys for r in rows.limit(50).collect() if r.chemsys})
