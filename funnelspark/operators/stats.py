@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from funnelspark.sources.folders import cut
 
+#: Distinct values of a column whose ranks are sent to all tasks, a few numbers each.
+RANKS = 200_000
+
 
 def parity(points: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     """n, mae, rmse, bias, worst of a - b by group, over pairs with both values."""
@@ -18,22 +21,25 @@ def parity(points: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     return both.groupBy(*group).agg(F.count("*").alias("n"), F.avg(F.abs("_e")).alias("mae"), F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("rmse"), F.avg("_e").alias("bias"), F.max(F.abs("_e")).alias("worst"))
 
 
-def running_counts(counts: DataFrame, group: list[str], column: str, n: str) -> DataFrame:
-    """Adds ``_below``, how many rows of the group have a smaller value, to counts by distinct value.
+def running_counts(counts: DataFrame, group: list[str], column: str, n: str | list[str]) -> DataFrame:
+    """Adds ``_below``, how many rows of the group have a smaller value, to counts by distinct value (of a list of counts: ``_below_`` and its name).
 
     The counts are dealt over ranges of (group, value) once; a value has below it those of its own part and the totals of the
     group's parts before, so no window holds a group. Nulls are smallest, as in an ascending order."""
+    names = {n: "_below"} if isinstance(n, str) else {c: f"_below_{c}" for c in n}
     spread = counts.repartitionByRange(*group, column).withColumn("_part", F.spark_partition_id())
     spread = cut(spread, "ranges")
-    totals = spread.groupBy(*group, "_part").agg(F.sum(n).alias("_t"))
-    before = (F.sum("_t").over(W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("_t")).alias("_before")
-    totals = totals.select(*(F.col(g).alias(f"_g_{g}") for g in group), F.col("_part").alias("_p"), before)
-    inside = F.sum(n).over(W.partitionBy(*group, "_part").orderBy(column).rowsBetween(W.unboundedPreceding, 0)) - F.col(n)
+    totals = spread.groupBy(*group, "_part").agg(*(F.sum(c).alias(f"_t_{c}") for c in names))
+    before = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, 0)
+    earlier = [(F.sum(f"_t_{c}").over(before) - F.col(f"_t_{c}")).alias(f"_before_{c}") for c in names]
+    totals = totals.select(*(F.col(g).alias(f"_g_{g}") for g in group), F.col("_part").alias("_p"), *earlier)
+    inside = W.partitionBy(*group, "_part").orderBy(column).rowsBetween(W.unboundedPreceding, 0)
     same = F.col("_part") == F.col("_p")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    out = spread.withColumn("_inside", inside).join(totals, same).withColumn("_below", F.col("_before") + F.col("_inside"))
-    return out.drop("_part", "_p", "_before", "_inside", *(f"_g_{g}" for g in group))
+    out = spread.withColumns({f"_inside_{c}": F.sum(c).over(inside) - F.col(c) for c in names}).join(totals, same)
+    out = out.withColumns({name: F.col(f"_before_{c}") + F.col(f"_inside_{c}") for c, name in names.items()})
+    return out.drop("_part", "_p", *(f"_before_{c}" for c in names), *(f"_inside_{c}" for c in names), *(f"_g_{g}" for g in group))
 
 
 def average_ranks(rows: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
@@ -58,6 +64,38 @@ def spearman(points: DataFrame, group: list[str], a: str, b: str, least: int = 2
     return sums.select(*group, "n", rho.alias("rho"))
 
 
+def _rho(n: Column, sxx: Column, syy: Column, sxy: Column, least: int) -> Column:
+    square = n * ((n + 1) / 2.0) * ((n + 1) / 2.0)  # of the mean rank of either side
+    return F.when(n >= least, F.try_divide(sxy - square, F.nullif(F.sqrt((sxx - square) * (syy - square)), F.lit(0.0))))
+
+
+def rank_correlations(rows: DataFrame, columns: list[str], least: int = 2) -> DataFrame:
+    """a, b, n, rho: spearman of every pair of columns over the rows that have both.
+
+    Every column is ranked once, beside each of the others (among the rows that have that one too), and all pairs are summed in one
+    pass: rows aren't copied for each pair."""
+    rows = rows.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    at, k = {c: i for i, c in enumerate(columns)}, len(columns)
+    each = rows.select(F.explode(F.array(*(F.struct(F.lit(at[c]).alias("c"), F.col(c).alias("v"), *(F.col(d).isNotNull().cast("int").alias(f"n{at[d]}") for d in columns)) for c in columns))).alias("s")).select("s.*")
+    beside = [f"n{i}" for i in range(k)]
+    counts = each.filter("v is not null").groupBy("c", "v").agg(*(F.sum(n).alias(n) for n in beside))
+    ranks = running_counts(counts, ["c"], "v", beside)
+    ranks = cut(ranks.select("c", "v", *((F.col(f"_below_{n}") + (F.col(n) + 1) / 2.0).alias(f"r{i}") for i, n in enumerate(beside))), "ranks")
+    sizes = {r.c: r["count"] for r in ranks.groupBy("c").count().collect()}
+    for c in sorted(columns, key=lambda c: -sizes.get(at[c], 0)):
+        own = ranks.filter(F.col("c") == at[c]).select(F.col("v").alias(f"_v{at[c]}"), *(F.col(f"r{i}").alias(f"_r{at[c]}_{i}") for i in range(k) if i != at[c]))
+        own = F.broadcast(own) if sizes.get(at[c], 0) <= RANKS else own
+        rows = rows.join(own, F.col(c) == F.col(f"_v{at[c]}"), "left").drop(f"_v{at[c]}")
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    sums = []
+    for i, j in pairs:
+        both, x, y = F.col(columns[i]).isNotNull() & F.col(columns[j]).isNotNull(), F.col(f"_r{i}_{j}"), F.col(f"_r{j}_{i}")
+        total = lambda v, both=both: F.sum(F.when(both, v))
+        sums.append(F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.count_if(both).alias("n"), total(x * x).alias("xx"), total(y * y).alias("yy"), total(x * y).alias("xy")))
+    out = rows.agg(F.array(*sums).alias("s")).select(F.explode("s").alias("s")).select("s.*").filter("n > 0")
+    return out.select("a", "b", "n", _rho(F.col("n"), F.col("xx"), F.col("yy"), F.col("xy"), least).alias("rho"))
+
+
 def share_weighted_mae(points: DataFrame, part: str, error: str, share: str) -> DataFrame:
     """part, n, mae: mean over the points that hold a part of |error| times its share (not divided by the shares)."""
     return points.groupBy(part).agg(F.count("*").alias("n"), F.avg(F.abs(error) * F.col(share)).alias("mae"))

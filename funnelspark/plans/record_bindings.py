@@ -450,9 +450,7 @@ _PAIRS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
        + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr(r{i}, r{j}), 6) + 0.0 AS rho, abs(corr(r{i}, r{j})) > 0.9 AS collinear FROM r" for i, a in enumerate(_PAIRS) for j, b in enumerate(_PAIRS) if i < j))
 def collinearity(t):
     """Rank correlation of every pair of descriptors; a pair above 0.9 says the same twice."""
-    pairs = [(a, b) for i, a in enumerate(_PAIRS) for b in _PAIRS[i + 1 :]]
-    spread = t.lineitem.select(F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs))).alias("p")).select("p.*")
-    rho = stats.spearman(spread, ["a", "b"], "x", "y")
+    rho = stats.rank_correlations(t.lineitem, list(_PAIRS))
     return rho.select("a", "b", (r("rho", 6) + 0.0).alias("rho"), (F.abs("rho") > 0.9).alias("collinear"))
 
 

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import coverage, dedup, facets, ranges
+from funnelspark.operators import coverage, dedup, facets, ranges, stats
 from funnelspark.sources import campaign, readers, trees
 
 
@@ -109,3 +109,17 @@ def test_containment_by_numbers(spark):
         assert "array_join" not in _plan(out)
         pairs = coverage.contained(rows, rows.limit(50), most=most)
         assert pairs.count() == sum(want[t] for t in {r.chemsys for r in rows.limit(50).collect() if r.chemsys})
+
+
+def test_every_column_is_ranked_once(spark):
+    """All pairs of columns as spearman has each, with nulls, ties, a constant column and one without values; rows aren't copied by pair."""
+    rng = random.Random(6)
+    rows = [(i % 7 / 2.0, None if i % 5 == 0 else rng.random(), None if i % 3 == 0 else rng.randrange(20), 4, None) for i in range(400)]
+    df = spark.createDataFrame(rows, "p double, q double, r int, s int, t double")
+    out = stats.rank_correlations(df, ["p", "q", "r", "s", "t"])
+    got = {(x.a, x.b): (x.n, x.rho) for x in out.collect()}
+    want = {(a, b): stats.spearman(df, [], a, b).first() for i, a in enumerate("pqrs") for b in "pqrs"[i + 1 :]}
+    assert got.keys() == want.keys()
+    for k, (n, rho) in got.items():
+        assert n == want[k].n and (rho is None) == (want[k].rho is None) and (rho is None or abs(rho - want[k].rho) < 1e-9)
+    assert got["p", "q"][1] is not None and got["p", "s"][1] is None and _plan(out).count("generate explode") <= 1
