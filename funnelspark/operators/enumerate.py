@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import formula as fm
 from funnelspark.operators.ranking import numbered
+from funnelspark.sources.folders import cut
+
+#: Vectors of counts that are sent to all tasks.
+VECTORS = 200_000
 
 
 def stoichiometries(spark: SparkSession, k: int, most: int, reduced: bool = True) -> DataFrame:
@@ -81,18 +85,27 @@ def chemical_spaces(groups: DataFrame, top_k: int, max_rare_earths: int | None =
     masks = F.sequence(F.lit(0).cast("long"), F.pow(F.lit(2.0), F.size("elements")).cast("long") - 1)
     own = F.transform(masks, lambda m: F.filter(F.array_sort("elements"), lambda _, i: F.getbit(m, i) == 1))
     fits = sound.withColumn("subsets", F.filter(own, lambda s: (F.size(s) >= F.col("least")) & (F.size(s) <= F.col("most_of"))))
-    whole = fits.groupBy("space").agg(F.array_sort(F.collect_list(F.struct("grp", "subsets", "elements", "low", "high"))).alias("g"), F.max("most").alias("most"))  # a space's groups
-    crossed = F.aggregate("g", F.array(F.array().cast("array<string>")), lambda acc, g: F.flatten(F.transform(acc, lambda a: F.transform(g["subsets"], lambda b: F.concat(a, b)))))
-    sets = whole.select("space", "g", "most", F.explode(crossed).alias("elements")).withColumn("k", F.size("elements")).filter("k > 0")
+    whole = fits.groupBy("space").agg(F.array_sort(F.collect_list(F.struct("grp", "subsets", "low", "high"))).alias("g"), F.max("most").alias("most"))  # a space's groups
+    own_of = lambda b, i: F.transform(b, lambda e: F.struct(e.alias("e"), i.alias("i")))
+    marked = F.transform("g", lambda g, i: F.transform(g["subsets"], lambda b: own_of(b, i)))
+    crossed = F.aggregate(marked, F.array(F.array().cast("array<struct<e:string,i:int>>")), lambda acc, g: F.flatten(F.transform(acc, lambda a: F.transform(g, lambda b: F.concat(a, b)))))
+    sets = whole.select("space", "g", "most", F.explode(crossed).alias("_c")).select("space", "g", "most", F.array_sort("_c").alias("_c"))
+    # all that a choice has in common for its vectors
+    sets = sets.select("space", F.transform("g", lambda g: F.struct(g["grp"], g["low"], g["high"])).alias("g"), "most", F.col("_c.e").alias("elements"), F.col("_c.i").alias("_i")).withColumn("k", F.size("elements")).filter("k > 0")
+    sets = sets.withColumn("chemsys", F.array_join("elements", "-"))
     if max_rare_earths is not None:
         sets = sets.filter(F.size(F.array_intersect("elements", F.array(*map(F.lit, fm.RARE_EARTHS)))) <= max_rare_earths)
-    rows = stoichiometries_of(sets, "k", "most", top_k).withColumn("counts", F.map_from_arrays("elements", F.transform("v", lambda n: n.cast("long"))))
-    rows = rows.withColumns({"formula": fm.canonical(F.col("counts")), "chemsys": fm.chemsys(F.col("counts")), "n_atoms": fm.n_atoms(F.col("counts"))})
-    share = lambda g: F.aggregate(F.map_entries("counts"), F.lit(0).cast("long"), lambda a, e: a + F.when(F.array_contains(g["elements"], e["key"]), e["value"]).otherwise(0)) / F.col("n_atoms")
-    below, above = lambda g: share(g) < g["low"] - 1e-12, lambda g: share(g) > g["high"] + 1e-12
-    faults = F.transform(F.filter("g", lambda g: F.coalesce(below(g), F.lit(False)) | F.coalesce(above(g), F.lit(False))), lambda g: F.concat(g["grp"], F.when(F.coalesce(below(g), F.lit(False)), F.lit(" below its share")).otherwise(F.lit(" above its share"))))
-    judged = rows.withColumn("reason", F.get(faults, F.lit(0)))
-    return judged.filter("reason is null").select("space", "formula", "chemsys", "counts", "n_atoms"), judged.filter("reason is not null").select("space", "formula", "reason"), twice
+    sizes = groups.select("most").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(top_k))))
+    vectors = cut(stoichiometries_of(sizes, "k", "most", top_k), "vectors")
+    rows = sets.join(F.broadcast(vectors), ["k", "most"]) if vectors.count() <= VECTORS else stoichiometries_of(sets, "k", "most", top_k)
+    rows = rows.withColumn("n_atoms", F.aggregate("v", F.lit(0).cast("long"), lambda a, n: a + n))
+    held = lambda i: F.aggregate(F.zip_with("_i", "v", lambda j, n: F.when(j == i, n).otherwise(0)), F.lit(0).cast("long"), lambda a, n: a + n)
+    rows = rows.withColumn("_share", F.transform("g", lambda g, i: F.when(g["low"].isNotNull() | g["high"].isNotNull(), held(i) / F.col("n_atoms"))))
+    fault = lambda g, s: F.when(s < g["low"] - 1e-12, F.concat(g["grp"], F.lit(" below its share"))).when(s > g["high"] + 1e-12, F.concat(g["grp"], F.lit(" above its share")))
+    judged = rows.withColumn("reason", F.get(F.array_compact(F.zip_with("g", "_share", fault)), F.lit(0)))
+    formula = F.array_join(F.zip_with("elements", "v", lambda e, n: F.concat(e, n.cast("string"))), "").alias("formula")
+    counts = F.map_from_arrays("elements", F.transform("v", lambda n: n.cast("long"))).alias("counts")
+    return judged.filter("reason is null").select("space", formula, "chemsys", counts, "n_atoms"), judged.filter("reason is not null").select("space", formula, "reason"), twice
 
 
 def expand_z(formulas: DataFrame, z_min: str, z_max: str, max_atoms: int) -> tuple[DataFrame, DataFrame]:

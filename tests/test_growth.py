@@ -1,11 +1,13 @@
 """Steps that once grew faster than their input: what they must not do, and that their results are the same."""
 
 import bisect
+import itertools
+import math
 import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import coverage, dedup, facets, ranges, stats
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, stats
 from funnelspark.sources import campaign, readers, trees
 
 
@@ -123,3 +125,20 @@ def test_every_column_is_ranked_once(spark):
     for k, (n, rho) in got.items():
         assert n == want[k].n and (rho is None) == (want[k].rho is None) and (rho is None or abs(rho - want[k].rho) < 1e-9)
     assert got["p", "q"][1] is not None and got["p", "s"][1] is None and _plan(out).count("generate explode") <= 1
+
+
+def test_vectors_of_counts_are_made_once(spark):
+    """Spaces of the same size share their vectors, whose common divisors aren't taken anew for every choice; by hand it's the same."""
+    rows = [(s, m, g, e, *b) for s, m in ((1, 4), (2, 4), (3, 3)) for g, e, b in (("a", ["Fe", "Co"], (1, 2, 0.5, None)), ("b", ["B", "F"], (0, 1, None, 0.3)), ("c", ["Si"], (0, 1, None, None)))]
+    df = spark.createDataFrame(rows, "space int, most int, grp string, elements array<string>, least int, most_of int, low double, high double")
+    kept, rejected, refused = en.chemical_spaces(df, 3)
+    assert "v#" in _plan(kept) and "log2" not in _plan(kept) and refused.count() == 0
+    want = {}
+    for s, m in ((1, 4), (2, 4), (3, 3)):
+        for fe, co, b, f, si in itertools.product(range(m + 1), repeat=5):
+            n = {"Fe": fe, "Co": co, "B": b, "F": f, "Si": si}
+            n, total = {e: x for e, x in sorted(n.items()) if x}, fe + co + b + f + si
+            if fe + co and not (b and f) and total <= m and len(n) <= 3 and math.gcd(*n.values()) == 1:
+                want[s, "".join(f"{e}{x}" for e, x in n.items())] = ("a below its share" if (fe + co) / total < 0.5 else "b above its share" if (b + f) / total > 0.3 else None, "-".join(n), n, total)
+    assert {(r.space, r.formula): (None, r.chemsys, r.counts, r.n_atoms) for r in kept.collect()} == {k: v for k, v in want.items() if v[0] is None}
+    assert {(r.space, r.formula): r.reason for r in rejected.collect()} == {k: v[0] for k, v in want.items() if v[0]}
