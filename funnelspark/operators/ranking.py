@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from funnelspark.sources.folders import cut
 
+#: Rows that a task sorts, where their number is known.
+PART = 1_000_000
+
 
 def pareto_front(rows: DataFrame, group: list[str], least: str, most: str, parts: int = 1) -> DataFrame:
     """Rows that none dominates (least down, most up, one strictly); ties stay, nulls are left out.
@@ -61,20 +64,30 @@ def step_consistency(rows: DataFrame, group: str, seq: str, energy: str, moment:
     return out.withColumn("verdict", F.when(ok, "ok").when(F.col("d_moment") > moment_limit, "moment_changed").otherwise("energy_only"))
 
 
-def numbered(rows: DataFrame, group: list[str], by: list[Column], name: str) -> DataFrame:
+def numbered(rows: DataFrame, group: list[str], by: list[Column], name: str, n_rows: int = 0) -> DataFrame:
     """Adds the place of a row, from 1, in the total order of its group, without a group in one task.
 
-    Rows are range-partitioned and written, so that their parts stay what they are; a row's place is that in its part and the
-    number of rows of its group in the parts before."""
-    spread = cut(rows.repartitionByRange(*map(F.col, group), *by).withColumn("_part", F.spark_partition_id()), "numbered")
-    counts = spread.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
+    Rows are range-partitioned, sorted and written with their place in the part; to that a row adds the number of rows of its
+    group in the parts before, and the part's rows of earlier groups don't count. n_rows, if known, bounds the rows of a part."""
+    keys = [*map(F.col, group), *by]
+    parts = parts_of(rows, n_rows)
+    dealt = rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)
+    place = F.monotonically_increasing_id()  # the part, and 33 bits of the place in it
+    spread = dealt.sortWithinPartitions(*keys).withColumn("_id", place)
+    spread = cut(spread.withColumns({"_part": F.shiftright("_id", 33), "_own": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_id"), "numbered")
+    counts = spread.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_own").alias("_start"))
     before = F.sum("_n").over(W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")
-    offsets = counts.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("_part").alias("_at"), before.alias("_before"))
+    offsets = counts.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("_part").alias("_at"), (before - F.col("_start") + 1).alias("_before"))
     same = spread["_part"] == offsets["_at"]
     for g in group:
         same = same & spread[g].eqNullSafe(offsets[f"_{g}"])
-    own = F.row_number().over(W.partitionBy(*group, "_part").orderBy(*by))
-    return spread.withColumn("_own", own).join(offsets, same).withColumn(name, F.col("_before") + F.col("_own")).drop("_own", "_part", "_at", "_before", *(f"_{g}" for g in group))
+    return spread.join(offsets, same).withColumn(name, F.col("_before") + F.col("_own")).drop("_own", "_part", "_at", "_before", *(f"_{g}" for g in group))
+
+
+def parts_of(rows: DataFrame, n_rows: int) -> int:
+    """How many parts so many rows need beyond the session's, 0 if those do."""
+    n = -(-n_rows // PART)
+    return n if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
 
 
 def claims(rows: DataFrame, by: list[Column], size: int, group: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, stats
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, ranking, stats
 from funnelspark.sources import campaign, readers, trees
 
 
@@ -142,3 +142,17 @@ def test_vectors_of_counts_are_made_once(spark):
                 want[s, "".join(f"{e}{x}" for e, x in n.items())] = ("a below its share" if (fe + co) / total < 0.5 else "b above its share" if (b + f) / total > 0.3 else None, "-".join(n), n, total)
     assert {(r.space, r.formula): (None, r.chemsys, r.counts, r.n_atoms) for r in kept.collect()} == {k: v for k, v in want.items() if v[0] is None}
     assert {(r.space, r.formula): r.reason for r in rejected.collect()} == {k: v[0] for k, v in want.items() if v[0]}
+
+
+def test_places_without_a_window_over_rows(spark, monkeypatch):
+    """Places and hashes of large groups from parts of bounded size: rows are sorted once, in parts, and not again by a window."""
+    rows = spark.createDataFrame([(None if i % 11 == 0 else i % 3, i * 7919 % 5003, f"t{i}") for i in range(5003)], "g int, i int, t string")
+    plain = coverage.chunked_hash(rows, ["g"], ["i"], F.col("t"), 10).collect()
+    monkeypatch.setattr(ranking, "PART", 300)
+    out = ranking.numbered(rows, ["g"], [F.col("i")], "n", 5003)
+    assert "row_number" not in _plan(out) and len(out.inputFiles()) >= 17
+    order = {}
+    for r in sorted(rows.collect(), key=lambda r: r.i):
+        order.setdefault(r.g, []).append(r.i)
+    assert {(r.g, r.i): r.n for r in out.collect()} == {(g, i): n + 1 for g, own in order.items() for n, i in enumerate(own)}
+    assert sorted(coverage.chunked_hash(rows, ["g"], ["i"], F.col("t"), 10).collect(), key=str) == sorted(plain, key=str)
