@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUT = "key string, seq long, before string, after string, kind string, attempt int, wait_s double"
 COLUMNS = ["key", "seq", "before", "after", "kind", "attempt", "wait_s"]
+_ROW = Row(*COLUMNS)
 STATE = "state string, seq long, attempt int"
 
 
@@ -56,22 +57,24 @@ class Life(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.held = handle, handle.getValueState("life", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        asked, newest = [], None
-        for part in rows:
-            asked += list(zip(part.seq.tolist(), part.state.tolist(), strict=True))
-            newest = part.ts.max() if newest is None else max(newest, part.ts.max())
-        out, now = self.rules.fold(key[0], asked, tuple(self.held.get()) if self.held.exists() else None)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        asked, newest = [], 0
+        for r in rows:
+            asked.append((r.seq, r.state))
+            newest = max(newest, r.ms or 0)
+        held = self.held.get()
+        out, now = self.rules.fold(key[0], asked, tuple(held) if held else None)
         self.held.update(now)
         if self.stale_s is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(int(newest.timestamp() * 1000 + self.stale_s * 1000))
-        yield pd.DataFrame(out, columns=COLUMNS)
+            self.handle.registerTimer(int(newest + self.stale_s * 1000))
+        for told in out:
+            yield _ROW(*told)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state, seq, attempt = self.held.get()
-        yield pd.DataFrame([(key[0], seq, state, state, "stale", attempt, None)], columns=COLUMNS)
+        yield _ROW(key[0], seq, state, state, "stale", attempt, None)
 
     def close(self) -> None:
         pass
@@ -80,8 +83,9 @@ class Life(StatefulProcessor):
 def lives(feed: DataFrame, rules: Rules, late: str = "1 hour", stale_s: float | None = None) -> DataFrame:
     """key, seq, before, after, kind (changed, fault, refused or stale), attempt, wait_s of a stream (key string, seq long, state string, ts timestamp)."""
     feed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    grouped = feed.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy("key")
-    return grouped.transformWithStateInPandas(Life(rules, stale_s), OUT, "append", "EventTime" if stale_s is not None else "None")
+    rows = feed.select("key", "seq", "state", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", late)
+    # rows, as a frame for each entity and batch costs more than the few rows in it
+    return rows.withColumn("ms", F.unix_millis("ts")).groupBy("key").transformWithState(Life(rules, stale_s), OUT, "append", "EventTime" if stale_s is not None else "None")
 
 
 def lives_batch(rows: DataFrame, rules: Rules) -> DataFrame:
