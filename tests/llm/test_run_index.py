@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from funnelspark.llm import queries, run_index
 
@@ -125,3 +127,59 @@ def test_query_is_the_brute_force(spark):
     want = sorted((i.doc_id, n, sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest()) for i, (n, spans, kept) in zip(docs, brute([r.text for r in docs], 400), strict=True))
     got = queries.op11_run_index(spark, "/root/testdata/sf0.001").collect()
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
+def brute_words(rows, k):
+    """For each row the number of its words in a run of k words that a row of another id or text also has."""
+    split = [re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode()) for _, t in rows]
+    holders = {}
+    for row, w in zip(rows, split, strict=True):
+        for j in range(len(w) - k + 1):
+            holders.setdefault(tuple(w[j : j + k]), set()).add(row)
+    return [sum(any(len(holders[tuple(w[j : j + k])]) > 1 for j in range(max(0, p - k + 1), min(p, len(w) - k) + 1)) for p in range(len(w))) for w in split]
+
+
+def worded_corpus(seed, k):
+    rng = random.Random(seed)
+    vocabulary = [prose(rng, rng.randrange(1, 8)).replace(" ", "_") or "x" for _ in range(40)]
+    talk = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passages = [talk(n) for n in (k, k - 1, k + 1, 3 * k)]
+    texts = [talk(rng.randrange(0, 6 * k)) for _ in range(20)]
+    texts += [talk(rng.randrange(k)) + rng.choice(passages) + talk(rng.randrange(2 * k)) for _ in range(30)]
+    own = talk(2 * k)
+    texts += [own + talk(3) + own, ["a"] * 9 * k, ["a"] * k, ["a"] * (k - 1), [], passages[3][: k + 2], passages[3][k:]]
+    rows = [(i, "".join(w + rng.choice([" ", "\n", " \t"]) for w in t)) for i, t in enumerate(texts)]
+    rows += [(None, rows[3][1]), (None, None), (5, rows[5][1]), (5, rows[5][1]), (6, rows[22][1]), (90, "\0 \x1f" * 2 * k), (91, "\0\n\x1f " * k)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("k,gram,sizes", [(12, 3, {}), (5, 5, {"shard": 100}), (12, 4, {"hot": 0}), (12, 4, {"hot": 60, "shard": 200}), (51, 8, {})])
+def test_passages_of_words_across_documents(spark, k, gram, sizes):
+    rows = worded_corpus(k, k)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    named = docs.distinct().withColumns({"i": F.xxhash64("doc_id"), "t": F.xxhash64("text", F.length("text"))})
+    got = named.join(run_index.repeated_passages(docs, k, gram, **sizes), ["i", "t"], "left").select("doc_id", "text", F.coalesce("n_repeated_words", F.lit(0)).alias("n")).collect()
+    assert {(r.doc_id, r.text): r.n for r in got} == dict(zip(rows, brute_words(rows, k), strict=True))
+
+
+def test_words_of_long_texts_go_in_pieces(monkeypatch):
+    rng = random.Random(8)
+    texts = [prose(rng, 3000).encode(), b"x" * 900, b" " * 700, b"x" * 300 + b" " + b"y" * 500]
+    whole = [run_index._worded(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)])) for t in texts]
+    monkeypatch.setattr(run_index, "PIECE", 256)
+    for t, (found, ends) in zip(texts, whole, strict=True):
+        again, bounds = run_index._worded(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))
+        assert len(found) == len(t.split()) and np.array_equal(found, again) and np.array_equal(ends, bounds)
+
+
+def test_query_counts_words_of_passages_too_short_to_be_removed(spark, tmp_path):
+    """Passages of 51 words that repeat across documents are caught though they have fewer than 400 bytes."""
+    rng = random.Random(3)
+    talk = lambda n: " ".join(prose(rng, 5, "abcdefgh") for _ in range(n))
+    passage = talk(51)
+    assert len(passage.encode()) < 400
+    texts = [f"{talk(80)} {passage} {talk(60)}", f"{talk(10)}\n{passage}", talk(200), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.n_removed, r.n_repeated_words) for r in queries.op11_run_index(spark, str(tmp_path)).collect())
+    assert got == [(0, 0, 51), (1, 0, 51), (2, 0, 0), (3, 0, 0)]
