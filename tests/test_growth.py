@@ -7,7 +7,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, ranking, stats
+import pytest
+
+from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, ranking, signatures, stats
 from funnelspark.sources import campaign, readers, trees
 
 
@@ -67,6 +69,45 @@ def test_few_candidates_of_overlapping_sets(spark):
     assert "n_a#" in (plan := dedup._candidates(meet, 0.8)._jdf.queryExecution().optimizedPlan().toString()) and plan.count("Filter") == 2  # one before the sums
 
 
+def _texts(rng, n=120):
+    """Sets of unlike texts of few words, of all sizes, and a large family of near copies."""
+    words = [f"w{i}" for i in range(900)]
+    sets = [sorted(rng.sample(words, rng.choice((1, 3, 4, 5, 9, 30, 80, 250)))) for _ in range(n)]
+    base = rng.sample(words, 150)
+    for i in range(n):
+        some = rng.sample(base, 150 - rng.randrange(16))
+        sets += [sorted({*some, *rng.sample(words, rng.randrange(12))}), sorted({*sets[i], *rng.sample(words, rng.randrange(1 + len(sets[i]) // 4))})]
+    return [list(s) for s in dict.fromkeys(map(tuple, sets))]
+
+
+def _alike(sets, threshold):
+    whole = [frozenset(s) for s in sets]
+    return {(i, j): len(a & b) for j, b in enumerate(whole) for i, a in enumerate(whole[:j]) if a & b and len(a & b) >= threshold * len(a | b) - 1e-12}
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.8, 0.95])
+def test_unlike_sets_hardly_meet_and_families_meet_once(spark, threshold):
+    """All pairs by brute force; near copies are no candidates, and unlike sets go before the shuffle."""
+    sets = _texts(random.Random(7))
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(sets)], "id int, x array<string>").select("id", dedup.hashed([], "x").alias("t"))
+    want = _alike(sets, threshold)
+    met = dedup.meeting_signatures(signatures.signatures(rows, threshold, signatures.frequent(rows)))
+    for part in (dedup.FAMILY_PART, 20):
+        got = dedup.set_pairs(rows, met, threshold, part).collect()
+        assert {(r.id_a, r.id_b): r.n_common for r in got} == want and len(got) == len(want)
+        assert all(abs(r.jaccard - r.n_common / (len(sets[r.id_a]) + len(sets[r.id_b]) - r.n_common)) < 1e-12 for r in got)
+    families = dedup._families(met, rows, threshold)
+    members = families.groupBy("head").count().agg(F.max("count")).first()[0]
+    apart = (F.col("id_a") < F.col("id_b")) & (F.col("head_a") != F.col("head_b"))
+    left = {(r.id_a, r.id_b) for r in dedup.candidates(dedup.side_of(met, rows, "a", families), dedup.side_of(met, rows, "b", families), apart, threshold).collect()}
+    assert len(left - want.keys()) < len(sets) and (threshold > 0.8 or members > 80 and len(left & want.keys()) < len(want) / 5)
+
+
+def test_blocks_share_no_tokens(spark):
+    rows = spark.createDataFrame([(i, b, c, ["x", "y"]) for i, (b, c) in enumerate([("p", None), (None, "p"), ("", "p"), ("p", ""), ("q", "q"), ("p", None)])], "id int, b string, c string, t array<string>")
+    assert [(r.id_a, r.id_b) for r in dedup.overlap_pairs(rows, ["b", "c"], "id", "t", 0.8).collect()] == [(0, 5)]
+
+
 def test_keyed_csv_of_many_parts(spark, tmp_path):
     """The last of a key by name of file and place in it, though Spark reads large files first; no sort of a key's rows."""
     (tmp_path / "a.csv").write_text("k,v\n" + "".join(f"{i % 7},{i}\n" for i in range(5000)) + " ,9\n")
