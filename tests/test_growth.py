@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import pytest
 
+import __spark_entry__ as entry
 from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, ranking, signatures, stats
 from funnelspark.sources import campaign, readers, trees
 
@@ -108,6 +109,15 @@ def test_blocks_share_no_tokens(spark):
     assert [(r.id_a, r.id_b) for r in dedup.overlap_pairs(rows, ["b", "c"], "id", "t", 0.8).collect()] == [(0, 5)]
 
 
+@pytest.mark.parametrize("name", ["near_dup_pairs", "greedy_dedup"])
+def test_documents_are_read_once(spark, tmp_path, name):
+    """Texts are taken apart once; what follows reads tokens."""
+    rows = [(i, " ".join(s), "en", 1) for i, s in enumerate(_texts(random.Random(8), 12))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = entry.queries()[name](spark, str(tmp_path))
+    assert not [f for f in out.inputFiles() if "documents.parquet" in f] and out.count() > 12
+
+
 def test_keyed_csv_of_many_parts(spark, tmp_path):
     """The last of a key by name of file and place in it, though Spark reads large files first; no sort of a key's rows."""
     (tmp_path / "a.csv").write_text("k,v\n" + "".join(f"{i % 7},{i}\n" for i in range(5000)) + " ,9\n")
