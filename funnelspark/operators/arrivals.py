@@ -1,17 +1,19 @@
 """Near duplicates among arrivals and against a pool that grows: the pool's index stays on file and is probed, not rebuilt.
 
-The pool is a store of snapshots with two tables, a part for each batch: ``pool`` (sets of tokens) and ``index`` (their prefixes
-by token). How often tokens are is fixed by the first batch, so prefixes never change; tokens it hadn't count as the rarest. A
-batch meets the index by an equi-join on its own prefixes, then itself; what is kept goes into the pool, in the same
-commit as the verdicts. Batches in the order of their ids give what one greedy pass over all rows gives.
+The pool is a store of snapshots with two tables, a part for each batch: ``pool`` (sets of tokens) and ``index`` (their
+signatures). How often tokens are is fixed by the first batch, so signatures never change; tokens it hadn't count as rare. A
+batch meets the index by its own signatures, and what nothing kept matches then meets itself; what is kept goes into the pool, in
+the same commit as the verdicts. Batches in the order of their ids give what one greedy pass over all rows gives.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from funnelspark.operators.dedup import _candidates, _same, _side, _verified, collapsed, greedy_groups, ordered_sets, prefixes, spread_groups
+from funnelspark.operators.dedup import candidates, collapsed, compared, greedy_groups, meeting_signatures, set_pairs, side_of, spread_groups
+from funnelspark.operators.signatures import frequent, signatures
 from funnelspark.sources.folders import cut
 from funnelspark.sources.snapshots import Parts, Snapshots
 
@@ -28,34 +30,31 @@ def absorb(store: Snapshots, batch: DataFrame, number: int, block: list[str], id
     spark = batch.sparkSession
     store = Snapshots(spark, store.folder, store.keep)
     batch, copies = collapsed(batch, block, id_column, tokens)  # rows of equal tokens meet through the first of them
-    batch, copies = cut(batch, "firsts"), cut(copies, "copies")
-    members = batch.select(F.col(id_column).alias("id"))
+    members = cut(batch.select(F.col(id_column).alias("id"), F.col(tokens).alias("t")), "firsts")
+    sets, members = members.filter(F.size("t") > 0), members.select("id")
     often = store.read("often")
     first = often is None
     if first:
-        each = batch.select(*block, F.explode(F.array_distinct(F.transform(tokens, lambda x: F.xxhash64(x)))).alias("token"))
-        often = cut(each.groupBy(*block, "token").agg(F.count("*").alias("often")).filter("often > 1"), "often")
-    sets = cut(ordered_sets(batch, block, id_column, tokens, often), "sets")
-    prefix = cut(prefixes(sets, block, threshold), "prefix")
+        often = spark.createDataFrame(frequent(sets), "token long, weight int")
+    signed = cut(signatures(sets, threshold, [tuple(r) for r in often.collect()]).withColumn("new", F.lit(True)), "signed")
     state = members.select("id", F.lit(True).alias("kept"), F.lit(None).cast(members.schema["id"].dataType).alias("duplicate_of"))
     if policy != "off":
-        known = store.read("index")
-        mine = _side(prefix, "b").withColumnsRenamed({b: f"_b_{b}" for b in block} | {"token": "_token"})
-        on = _same(block, F.col("token") == F.col("_token"))
-        matched = None
+        known, matched = store.read("index"), None
+        met = meeting_signatures(signed if known is None else signed.unionByName(known.drop("batch").withColumn("new", F.lit(False))))
         if known is not None:
             pool = store.read("pool")
-            pairs = cut(_candidates(_side(known, "a").join(mine, on), threshold), "probed")
-            matched = cut(_verified(pairs, pool, sets, threshold).groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("of")), "matched")
-        own = _verified(_candidates(_side(prefix, "a").join(mine, on).filter("id_a < id_b"), threshold), sets, sets, threshold)
+            pairs = cut(candidates(side_of(met.filter("not new"), pool, "a"), side_of(met.filter("new"), sets, "b"), F.lit(True), threshold), "probed")
+            matched = cut(compared(pairs, pool, sets, threshold).groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("of")), "matched")
+            met = met.filter("new")
+            if policy == "drop":  # these are out, and match nothing
+                met = met.join(matched.select("id"), "id", "left_anti")
+            met = met.withColumn("first", F.min("id").over(W.partitionBy("sig")))
+        own = set_pairs(sets if matched is None or policy == "warn" else sets.join(matched.select("id"), "id", "left_anti"), met, threshold)
         if policy == "warn":
             own = own.groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("of"))
             every = own if matched is None else own.unionByName(matched)
             state = members.join(every.groupBy("id").agg(F.min("of").alias("duplicate_of")), "id", "left").select("id", F.lit(True).alias("kept"), "duplicate_of")
         else:
-            if matched is not None:  # these are out, and match nothing
-                for x in "ab":
-                    own = own.join(matched.select(F.col("id").alias(f"id_{x}")), f"id_{x}", "left_anti")
             state = greedy_groups(own, members)
             if matched is not None:
                 state = state.join(matched, "id", "left").select("id", (F.col("kept") & F.col("of").isNull()).alias("kept"), F.coalesce("of", "duplicate_of").alias("duplicate_of"))
@@ -69,7 +68,7 @@ def absorb(store: Snapshots, batch: DataFrame, number: int, block: list[str], id
     else:
         state = copies.select("id", F.lit(True).alias("kept"), F.lit(None).cast(state.schema["id"].dataType).alias("duplicate_of"))
     part = lambda df: Parts(df.withColumn("batch", F.lit(number)), "batch", [number])
-    changes: dict[str, DataFrame | Parts] = {"verdicts": part(state), "pool": part(sets.join(kept, "id", "left_semi").select(*sets.columns)), "index": part(prefix.join(kept, "id", "left_semi").select(*prefix.columns))}
+    changes: dict[str, DataFrame | Parts] = {"verdicts": part(state), "pool": part(sets.join(kept, "id", "left_semi").select(*sets.columns)), "index": part(signed.drop("new").join(kept, "id", "left_semi"))}
     if first:
         changes["often"] = often
     store.commit(changes, batch=number)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 import pytest
 
 import __spark_entry__ as entry
-from funnelspark.operators import coverage, dedup, enumerate as en, facets, ranges, ranking, signatures, stats
+from funnelspark.operators import arrivals, coverage, dedup, enumerate as en, facets, ranges, ranking, signatures, stats
 from funnelspark.sources import campaign, readers, trees
+from funnelspark.sources.snapshots import Snapshots
 
 
 def _plan(df):
@@ -118,6 +119,23 @@ def test_documents_are_read_once(spark, tmp_path, name):
     assert not [f for f in out.inputFiles() if "documents.parquet" in f] and out.count() > 12
 
 
+def test_matched_arrivals_meet_no_other(spark, tmp_path, monkeypatch):
+    """What matches the pool is out before the rows of its batch meet each other; the index has signatures."""
+    sets = _texts(random.Random(9), 40)
+    rows = spark.createDataFrame([(i, "b", s) for i, s in enumerate(sets)], "id long, b string, t array<string>")
+    met, own = [], arrivals.set_pairs
+    monkeypatch.setattr(arrivals, "set_pairs", lambda x, *a: met.append({r.id for r in x.collect()}) or own(x, *a))
+    store, half = Snapshots(spark, str(tmp_path)), len(sets) // 2
+    arrivals.absorb(store, rows.filter(F.col("id") < half), 0, ["b"], "id", "t", 0.8)
+    got = {r.id: r.duplicate_of for r in arrivals.absorb(store, rows.filter(F.col("id") >= half), 1, ["b"], "id", "t", 0.8).collect()}
+    kept, alike = [], _alike(sets, 0.8)
+    for i in range(len(sets)):
+        assert got[i] == (of := next((k for k in kept if (k, i) in alike), None))
+        kept += [i] if of is None else []
+    assert met[1] == {i for i in range(half, len(sets)) if not any((k, i) in alike for k in kept if k < half)}
+    assert "sig" in store.read("index").columns
+
+
 def test_keyed_csv_of_many_parts(spark, tmp_path):
     """The last of a key by name of file and place in it, though Spark reads large files first; no sort of a key's rows."""
     (tmp_path / "a.csv").write_text("k,v\n" + "".join(f"{i % 7},{i}\n" for i in range(5000)) + " ,9\n")
