@@ -182,6 +182,17 @@ def test_containment_by_numbers(spark):
         assert pairs.count() == sum(want[t] for t in {r.chemsys for r in rows.limit(50).collect() if r.chemsys})
 
 
+def test_systems_of_all_orders(spark, tmp_path):
+    """Every order of parts with brands counts, whatever its other lines are; one of parts without brands is no system."""
+    brands, rng = {i: None if i % 9 == 8 else f"B{i % 30:02}" for i in range(60)}, random.Random(3)
+    lines = [(o, rng.randrange(70)) for o in range(40) for _ in range(rng.choice((1, 2, 5, 24)))] + [(40, 8), (41, 99), (42, None), (43, 8), (43, 1)]
+    spark.createDataFrame(list(brands.items()), "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    systems = [s for o in range(44) if (s := {brands.get(p) for k, p in lines if k == o} - {None})]
+    want = {"-".join(sorted(t)): sum(s <= t for s in systems) for t in systems}
+    assert {r.target: r.n for r in entry.queries()["subsystem_containment"](spark, str(tmp_path)).collect()} == want
+
+
 def test_every_column_is_ranked_once(spark):
     """All pairs of columns as spearman has each, with nulls, ties, a constant column and one without values; rows aren't copied by pair."""
     rng = random.Random(6)
