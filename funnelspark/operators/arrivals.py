@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from funnelspark.operators.dedup import candidates, collapsed, compared, greedy_groups, meeting_signatures, set_pairs, side_of, spread_groups
+from funnelspark.operators.dedup import _some, candidates, collapsed, compared, greedy_groups, meeting_signatures, set_pairs, side_of, spread_groups
 from funnelspark.operators.signatures import frequent, signatures
 from funnelspark.sources.folders import cut
 from funnelspark.sources.snapshots import Parts, Snapshots
@@ -30,7 +30,7 @@ def absorb(store: Snapshots, batch: DataFrame, number: int, block: list[str], id
     spark = batch.sparkSession
     store = Snapshots(spark, store.folder, store.keep)
     batch, copies = collapsed(batch, block, id_column, tokens)  # rows of equal tokens meet through the first of them
-    members = cut(batch.select(F.col(id_column).alias("id"), F.col(tokens).alias("t")), "firsts")
+    members = batch.select(F.col(id_column).alias("id"), F.col(tokens).alias("t"))
     sets, members = members.filter(F.size("t") > 0), members.select("id")
     often = store.read("often")
     first = often is None
@@ -44,7 +44,7 @@ def absorb(store: Snapshots, batch: DataFrame, number: int, block: list[str], id
         if known is not None:
             pool = store.read("pool")
             pairs = cut(candidates(side_of(met.filter("not new"), pool, "a"), side_of(met.filter("new"), sets, "b"), F.lit(True), threshold), "probed")
-            matched = cut(compared(pairs, pool, sets, threshold).groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("of")), "matched")
+            matched = cut(compared(pairs, _some(pool, pairs.select(F.col("id_a").alias("id"))), _some(sets, pairs.select(F.col("id_b").alias("id"))), threshold).groupBy(F.col("id_b").alias("id")).agg(F.min("id_a").alias("of")), "matched")
             met = met.filter("new")
             if policy == "drop":  # these are out, and match nothing
                 met = met.join(matched.select("id"), "id", "left_anti")
